@@ -48,10 +48,10 @@ def cluster_moments(df: DataFrame, cluster: str, features: str = "features") ->
     )
 
 
-def wssse(
+def cluster_costs(
     df: DataFrame, centers: Centers, cluster: str = "prediction", features: str = "features"
 ) -> DataFrame:
-    """Squared distance of rows to their cluster's centre, summed over the whole table.
+    """Squared distances of rows to their cluster's centre, added up per cluster.
 
     Rows are reduced to per-cluster moments first: the squared distances to a centre ``c`` add up
     to ``(n - 1) * variance + n * (mean - c)^2`` in every dimension.
@@ -70,7 +70,18 @@ def wssse(
     part = (F.col("size") - 1) * F.col("m.variance") + F.col("size") * F.pow(
         F.col("m.mean") - F.col("value"), F.lit(2.0)
     )
-    return moments.join(known, ["cluster", "pos"]).agg(F.sum(part).alias("wssse"))
+    return moments.join(known, ["cluster", "pos"]).groupBy("cluster").agg(F.sum(part).alias("cost"))
+
+
+def wssse(
+    df: DataFrame, centers: Centers, cluster: str = "prediction", features: str = "features"
+) -> DataFrame:
+    """Within-set sum of squared errors of any assigned table, as one row.
+
+    A fitted model's ``trainingCost`` belongs to the centres before its last update and differs
+    from this when the fit stopped at its iteration limit.
+    """
+    return cluster_costs(df, centers, cluster, features).agg(F.sum("cost").alias("wssse"))
 
 
 def cluster_summary(model: KMeansModel, scored: DataFrame) -> DataFrame:

@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyforge.staging import new_shared_path
 
-# Largest dictionary collected to the driver and sent to every task.
+# Largest dictionary collected to the driver and sent to every task: values, and bytes of text.
 MAX_DICTIONARY = 100_000
+MAX_DICTIONARY_BYTES = 64 << 20
 
 
 def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -54,7 +55,7 @@ class Dictionaries:
 
     def labels(self, column: str) -> list[str]:
         if column in self.large:
-            raise ValueError(f"{column} has more than {self.max_size} values")
+            raise ValueError(f"the dictionary of {column} is too large to collect")
         return self.small[column]
 
     def indexer(self, column: str, output: str, handle_invalid: str = "error") -> StringIndexerModel:
@@ -69,11 +70,17 @@ def fit_dictionaries(
 ) -> Dictionaries:
     """Count and number the categories of ``columns`` with one scan of ``df``."""
     counts = category_counts(df, columns).persist()
-    sizes = {r["name"]: r["n"] for r in counts.groupBy("name").agg(F.count("*").alias("n")).collect()}
+    measured = counts.groupBy("name").agg(
+        F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("bytes")
+    )
+    too_large = measured.filter(
+        (F.col("n") > max_size) | (F.col("bytes") > MAX_DICTIONARY_BYTES)
+    ).collect()
+    beyond = {row["name"] for row in too_large}
     result = Dictionaries(max_size=max_size)
-    fits = [c for c in columns if sizes.get(c, 0) <= max_size]
+    fits = [c for c in columns if c not in beyond]
     values: dict[str, list[tuple[int, bytes, str]]] = {c: [] for c in fits}
-    # At most max_size values per column get here.
+    # Only columns within both bounds get here.
     for row in counts.filter(F.col("name").isin(fits)).collect():
         values[row["name"]].append((-row["n"], row["value"].encode("utf-16-be"), row["value"]))
     for column in fits:

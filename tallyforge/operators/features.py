@@ -134,6 +134,7 @@ def fit_features(
     *,
     handle_invalid: str = "error",
     index_label: bool = True,
+    drop_constant: bool = False,
     max_size: int = MAX_DICTIONARY,
 ) -> FeatureModel:
     """Learn an encoding of ``df`` with a single scan.
@@ -145,6 +146,9 @@ def fit_features(
     ``formula``
         all feature columns in table order, where only text columns are one-hot encoded; what
         ``RFormula("label ~ .")`` produces.
+
+    A category with a single value cannot be one-hot encoded: it is an error, or left out with
+    ``drop_constant``.
     """
     if encoding not in ENCODINGS:
         raise ValueError(f"encoding must be one of {ENCODINGS}")
@@ -157,6 +161,10 @@ def fit_features(
         order = [*spec.numeric(df.columns), *indexed]
     labels = [spec.label] if index_label else []
     found = fit_dictionaries(df, [*indexed, *labels], max_size)
+    if drop_constant:
+        constant = {c for c in indexed if len(found.small.get(c, "--")) < 2}
+        indexed = [c for c in indexed if c not in constant]
+        order = [c for c in order if c not in constant]
 
     indexers = small_indexers(indexed, found, handle_invalid)
     ready = add_indices(df, indexed, found, indexers, handle_invalid)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyforge.staging import widen
+
 FLOW_KEY = "flow_key"
 
 # One expression per column; the text is plain SQL so the same derivation runs on any engine.
@@ -39,8 +41,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def flows(spark: SparkSession, folder: str) -> DataFrame:
-    """Connection records: one per line item, labelled by a fixed rule."""
-    return table(spark, folder, "lineitem").selectExpr(
-        *[f"{expr} as {name}" for name, expr in FLOW_COLUMNS.items()]
-    )
+def flows(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
+    """Connection records: one per line item, labelled by a fixed rule.
+
+    ``spread`` evens out a file that has fewer splits than there are cores, which pays off before
+    the many passes of a model fit.
+    """
+    lines = table(spark, folder, "lineitem")
+    if spread:
+        lines = widen(lines)
+    return lines.selectExpr(*[f"{expr} as {name}" for name, expr in FLOW_COLUMNS.items()])
