@@ -133,11 +133,13 @@ def index_by_join(
 ) -> DataFrame:
     """Look ``column`` up in a dictionary of any size.
 
-    The ``head`` most frequent values are broadcast (a bounded table), which settles every heavy
-    value without moving its rows. The rest is a shuffle join in which no key holds more than one
-    ``head``-th of the rows.
+    The ``head`` most frequent values are broadcast, which settles every heavy value without moving
+    its rows; very long values shrink the head so that its bytes are bounded as well. The rest is a
+    shuffle join in which no key holds more than one ``head``-th of the rows.
     """
     key = F.col(column).cast("string")
+    longest = ranks.filter(F.col("idx") < head).agg(F.max(F.octet_length("value"))).first()[0]
+    head = max(1, min(head, MAX_DICTIONARY_BYTES // max(longest or 0, 1)))
     hot = F.broadcast(
         ranks.filter(F.col("idx") < head).select(
             F.col("value").alias("__value"), F.col("idx").alias(output)

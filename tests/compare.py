@@ -88,7 +88,7 @@ def main(folder: str, names: list[str]) -> None:
             spent = time.perf_counter() - start
             if name in oracles:
                 start = time.perf_counter()
-                found = difference(result, con.execute(oracles[name]).to_arrow_table())
+                found = difference(result, con.sql(oracles[name]).to_arrow_table())
                 sql = time.perf_counter() - start
                 state = f"DIFF {found}" if found else f"ok (sql {sql:.1f}s)"
                 bad += found is not None
