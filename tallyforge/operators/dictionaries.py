@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import StringIndexerModel
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyforge.staging import new_shared_path
 
@@ -36,11 +36,6 @@ def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _text_order(value: Column) -> Column:
-    # StringIndexer breaks ties by UTF-16 code unit, which big-endian bytes reproduce.
-    return F.encode(value, "UTF-16BE")
-
-
 @dataclass
 class Dictionaries:
     """Numbered categories of several columns.
@@ -79,12 +74,12 @@ def fit_dictionaries(
     beyond = {row["name"] for row in too_large}
     result = Dictionaries(max_size=max_size)
     fits = [c for c in columns if c not in beyond]
-    values: dict[str, list[tuple[int, bytes, str]]] = {c: [] for c in fits}
+    values: dict[str, list[tuple[int, str]]] = {c: [] for c in fits}
     # Only columns within both bounds get here.
     for row in counts.filter(F.col("name").isin(fits)).collect():
-        values[row["name"]].append((-row["n"], row["value"].encode("utf-16-be"), row["value"]))
+        values[row["name"]].append((-row["n"], row["value"]))
     for column in fits:
-        result.small[column] = [value for _, _, value in sorted(values[column])]
+        result.small[column] = [value for _, value in sorted(values[column])]
     for column in columns:
         if column not in result.small:
             result.large[column] = rank_values(
@@ -101,7 +96,7 @@ def rank_values(counts: DataFrame, partitions: int | None = None) -> DataFrame:
     fixed; a row's index is its place inside its range plus the size of the ranges before it.
     """
     spark = counts.sparkSession
-    order = [F.col("n").desc(), _text_order(F.col("value")).asc()]
+    order = [F.col("n").desc(), F.col("value").asc()]
     width = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = new_shared_path(spark, "ranges")
     (

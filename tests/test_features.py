@@ -22,7 +22,7 @@ def test_most_frequent_first_and_ties_by_text(spark):
 
 
 def test_order_equals_string_indexer_beyond_the_basic_plane(spark):
-    # U+1F600 sorts before U+FF21 by UTF-16 unit and after it by code point.
+    # U+1F600 sorts after U+FF21 by code point and before it by UTF-16 unit.
     df = texts(spark, ["\U0001f600", "Ａ", "z"])
     expected = StringIndexer(inputCol="v", outputCol="i").fit(df).labels
     assert dictionaries.fit_dictionaries(df, ["v"]).labels("v") == expected
