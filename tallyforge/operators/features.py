@@ -54,11 +54,11 @@ class FeatureModel:
         """Class names in index order."""
         return list(self.label_model.labels)
 
-    def stages(self) -> list[Transformer]:
+    def stages(self, with_label: bool = True) -> list[Transformer]:
         """The fitted stages, for use inside a longer pipeline or for saving."""
         if self.dictionaries.large:
             raise ValueError("dictionaries beyond the broadcast bound are joined, not staged")
-        labels = [self.label_model] if self.label_model else []
+        labels = [self.label_model] if with_label and self.label_model else []
         return [*self.indexers, *self.assembly.stages, *labels]
 
     def transform(self, df: DataFrame, with_label: bool = True) -> DataFrame:

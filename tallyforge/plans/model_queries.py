@@ -2,40 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyforge.operators import classify, cluster, metrics, relational
-from tallyforge.operators.features import slot_names
+from tallyforge.operators.split import in_training
 from tallyforge.plans import studies
 from tallyforge.plans.registry import query
 from tallyforge.plans.shared import FLOWS, IN_TRAINING, IS_NORMAL, encoded_flows
 from tallyforge.sources.tables import FLOW_KEY, flows, table
-from tallyforge.staging import release, stage
+from tallyforge.staging import settle, staged
 
 RULE_ON_TEST = f"""with {FLOWS}
 select flow_key, case when {IS_NORMAL} then 1.0 else 0.0 end::double as prediction
 from flows where not ({IN_TRAINING})"""
 
 
-def _train_test(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    rows = stage(encoded_flows(spark, folder)[1], "features")
-    return rows.filter("train"), rows.filter(~F.col("train"))
+def _fit_on_training_rows(
+    spark: SparkSession, folder: str, estimator: Estimator
+) -> tuple[Model, DataFrame]:
+    """A fitted model and the encoded test rows it has not seen."""
+    _, rows = encoded_flows(spark, folder)
+    with staged(rows.filter("train").select("features", "label"), "features") as train:
+        model = estimator.fit(train)
+    return model, rows.filter(~F.col("train"))
+
+
+def _tree() -> Estimator:
+    return classify.decision_tree("features", "label", maxBins=65, maxDepth=6)
 
 
 @query(RULE_ON_TEST)
 def decision_tree_predictions(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = _train_test(spark, folder)
-    model = classify.decision_tree("features", "label", maxBins=65, maxDepth=6).fit(train)
+    model, test = _fit_on_training_rows(spark, folder, _tree())
     return classify.predict(model, test).select(FLOW_KEY, "prediction")
 
 
 @query(RULE_ON_TEST)
 def random_forest_rule(spark: SparkSession, folder: str) -> DataFrame:
     """A forest allowed to look at every feature finds the rule exactly."""
-    train, test = _train_test(spark, folder)
-    model = classify.random_forest(featureSubsetStrategy="all", seed=1).fit(train)
+    forest = classify.random_forest(featureSubsetStrategy="all", seed=1)
+    model, test = _fit_on_training_rows(spark, folder, forest)
     return classify.predict(model, test).select(FLOW_KEY, "prediction")
 
 
@@ -43,19 +51,19 @@ def random_forest_rule(spark: SparkSession, folder: str) -> DataFrame:
 def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Features and tree saved as one model, read back, and applied to raw records."""
     features, rows = encoded_flows(spark, folder)
-    tree = classify.decision_tree("features", "label", maxBins=65, maxDepth=6)
-    fitted = Pipeline(stages=[*features.stages()[:-1], tree.fit(rows.filter("train"))]).fit(rows)
-    model = classify.roundtrip(fitted, rows)
-    raw = flows(spark, folder)
-    test = raw.filter(~studies.in_training(FLOW_KEY))
+    with staged(rows.filter("train").select("features", "label"), "features") as train:
+        tree = _tree().fit(train)
+    # All stages are fitted already, so putting them together reads no rows.
+    whole = Pipeline(stages=[*features.stages(with_label=False), tree]).fit(rows)
+    model = classify.roundtrip(whole, rows)
+    test = flows(spark, folder).filter(~in_training(FLOW_KEY))
     return classify.predict(model, test).select(FLOW_KEY, "prediction")
 
 
 @query(f"with {FLOWS} select unnest(['duration', 'land']) as feature, min(true) as used from flows")
 def tree_summary(spark: SparkSession, folder: str) -> DataFrame:
     """The columns a fitted tree splits on."""
-    train, test = _train_test(spark, folder)
-    model = classify.decision_tree("features", "label", maxBins=65, maxDepth=6).fit(train)
+    model, test = _fit_on_training_rows(spark, folder, _tree())
     used = classify.tree_summary(model, test).filter(F.col("importance") > 0)
     names = used.select(F.regexp_replace("slot", "_onehot_.*$", "").alias("feature"))
     return names.distinct().withColumn("used", F.lit(True))
@@ -172,16 +180,19 @@ def _clumps(spark: SparkSession, folder: str) -> DataFrame:
         F.col("duration").alias("b"),
     )
     vectors = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(points)
-    return stage(vectors.select("features"), "clumps")
+    return vectors.select("features")
+
+
+def _clump_summary(fit: cluster.KMeans, points: DataFrame) -> DataFrame:
+    with staged(points, "clumps") as rows:
+        model = fit.fit(rows)
+        return settle(_clump_table(model, classify.predict(model, rows)))
 
 
-def _clump_summary(fit: cluster.KMeans, rows: DataFrame) -> DataFrame:
-    model = fit.fit(rows)
-    scored = classify.predict(model, rows)
+def _clump_table(model: cluster.KMeansModel, scored: DataFrame) -> DataFrame:
     sizes = cluster.cluster_summary(model, scored)
     centers = cluster.model_centers(model)
-    spark = rows.sparkSession
-    wide = spark.createDataFrame(
+    wide = scored.sparkSession.createDataFrame(
         [(k, *c) for k, c in centers.items()], "cluster int, center_a double, center_b double"
     )
     # One row per cluster: its own share of the squared distances.
@@ -341,7 +352,6 @@ def cluster_majority(spark: SparkSession, folder: str) -> DataFrame:
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     """Encode, split by key, fit one tree, score the test rows, confusion cells over the total."""
-    train, test = _train_test(spark, folder)
-    model = classify.decision_tree("features", "label", maxBins=65, maxDepth=6).fit(train)
+    model, test = _fit_on_training_rows(spark, folder, _tree())
     counts = relational.contingency(classify.predict(model, test))
     return metrics.confusion_over_total(counts, 1.0, 0.0)

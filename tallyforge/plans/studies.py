@@ -1,7 +1,7 @@
 """End-to-end studies: encode, split, fit, score once, measure.
 
-Each study scans its input twice (once to count categories, once to encode) and afterwards works on
-the staged feature table. Rows never reach the driver: what returns is a fitted model and measures
+Each study scans its input twice (once to count categories, once to encode) and works on the staged
+feature table until its measures are known. Rows never reach the driver: what returns is a fitted model and measures
 of a handful of rows.
 """
 
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Model, Pipeline
+from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
@@ -30,7 +30,7 @@ from tallyforge.operators.features import (
 )
 from tallyforge.operators.split import TRAIN_SHARE, fold_number, in_training
 from tallyforge.spec import ATTACK, NORMAL, connection_spec
-from tallyforge.staging import release, stage
+from tallyforge.staging import settle, staged
 
 
 @dataclass
@@ -48,19 +48,22 @@ class Study:
     scored: DataFrame
 
 
-def _settle(*one_row_tables: DataFrame) -> DataFrame:
-    """Compute one-row measure tables now and keep the few numbers as one ``(metric, value)`` table."""
+def _measures(*one_row_tables: DataFrame) -> DataFrame:
+    """One-row measure tables, computed now, as one ``(metric, value)`` table."""
     spark = one_row_tables[0].sparkSession
     rows = [row for wide in one_row_tables for row in metrics.metric_table(wide).collect()]
     return spark.createDataFrame([tuple(r) for r in rows], "metric string, value double")
 
 
 def _encode(df: DataFrame, features: FeatureModel, key: str, *extra: str) -> DataFrame:
-    """The staged feature table: row key, training flag, fold hash, vector, label."""
-    out = features.transform(df).select(
+    """Row key, training flag, vector and label of every row."""
+    return features.transform(df).select(
         key, in_training(key).alias("train"), "features", "label", *extra
     )
-    return stage(out, "features")
+
+
+def _test_part(rows: DataFrame) -> DataFrame:
+    return rows.filter(~F.col("train"))
 
 
 def _scalar(df: DataFrame, **values: float) -> DataFrame:
@@ -91,8 +94,6 @@ def tree_study(
     encoded = features.transform(data).select(
         key, in_training(key).alias("train"), fold_number(key, folds).alias("fold"), "features", "label"
     )
-    rows = stage(encoded, "features")
-    learn_from = rows if fit_on == "all" else rows.filter("train")
     search = classify.cross_validator(
         classify.decision_tree(),
         bins=bins,
@@ -101,59 +102,64 @@ def tree_study(
         fold_column="fold",
         parallelism=parallelism,
     )
-    stages = [fit_label_reindex(learn_from), fit_vector_index(learn_from), search]
-    model = Pipeline(stages=stages).fit(rows.filter("train"))
-
-    scored = classify.predict(model, rows.filter(~F.col("train")))
-    # A tree has few leaves, so grouping by score gives a small table that serves both the curve
-    # and the confusion cells: the test rows are scored exactly once.
-    score = vector_to_array("rawPrediction")[1]
-    leaves = stage(
-        scored.groupBy(
-            score.alias("score"), "prediction", "label", F.col("indexedLabel").alias("truth")
-        ).agg(F.count("*").alias("n")),
-        "leaves",
-    )
-    sizes = relational.split_sizes(rows, F.col("train"))
-    auc = metrics.auc_roc(leaves, "score", "label", weight="n")
-    measures = _settle(
-        sizes,
-        _scalar(df, auc=auc, error_rate=1.0 - auc),
-        metrics.agreement(leaves),
-        metrics.confusion_over_total(leaves, 1.0, 0.0),
-    )
+    with staged(encoded, "features") as rows:
+        learn_from = rows if fit_on == "all" else rows.filter("train")
+        stages = [fit_label_reindex(learn_from), fit_vector_index(learn_from), search]
+        model = Pipeline(stages=stages).fit(rows.filter("train"))
+        # A tree has few leaves, so grouping by score gives a small table that serves both the
+        # curve and the confusion cells: the test rows are scored exactly once.
+        leaves = settle(
+            classify.predict(model, _test_part(rows))
+            .groupBy(
+                vector_to_array("rawPrediction")[1].alias("score"),
+                "prediction",
+                "label",
+                F.col("indexedLabel").alias("truth"),
+            )
+            .agg(F.count("*").alias("n"))
+        )
+        auc = metrics.auc_roc(leaves, "score", "label", weight="n")
+        measures = _measures(
+            relational.split_sizes(rows, F.col("train")),
+            _scalar(df, auc=auc, error_rate=1.0 - auc),
+            metrics.agreement(leaves),
+            metrics.confusion_over_total(leaves, 1.0, 0.0),
+        )
     counts = leaves.groupBy("prediction", "truth").agg(F.sum("n").alias("n"))
-    release(rows)
+    scored = classify.predict(model, _test_part(encoded))
     return Study(model, features, measures, counts, scored)
 
 
+def _fit_net(
+    train: DataFrame, classes: int, scale: bool, seed: int | None
+) -> PipelineModel:
+    stages, inputs, column = [], train, "features"
+    if scale:
+        scaler = fit_scaler(train)
+        stages, inputs, column = [scaler], scaler.transform(train), "scaledFeatures"
+    net = classify.perceptron(inputs, classes, column)
+    if seed is not None:
+        net.setSeed(seed)
+    return Pipeline(stages=[*stages, net]).fit(train)
+
+
 def perceptron_study(
     df: DataFrame, key: str, *, scale: bool = False, seed: int | None = None
 ) -> Study:
     """Normal against attack with a neural net on numeric columns and category indices."""
     data = df.withColumn("class", class_binarize("class"))
     features = fit_features(data, connection_spec(key=[key]), "ordinal")
-    rows = _encode(data, features, key)
-    train = rows.filter("train")
-    column = "features"
-    stages = []
-    if scale:
-        scaler = fit_scaler(train)
-        stages, column = [scaler], "scaledFeatures"
-        train = scaler.transform(train)
-    net = classify.perceptron(train, len(features.labels), column)
-    if seed is not None:
-        net.setSeed(seed)
-    model = Pipeline(stages=[*stages, net]).fit(rows.filter("train"))
-    scored = classify.predict(model, rows.filter(~F.col("train")))
-    counts = stage(relational.contingency(scored), "counts")
-    measures = _settle(
-        relational.split_sizes(rows, F.col("train")),
-        metrics.accuracy(counts),
-        metrics.agreement(counts),
-        metrics.confusion_over_total(counts, 1.0, 0.0),
-    )
-    release(rows)
+    encoded = _encode(data, features, key)
+    with staged(encoded, "features") as rows:
+        model = _fit_net(rows.filter("train"), len(features.labels), scale, seed)
+        counts = settle(relational.contingency(classify.predict(model, _test_part(rows))))
+        measures = _measures(
+            relational.split_sizes(rows, F.col("train")),
+            metrics.accuracy(counts),
+            metrics.agreement(counts),
+            metrics.confusion_over_total(counts, 1.0, 0.0),
+        )
+    scored = classify.predict(model, _test_part(encoded))
     return Study(model, features, measures, counts, scored)
 
 
@@ -161,15 +167,16 @@ def cluster_study(df: DataFrame, key: str) -> Study:
     """k-means over all rows with one cluster per class, compared naively with the class index."""
     spec = connection_spec(key=[key], host_login=True)
     features = fit_features(df, spec, "onehot", drop_constant=True)
-    rows = stage(features.transform(df).select(key, "features", "label"), "features")
-    model = cluster.kmeans_parallel(len(features.labels)).fit(rows)
-    scored = classify.predict(model, rows)
-    counts = stage(relational.contingency(scored), "counts")
-    measures = _settle(
-        metrics.agreement(counts), cluster.wssse(scored, cluster.model_centers(model))
-    )
-    release(rows)
-    return Study(model, features, measures, counts, scored)
+    encoded = features.transform(df).select(key, "features", "label")
+    with staged(encoded, "features") as rows:
+        model = cluster.kmeans_parallel(len(features.labels)).fit(rows)
+        assigned = classify.predict(model, rows)
+        # As many rows as classes times clusters, and there is one cluster per class.
+        counts = settle(relational.contingency(assigned))
+        measures = _measures(
+            metrics.agreement(counts), cluster.wssse(assigned, cluster.model_centers(model))
+        )
+    return Study(model, features, measures, counts, classify.predict(model, encoded))
 
 
 def formula_forest_study(
@@ -178,34 +185,37 @@ def formula_forest_study(
     """Normal against attack with a random forest on ``class ~ .``; normal is the positive class."""
     data = df.drop("is_host_login").withColumn("class", class_binarize("class"))
     features = fit_features(data, connection_spec(key=[key]), "formula")
-    rows = _encode(data, features, key, "class")
+    encoded = _encode(data, features, key, "class")
     forest = classify.random_forest(featureSubsetStrategy=subset)
     if seed is not None:
         forest.setSeed(seed)
-    model = forest.fit(rows.filter("train"))
-    scored = decode_labels(
-        classify.predict(model, rows.filter(~F.col("train"))), features.labels
-    )
-    counts = stage(relational.contingency(scored, "decoded", "class"), "counts")
-    measures = _settle(
-        relational.split_sizes(rows, F.col("train")),
-        metrics.agreement(counts),
-        metrics.confusion_over_total(counts, NORMAL, ATTACK),
-    )
-    release(rows)
-    return Study(model, features, measures, counts, scored)
+
+    def score(rows: DataFrame) -> DataFrame:
+        return decode_labels(classify.predict(model, _test_part(rows)), features.labels)
+
+    with staged(encoded, "features") as rows:
+        model = forest.fit(rows.filter("train"))
+        counts = settle(relational.contingency(score(rows), "decoded", "class"))
+        measures = _measures(
+            relational.split_sizes(rows, F.col("train")),
+            metrics.agreement(counts),
+            metrics.confusion_over_total(counts, NORMAL, ATTACK),
+        )
+    return Study(model, features, measures, counts, score(encoded))
 
 
 def formula_cluster_study(df: DataFrame, key: str, *, seed: int | None = None) -> Study:
     """k-means from random rows on ``class ~ .``, fitted on the training part."""
     data = df.drop("is_host_login").withColumn("class", class_binarize("class"))
     features = fit_features(data, connection_spec(key=[key]), "formula")
-    rows = _encode(data, features, key, "class")
-    model = cluster.kmeans_random(len(features.labels), seed=seed).fit(rows.filter("train"))
-    scored = classify.predict(model, rows.filter(~F.col("train")))
-    counts = stage(relational.contingency(scored, truth="class"), "counts")
-    measures = _settle(relational.split_sizes(rows, F.col("train")))
-    release(rows)
+    encoded = _encode(data, features, key, "class")
+    with staged(encoded, "features") as rows:
+        model = cluster.kmeans_random(len(features.labels), seed=seed).fit(rows.filter("train"))
+        counts = settle(
+            relational.contingency(classify.predict(model, _test_part(rows)), truth="class")
+        )
+        measures = _measures(relational.split_sizes(rows, F.col("train")))
+    scored = classify.predict(model, _test_part(encoded))
     return Study(model, features, measures, counts, scored)
 
 
@@ -220,25 +230,18 @@ def formula_perceptron_study(
         .withColumn("flag", flag_code("flag"))
     )
     features = fit_features(data, connection_spec(key=[key]), "formula")
-    rows = _encode(data, features, key, "class")
-    train = rows.filter("train")
-    stages, column = [], "features"
-    if scale:
-        scaler = fit_scaler(train)
-        stages, column = [scaler], "scaledFeatures"
-        train = scaler.transform(train)
-    net = classify.perceptron(train, len(features.labels), column)
-    if seed is not None:
-        net.setSeed(seed)
-    model = Pipeline(stages=[*stages, net]).fit(rows.filter("train"))
-    scored = decode_labels(
-        classify.predict(model, rows.filter(~F.col("train"))), features.labels
-    ).withColumn("decoded", F.col("decoded").cast("double"))
-    counts = stage(relational.contingency(scored, "decoded", "class"), "counts")
-    measures = _settle(
-        relational.split_sizes(rows, F.col("train")),
-        metrics.agreement(counts),
-        metrics.confusion_over_predicted(counts, 1.0, 0.0),
-    )
-    release(rows)
-    return Study(model, features, measures, counts, scored)
+    encoded = _encode(data, features, key, "class")
+
+    def score(rows: DataFrame) -> DataFrame:
+        decoded = decode_labels(classify.predict(model, _test_part(rows)), features.labels)
+        return decoded.withColumn("decoded", F.col("decoded").cast("double"))
+
+    with staged(encoded, "features") as rows:
+        model = _fit_net(rows.filter("train"), len(features.labels), scale, seed)
+        counts = settle(relational.contingency(score(rows), "decoded", "class"))
+        measures = _measures(
+            relational.split_sizes(rows, F.col("train")),
+            metrics.agreement(counts),
+            metrics.confusion_over_predicted(counts, 1.0, 0.0),
+        )
+    return Study(model, features, measures, counts, score(encoded))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -39,22 +41,40 @@ def widen(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """``df`` made cheap to read again.
+@contextmanager
+def staged(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
+    """``df`` made cheap to read several times, for the length of a ``with`` block.
 
-    On a cluster it is written once to the shared folder: the copy outlives lost executors, cuts
-    the lineage and takes no executor memory. Without such a folder it is persisted instead.
-    Column metadata (category names, vector sizes) survives both ways.
+    On a cluster it is written once to the shared folder and deleted afterwards: the copy outlives
+    lost executors, cuts the lineage and takes no executor memory. Without such a folder it is
+    persisted instead. Column metadata (category names, vector sizes) survives both ways.
     """
     spark = df.sparkSession
     if shared_folder(spark) is None:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            yield kept
+        finally:
+            kept.unpersist()
+        return
     path = new_shared_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        delete_path(spark, path)
 
 
-def release(df: DataFrame) -> None:
-    """Give back what :func:`stage` persisted; written tables are left to the folder's retention."""
-    if df.storageLevel.useMemory:
-        df.unpersist()
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a table written by :func:`staged`, on whatever file system holds it."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Compute a small table now, so that it no longer depends on anything staged.
+
+    Only for tables of a known few rows: measures, leaves of a tree, cluster summaries.
+    """
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)

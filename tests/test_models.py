@@ -2,6 +2,7 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
+from tallyforge import staging
 from tallyforge.operators import classify
 from tallyforge.operators.features import fit_features, vector_size
 from tallyforge.plans import studies
@@ -16,7 +17,7 @@ def measures(study):
     return dict(tuples(study.measures))
 
 
-def test_model_settings():
+def test_model_settings(spark):
     forest = classify.random_forest()
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getMaxBins()) == (5, 6, 68)
     search = classify.cross_validator(classify.decision_tree())
@@ -73,13 +74,19 @@ def test_tree_study_with_categories_learned_from_training_rows(spark, data):
     assert measures(study)["incorrect"] == 0
 
 
-def test_staged_tables_give_the_same_study(spark, data, shared):
+def test_study_leaves_no_table_behind(spark, data, shared):
     study = studies.tree_study(
         flows(spark, data, spread=True), FLOW_KEY, bins=(65,), depths=(4,), folds=2
     )
     assert measures(study)["incorrect"] == 0
-    written = {p.name.split("-")[0] for p in (shared / "tallyforge").iterdir()}
-    assert {"features", "leaves"} <= written
+    assert list((shared / "tallyforge").iterdir()) == []
+    assert study.scored.count() == measures(study)["n_test"]
+
+
+def test_study_without_a_shared_folder(spark, data, monkeypatch):
+    monkeypatch.setattr(staging, "shared_folder", lambda _: None)
+    got = measures(studies.formula_cluster_study(flows(spark, data), FLOW_KEY, seed=3))
+    assert got["n_train"] + got["n_test"] == got["n_rows"]
 
 
 def test_perceptron_study_scaled(spark, data):
@@ -97,7 +104,7 @@ def test_formula_perceptron_study(spark, data):
     got = measures(study)
     assert got["ratio_correct"] > 0.95 and got["tp_rate"] > 0.9
     assert set(study.features.labels) == {"0.0", "1.0"}
-    assert study.model.stages[-1].getLayers() == [10, 10, 10, 2]
+    assert study.model.stages[-1].getLayers() == [9, 10, 10, 2]
 
 
 def test_formula_forest_study(spark, data):

@@ -74,19 +74,28 @@ def test_spreading_keeps_the_rows_and_the_pruned_scan(spark, data):
     assert staging.widen(many) is many
 
 
-def test_stage_persists_without_a_shared_folder(spark):
-    df = staging.stage(spark.range(5))
-    assert df.storageLevel.useMemory
-    staging.release(df)
+def test_staging_persists_without_a_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr(staging, "shared_folder", lambda _: None)
+    with staging.staged(spark.range(5)) as df:
+        assert df.storageLevel.useMemory
     assert not df.storageLevel.useMemory
 
 
-def test_stage_writes_to_the_shared_folder(spark, shared):
-    df = staging.stage(spark.range(5), "numbers")
-    assert not df.storageLevel.useMemory and df.count() == 5
-    assert [p.name[:8] for p in (shared / "tallyforge").iterdir()] == ["numbers-"]
-    staging.release(df)
-    assert df.count() == 5
+def test_staging_writes_to_the_shared_folder_and_cleans_up(spark, shared):
+    with staging.staged(spark.range(5), "numbers") as df:
+        assert not df.storageLevel.useMemory and df.count() == 5
+        assert [p.name[:8] for p in (shared / "tallyforge").iterdir()] == ["numbers-"]
+    assert list((shared / "tallyforge").iterdir()) == []
+    with pytest.raises(ZeroDivisionError):
+        with staging.staged(spark.range(5)):
+            1 / 0
+    assert list((shared / "tallyforge").iterdir()) == []
+
+
+def test_settled_tables_stand_alone(spark, shared):
+    with staging.staged(spark.range(5)) as df:
+        kept = staging.settle(df.groupBy().count())
+    assert tuples(kept) == [(5,)]
 
 
 def test_cluster_without_a_shared_folder_is_refused():
