@@ -24,6 +24,15 @@ def in_training(key: str | Sequence[str], share: float = TRAIN_SHARE) -> Column:
     return hash_bucket(key) < F.lit(round(share * 100))
 
 
+def training_flag(
+    key: str | Sequence[str], share: float = TRAIN_SHARE, toss_seed: int | None = None
+) -> Column:
+    """Marks training rows: by key, or by a seeded coin toss per row as :func:`random_split` does."""
+    if toss_seed is None:
+        return in_training(key, share)
+    return F.rand(toss_seed) < F.lit(share)
+
+
 def hash_split(
     df: DataFrame, key: str | Sequence[str], share: float = TRAIN_SHARE
 ) -> tuple[DataFrame, DataFrame]:

@@ -159,7 +159,8 @@ def forest_formula_rule(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def forest_formula_default(spark: SparkSession, folder: str) -> DataFrame:
-    study = studies.formula_forest_study(flows(spark, folder, spread=True), FLOW_KEY, seed=1)
+    records = flows(spark, folder, spread=True)
+    study = studies.formula_forest_study(records, FLOW_KEY, seed=1, toss_seed=1)
     return study.measures
 
 
@@ -257,7 +258,8 @@ def kmeans_study(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def kmeans_formula_contingency(spark: SparkSession, folder: str) -> DataFrame:
-    study = studies.formula_cluster_study(flows(spark, folder, spread=True), FLOW_KEY, seed=3)
+    records = flows(spark, folder, spread=True)
+    study = studies.formula_cluster_study(records, FLOW_KEY, seed=3, toss_seed=3)
     return study.counts
 
 

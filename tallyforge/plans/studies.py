@@ -3,6 +3,8 @@
 Each study scans its input twice (once to count categories, once to encode) and works on the staged
 feature table until its measures are known. Rows never reach the driver: what returns is a fitted model and measures
 of a handful of rows.
+
+Training rows are chosen by a hash of the row key, or with ``toss_seed`` by independent coin tosses.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyforge.functions.recode import (
     class_binarize,
@@ -28,7 +30,7 @@ from tallyforge.operators.features import (
     fit_scaler,
     fit_vector_index,
 )
-from tallyforge.operators.split import TRAIN_SHARE, fold_number, in_training
+from tallyforge.operators.split import fold_number, in_training, training_flag
 from tallyforge.spec import ATTACK, NORMAL, connection_spec
 from tallyforge.staging import settle, staged
 
@@ -55,11 +57,12 @@ def _measures(*one_row_tables: DataFrame) -> DataFrame:
     return spark.createDataFrame([tuple(r) for r in rows], "metric string, value double")
 
 
-def _encode(df: DataFrame, features: FeatureModel, key: str, *extra: str) -> DataFrame:
+def _encode(
+    df: DataFrame, features: FeatureModel, key: str, toss_seed: int | None, *extra: str | Column
+) -> DataFrame:
     """Row key, training flag, vector and label of every row."""
-    return features.transform(df).select(
-        key, in_training(key).alias("train"), "features", "label", *extra
-    )
+    train = training_flag(key, toss_seed=toss_seed).alias("train")
+    return features.transform(df).select(key, train, "features", "label", *extra)
 
 
 def _test_part(rows: DataFrame) -> DataFrame:
@@ -79,21 +82,22 @@ def tree_study(
     depths: tuple[int, ...] = classify.GRID_DEPTHS,
     parallelism: int = 4,
     fit_on: str = "all",
+    toss_seed: int | None = None,
 ) -> Study:
     """Normal against attack with a decision tree tuned by cross-validation.
 
     ``fit_on="all"`` learns categories before the split; ``"train"`` learns them from training rows
-    only and gives categories unseen there an all-zero vector.
+    only and gives categories unseen there an all-zero vector; it needs the split by key.
     """
+    if fit_on not in ("all", "train") or (fit_on == "train" and toss_seed is not None):
+        raise ValueError("fit_on is 'all', or 'train' with a split by key")
     data = df.withColumn("class", class_binarize("class"))
     spec = connection_spec(key=[key])
     if fit_on == "all":
         features = fit_features(data, spec, "onehot")
     else:
         features = fit_features(data.filter(in_training(key)), spec, "onehot", handle_invalid="keep")
-    encoded = features.transform(data).select(
-        key, in_training(key).alias("train"), fold_number(key, folds).alias("fold"), "features", "label"
-    )
+    encoded = _encode(data, features, key, toss_seed, fold_number(key, folds).alias("fold"))
     search = classify.cross_validator(
         classify.decision_tree(),
         bins=bins,
@@ -144,12 +148,17 @@ def _fit_net(
 
 
 def perceptron_study(
-    df: DataFrame, key: str, *, scale: bool = False, seed: int | None = None
+    df: DataFrame,
+    key: str,
+    *,
+    scale: bool = False,
+    seed: int | None = None,
+    toss_seed: int | None = None,
 ) -> Study:
     """Normal against attack with a neural net on numeric columns and category indices."""
     data = df.withColumn("class", class_binarize("class"))
     features = fit_features(data, connection_spec(key=[key]), "ordinal")
-    encoded = _encode(data, features, key)
+    encoded = _encode(data, features, key, toss_seed)
     with staged(encoded, "features") as rows:
         model = _fit_net(rows.filter("train"), len(features.labels), scale, seed)
         counts = settle(relational.contingency(classify.predict(model, _test_part(rows))))
@@ -180,12 +189,17 @@ def cluster_study(df: DataFrame, key: str) -> Study:
 
 
 def formula_forest_study(
-    df: DataFrame, key: str, *, seed: int | None = None, subset: str = "auto"
+    df: DataFrame,
+    key: str,
+    *,
+    seed: int | None = None,
+    subset: str = "auto",
+    toss_seed: int | None = None,
 ) -> Study:
     """Normal against attack with a random forest on ``class ~ .``; normal is the positive class."""
     data = df.drop("is_host_login").withColumn("class", class_binarize("class"))
     features = fit_features(data, connection_spec(key=[key]), "formula")
-    encoded = _encode(data, features, key, "class")
+    encoded = _encode(data, features, key, toss_seed, "class")
     forest = classify.random_forest(featureSubsetStrategy=subset)
     if seed is not None:
         forest.setSeed(seed)
@@ -204,11 +218,13 @@ def formula_forest_study(
     return Study(model, features, measures, counts, score(encoded))
 
 
-def formula_cluster_study(df: DataFrame, key: str, *, seed: int | None = None) -> Study:
+def formula_cluster_study(
+    df: DataFrame, key: str, *, seed: int | None = None, toss_seed: int | None = None
+) -> Study:
     """k-means from random rows on ``class ~ .``, fitted on the training part."""
     data = df.drop("is_host_login").withColumn("class", class_binarize("class"))
     features = fit_features(data, connection_spec(key=[key]), "formula")
-    encoded = _encode(data, features, key, "class")
+    encoded = _encode(data, features, key, toss_seed, "class")
     with staged(encoded, "features") as rows:
         model = cluster.kmeans_random(len(features.labels), seed=seed).fit(rows.filter("train"))
         counts = settle(
@@ -220,7 +236,12 @@ def formula_cluster_study(df: DataFrame, key: str, *, seed: int | None = None) -
 
 
 def formula_perceptron_study(
-    df: DataFrame, key: str, *, seed: int | None = None, scale: bool = False
+    df: DataFrame,
+    key: str,
+    *,
+    scale: bool = False,
+    seed: int | None = None,
+    toss_seed: int | None = None,
 ) -> Study:
     """Normal (1.0) against attack (0.0) with a neural net on hand-coded columns."""
     data = (
@@ -230,7 +251,7 @@ def formula_perceptron_study(
         .withColumn("flag", flag_code("flag"))
     )
     features = fit_features(data, connection_spec(key=[key]), "formula")
-    encoded = _encode(data, features, key, "class")
+    encoded = _encode(data, features, key, toss_seed, "class")
 
     def score(rows: DataFrame) -> DataFrame:
         decoded = decode_labels(classify.predict(model, _test_part(rows)), features.labels)

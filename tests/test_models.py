@@ -74,6 +74,17 @@ def test_tree_study_with_categories_learned_from_training_rows(spark, data):
     assert measures(study)["incorrect"] == 0
 
 
+def test_study_with_a_coin_toss_split(spark, data):
+    records = flows(spark, data, spread=True)
+    study = studies.formula_forest_study(records, FLOW_KEY, seed=1, subset="all", toss_seed=1)
+    got = measures(study)
+    assert got["n_train"] + got["n_test"] == got["n_rows"]
+    assert abs(got["n_train"] / got["n_rows"] - 0.7) < 0.03
+    assert got["incorrect"] == 0 and got["n_test"] == got["total"] == study.scored.count()
+    with pytest.raises(ValueError):
+        studies.tree_study(records, FLOW_KEY, fit_on="train", toss_seed=1)
+
+
 def test_study_leaves_no_table_behind(spark, data, shared):
     study = studies.tree_study(
         flows(spark, data, spread=True), FLOW_KEY, bins=(65,), depths=(4,), folds=2

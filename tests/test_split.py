@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from tallyforge.operators.split import fold_number, hash_split, in_training, random_split
+from tallyforge.operators.split import fold_number, hash_split, in_training, random_split, training_flag
 
 from tests.conftest import tuples
 
@@ -41,3 +41,14 @@ def test_random_split_adds_up(spark):
     assert train.intersect(test).count() == 0
     again, _ = random_split(keyed(spark), seed=1)
     assert train.exceptAll(again).count() == 0
+
+
+def test_coin_toss_flag(spark):
+    df = keyed(spark)
+    flags = df.select("k", training_flag("k", toss_seed=5).alias("t"))
+    share = flags.filter("t").count() / 20_000
+    assert abs(share - 0.7) < 0.02
+    again = df.select("k", training_flag("k", toss_seed=5).alias("t"))
+    assert flags.exceptAll(again).count() == 0
+    other = df.select("k", training_flag("k", toss_seed=6).alias("t"))
+    assert flags.exceptAll(other).count() > 0
