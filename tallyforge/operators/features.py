@@ -116,7 +116,8 @@ def string_index(
 ) -> DataFrame:
     """Add ``<column>_index`` for every column: most frequent value first, ties by text."""
     found = fit_dictionaries(df if fit_on is None else fit_on, columns, max_size)
-    return add_indices(df, columns, found, small_indexers(columns, found, handle_invalid), handle_invalid)
+    indexers = small_indexers(columns, found, handle_invalid)
+    return add_indices(df, columns, found, indexers, handle_invalid)
 
 
 def one_hot(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -1,8 +1,8 @@
 """End-to-end studies: encode, split, fit, score once, measure.
 
 Each study scans its input twice (once to count categories, once to encode) and works on the staged
-feature table until its measures are known. Rows never reach the driver: what returns is a fitted model and measures
-of a handful of rows.
+feature table until its measures are known. Rows never reach the driver: what returns is a fitted
+model and measures of a handful of rows.
 
 Training rows are chosen by a hash of the row key, or with ``toss_seed`` by independent coin tosses.
 """

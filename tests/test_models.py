@@ -3,8 +3,10 @@ from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from tallyforge import staging
+from tallyforge.functions.recode import hash_bucket
 from tallyforge.operators import classify
 from tallyforge.operators.features import fit_features, vector_size
+from tallyforge.operators.metrics import auc_roc
 from tallyforge.plans import studies
 from tallyforge.plans.shared import binary_flows, encoded_flows
 from tallyforge.sources.tables import FLOW_KEY, flows
@@ -64,6 +66,24 @@ def test_tree_study(spark, data):
     assert study.counts.agg(F.sum("n")).first()[0] == got["total"] == study.scored.count()
 
 
+def test_curve_from_leaves_equals_the_curve_from_rows(spark, data):
+    noisy = flows(spark, data, spread=True).withColumn(
+        "class", F.when(hash_bucket(FLOW_KEY, 10) < 3, F.lit("smurf")).otherwise(F.col("class"))
+    )
+    noisy = noisy.withColumn(
+        "class", F.when(hash_bucket(["service", FLOW_KEY], 10) < 2, F.lit("normal")).otherwise(F.col("class"))
+    )
+    study = studies.tree_study(noisy, FLOW_KEY, bins=(65,), depths=(4, 6), folds=2)
+    got = measures(study)
+    assert 0.5 < got["auc"] < 0.95
+    assert got["auc"] == pytest.approx(auc_roc(study.scored))
+    counts = {(p, t): n for p, t, n in tuples(study.counts)}
+    assert got["fp"] == pytest.approx(counts[1.0, 0.0] / got["total"])
+    assert got["fn"] == pytest.approx(counts[0.0, 1.0] / got["total"])
+    truth = study.scored.filter("prediction = indexedLabel").count()
+    assert got["correct"] == truth
+
+
 def test_tree_study_with_categories_learned_from_training_rows(spark, data):
     records = flows(spark, data, spread=True)
     rare = records.withColumn(
