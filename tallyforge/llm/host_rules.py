@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyforge.llm.tables import let, written
+from tallyforge.llm.tables import let, small, written
 
 #: Characters counted as symbols.
 SYMBOLS = "[#*$%&|<>]"
@@ -26,6 +26,8 @@ MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 #: A host is rejected if its shrunk failure rate is above this.
 MAX_HOST_RATE = 0.5
+#: A host table of more rows is joined by a shuffle.
+MAX_BROADCAST_HOSTS = 100_000
 
 
 def words(text: Column) -> Column:
@@ -171,7 +173,7 @@ def judge(
         .withColumn("base_failed", base_failed()),
         "judged",
     )
-    hosts = host_rates(judged, "host")
+    hosts = small(written(host_rates(judged, "host"), "hosts"), MAX_BROADCAST_HOSTS)
     bad = F.coalesce(F.col("host_rate") > max_host_rate, F.lit(False))
     return judged.join(hosts, "host", "left").select(
         "kept_columns.*",

@@ -1,6 +1,7 @@
 """All queries of this subpackage and their oracles."""
 
 from tallyforge.llm import (  # noqa: F401  (importing a module registers its queries)
+    queries_models,
     queries_rules,
 )
 from tallyforge.llm.registry import ORACLES, QUERIES
