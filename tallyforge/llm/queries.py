@@ -2,6 +2,7 @@
 
 from tallyforge.llm import (  # noqa: F401  (importing a module registers its queries)
     queries_models,
+    queries_overlap,
     queries_packing,
     queries_rules,
 )
