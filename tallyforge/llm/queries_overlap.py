@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallyforge.llm.license_scan import CONTAINED, TEMPLATES, scan
 from tallyforge.llm.registry import query
 from tallyforge.llm.tables import table
 from tallyforge.llm.winnowing import contaminated, contamination
@@ -58,3 +59,41 @@ def op3_winnowing(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         contaminated().alias("contaminated"),
     )
+
+
+TEMPLATE_VALUES = ", ".join(f"('{n}', '{t}')" for n, t in TEMPLATES)
+OP9_SQL = rf"""
+with templates(name, body) as (values {TEMPLATE_VALUES}),
+tw as (
+  select name, regexp_extract_all(lower(body), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from templates),
+ts as (
+  select distinct name, unnest(list_transform(range(1, len(ws) - 1),
+    lambda i: array_to_string(ws[i:i + 2], ' '))) as shingle
+  from tw),
+n as (select name, count(*) as n from ts group by name),
+dw as (
+  select row_number() over () as r, doc_id,
+    regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws
+  from documents),
+ds as (
+  select distinct r, unnest(list_transform(range(1, len(ws) - 1),
+    lambda i: array_to_string(ws[i:i + 2], ' '))) as shingle
+  from dw where len(ws) > 2),
+held as (
+  select r, name from ds join ts using (shingle) join n using (name)
+  group by r, name, n having count(*) >= {CONTAINED} * n),
+per as (select r, list_sort(list(name)) as names from held group by r)
+select doc_id, coalesce(array_to_string(names, ','), '') as licenses, coalesce(len(names), 0)::bigint as n_licenses
+from dw left join per using (r)
+"""
+
+
+@query(OP9_SQL)
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The licence templates that every document contains."""
+    found = scan(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        F.array_join("licenses", ",").alias("licenses"),
+        F.size("licenses").cast("long").alias("n_licenses"),
+    )
