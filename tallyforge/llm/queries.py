@@ -5,6 +5,7 @@ from tallyforge.llm import (  # noqa: F401  (importing a module registers its qu
     queries_overlap,
     queries_packing,
     queries_rules,
+    queries_similarity,
 )
 from tallyforge.llm.registry import ORACLES, QUERIES
 
