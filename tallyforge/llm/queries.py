@@ -4,6 +4,7 @@ from tallyforge.llm import (  # noqa: F401  (importing a module registers its qu
     queries_models,
     queries_overlap,
     queries_packing,
+    queries_repeats,
     queries_rules,
     queries_similarity,
 )
