@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyforge.llm.line_runs import MIN_LINE_CHARS, NOT_BLANK, drop_repeated_lines
 from tallyforge.llm.registry import query
+from tallyforge.llm.repeat_intervals import remove_repeats
 from tallyforge.llm.tables import table
 
 LINE_CTES = rf"""
@@ -56,3 +57,17 @@ def op10_line_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     return drop_repeated_lines(counted).select(
         "doc_id", "n_lines", "n_removed", "longest_run", F.sha2("text", 256).alias("kept_sha256")
     )
+
+
+@query()
+def op7_repeat_intervals(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of every document that lie in a string of 50 bytes of a document with a smaller id."""
+    cut = remove_repeats(table(spark, folder, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
