@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyforge.llm.arrow_text import by_size, text_bytes
 from tallyforge.llm.components import components
 from tallyforge.llm.groups import group_chunks, settled
-from tallyforge.llm.tables import small, written
+from tallyforge.llm.tables import small, unused, written
 from tallyforge.llm.word_hashes import mixed, runs as word_runs, words
 
 SHINGLE = 5
@@ -95,7 +95,9 @@ def sketch(codes: np.ndarray) -> np.ndarray:
 
 def described(docs: DataFrame, key: str, text: str, seeds: int) -> DataFrame:
     """Node, set size, drawn shingles and sketch of every document; the node of no words is null."""
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("body"))
+    rows = docs.select(
+        F.col(key).alias("key"), F.xxhash64(text).alias("content"), F.coalesce(F.col(text), F.lit("")).alias("body")
+    )
 
     def of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,12 +112,12 @@ def described(docs: DataFrame, key: str, text: str, seeds: int) -> DataFrame:
                     column.append(value)
             kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key")] + [pa.array(c, k) for c, k in zip(columns, kinds)],
-                names=["key", "node", "n", "drawn", "sketch"],
+                [batch.column("key"), batch.column("content")] + [pa.array(c, k) for c, k in zip(columns, kinds)],
+                names=["key", "content", "node", "n", "drawn", "sketch"],
             )
 
     kind = dict(rows.dtypes)["key"]
-    return rows.mapInArrow(of_texts, f"key {kind}, node long, n long, drawn array<int>, sketch binary")
+    return rows.mapInArrow(of_texts, f"key {kind}, content long, node long, n long, drawn array<int>, sketch binary")
 
 
 def blocks(rows: DataFrame, sizes: DataFrame, group: str, pieces: Column) -> DataFrame:
@@ -326,7 +328,7 @@ def similarity_classes(
     recall: float = TARGET_RECALL,
     brute_force: int = BRUTE_FORCE,
 ) -> DataFrame:
-    """``key``, ``class_id`` and ``n_links`` of every document."""
+    """``key``, ``content`` (hash of the text), ``class_id`` and ``n_links`` of every document."""
     runs = runs_for(threshold, recall)
     texts = written(described(docs, key, text, runs * DRAWS * STEPS), "sets")
     nodes = written(
@@ -357,8 +359,30 @@ def similarity_classes(
         "classes",
     )
     named = small(named, MAX_BROADCAST_ROWS)
-    return texts.select("key", "node").join(named, "node", "left").select(
+    return texts.select("key", "content", "node").join(named, "node", "left").select(
         F.col("key").alias(key),
+        "content",
         F.when(F.col("node").isNull(), F.col("key")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
+
+
+def one_per_class(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with one document of each class: the one with the least id.
+
+    Of repeated rows one stays. A row without an id cannot name a class unless no row of its class
+    has an id; else it goes.
+    """
+    classes = written(similarity_classes(docs, key, text, threshold), "classes")
+    first = F.col(key).eqNullSafe(F.col("class_id"))
+    per_row = classes.groupBy(key, "content").agg(F.count("*").alias("rows"), F.max(first).alias("stays"))
+    rare_key, rare_content, stays = (unused(n, docs) for n in ("rare_key", "rare_content", "stays"))
+    rare = per_row.where("not stays or rows > 1").select(
+        F.col(key).alias(rare_key), F.col("content").alias(rare_content), F.col("stays").alias(stays)
+    )
+    rare = small(written(rare, "not-single"), MAX_BROADCAST_ROWS)
+    same = F.col(key).eqNullSafe(F.col(rare_key)) & (F.xxhash64(text) == F.col(rare_content))
+    single = docs.join(rare, same, "left_anti")
+    repeated = docs.join(rare.where(F.col(stays)), same, "left_semi")
+    # Texts are compared whole here: a row is dropped only for another one with its id and text.
+    return single.unionByName(repeated.dropDuplicates([key, text]))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tallyforge.llm.arrow_text import by_size, text_bytes
-from tallyforge.llm.tables import split_of
+from tallyforge.llm.tables import split_of, unused
 
 TRIGRAMS = 4096
 #: The hashed trigrams and the share of words that repeat the word before them.
@@ -216,13 +216,15 @@ def fit_voters(labels: DataFrame, docs: DataFrame, label: str = "quality", voter
 def vote(docs: DataFrame, voters: Voters | None, text: str = "text") -> DataFrame:
     """``docs`` with the column ``quality_score``, between 0 and 1."""
     shared = docs.sparkSession.sparkContext.broadcast(voters)
-    plain = docs.drop("quality_score").withColumn("text_to_score", F.coalesce(F.col(text), F.lit("")))
-    schema = ", ".join(f"`{n}` {t}" for n, t in plain.drop("text_to_score").dtypes)
+    kept = docs.drop("quality_score")
+    to_score = unused("text_to_score", kept)
+    plain = kept.withColumn(to_score, F.coalesce(F.col(text), F.lit("")))
+    schema = ", ".join(f"`{n}` {t}" for n, t in kept.dtypes)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         panel = shared.value
         for batch in batches:
-            at = batch.schema.get_field_index("text_to_score")
+            at = batch.schema.get_field_index(to_score)
             scores = np.zeros(batch.num_rows)
             if panel is not None:
                 for part, counts in counted(*text_bytes(batch.column(at))):

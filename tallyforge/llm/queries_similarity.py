@@ -36,4 +36,4 @@ from dw join class using (r) left join links using (r)
 @query(OP5_SQL)
 def op5_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
     """Class and number of links of every document: five words, similarity of 0.8 or more."""
-    return similarity_classes(table(spark, folder, "documents"))
+    return similarity_classes(table(spark, folder, "documents")).drop("content")

@@ -66,3 +66,10 @@ def small(df: DataFrame, max_rows: int) -> DataFrame:
 def split_of(key: Column, parts: int) -> Column:
     """Which of ``parts`` parts a row is in, by the checksum of its key's text."""
     return F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(parts))
+
+
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, changed if ``df`` has a column called that."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name

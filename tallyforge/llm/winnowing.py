@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyforge.llm.arrow_text import by_size, text_bytes
-from tallyforge.llm.tables import small, written
+from tallyforge.llm.tables import small, unused, written
 from tallyforge.llm.word_hashes import mixed, runs, words
 
 WINDOW_WORDS = 13
@@ -240,3 +240,13 @@ def contamination(
 def contaminated():
     """A twentieth of the words or more are hit."""
     return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without those of which a twentieth or more is benchmark text."""
+    found = contamination(docs, benchmark, text, key=key).where(contaminated())
+    bad_key, bad_content = unused("bad_key", docs), unused("bad_content", docs)
+    bad = found.select(F.col(key).alias(bad_key), F.col("content").alias(bad_content)).distinct()
+    bad = small(written(bad, "contaminated-rows"), MAX_BROADCAST_ROWS)
+    same = F.col(key).eqNullSafe(F.col(bad_key)) & (F.xxhash64(text) == F.col(bad_content))
+    return docs.join(bad, same, "left_anti")
