@@ -226,7 +226,7 @@ def predict_languages(
                 names[which] = np.array(net.languages, dtype=object)[total.argmax(1)]
                 best[which] = total.max(1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(names, pa.string()), pa.array(np.minimum(best, 1.0))],
+                [batch.column("key"), pa.array(names, pa.string()), pa.array(np.round(np.minimum(best, 1.0), 6))],
                 names=["key", "lang_pred", "score"],
             )
 
