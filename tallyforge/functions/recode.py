@@ -64,12 +64,23 @@ def ratio(numerator: Column | str, denominator: Column | str) -> Column:
     )
 
 
-def hash_bucket(key: str | Sequence[str], buckets: int = 100) -> Column:
-    """A bucket in ``[0, buckets)`` that depends only on the key's text.
+# Stands for a null part of a key, so that it differs from an empty or missing one.
+NULL_PART = "\x00null"
 
+
+def key_number(key: str | Sequence[str], part: int = 0, salt: str | None = None) -> Column:
+    """A number in ``[0, 2^32)`` that depends only on the key's text.
+
+    ``part`` picks one of four independent numbers of the same key, ``salt`` another family.
     Unlike sampling by seed, it does not change with the partitioning of the input.
     """
     columns = [key] if isinstance(key, str) else list(key)
-    digest = F.md5(F.concat_ws("|", *columns))
-    number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
-    return F.pmod(number, F.lit(buckets)).cast("int")
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_PART)) for c in columns]
+    salted = texts if salt is None else [F.lit(salt), *texts]
+    digest = F.md5(F.concat_ws("|", *salted))
+    return F.conv(F.substring(digest, 1 + 8 * part, 8), 16, 10).cast("bigint")
+
+
+def hash_bucket(key: str | Sequence[str], buckets: int = 100, part: int = 0) -> Column:
+    """A bucket in ``[0, buckets)`` that depends only on the key's text."""
+    return F.pmod(key_number(key, part), F.lit(buckets)).cast("int")

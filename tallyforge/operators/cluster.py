@@ -1,29 +1,41 @@
-"""k-means on MLlib, plus a fixed-start variant whose result can be checked exactly."""
+"""k-means on MLlib, from random or given centres, and what is measured of a clustering."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
+from pyspark.mllib.clustering import KMeans as StartedKMeans, KMeansModel as StartModel
+from pyspark.mllib.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # The clustering studies' settings.
 KMEANS_ITERATIONS = 10
 KMEANS_SEED = 1
+# Centres are held by the driver and sent to every task.
+MAX_CLUSTERS = 10_000
 
 Centers = Mapping[int, Sequence[float]]
 
 
-def kmeans_parallel(k: int, features: str = "features", seed: int = KMEANS_SEED) -> KMeans:
+def kmeans_parallel(
+    k: int, features: str = "features", seed: int = KMEANS_SEED, iterations: int = KMEANS_ITERATIONS
+) -> KMeans:
     """k-means with the scalable k-means|| start."""
-    return KMeans(k=k, featuresCol=features, seed=seed, maxIter=KMEANS_ITERATIONS)
+    return KMeans(k=k, featuresCol=features, seed=seed, maxIter=iterations)
 
 
-def kmeans_random(k: int, features: str = "features", seed: int | None = None) -> KMeans:
+def kmeans_random(
+    k: int,
+    features: str = "features",
+    seed: int | None = None,
+    iterations: int = KMEANS_ITERATIONS,
+) -> KMeans:
     """k-means started from randomly drawn rows."""
-    fit = KMeans(k=k, featuresCol=features, maxIter=KMEANS_ITERATIONS, initMode="random")
+    fit = KMeans(k=k, featuresCol=features, maxIter=iterations, initMode="random")
     return fit if seed is None else fit.setSeed(seed)
 
 
@@ -84,6 +96,25 @@ def wssse(
     return cluster_costs(df, centers, cluster, features).agg(F.sum("cost").alias("wssse"))
 
 
+def kmeans_summary(model: KMeansModel, scored: DataFrame) -> DataFrame:
+    """A fitted k-means in one table: k, size of every cluster and every coordinate of its centre.
+
+    Rows are ``(item, cluster, pos, value)`` with the items ``k``, ``size`` and ``center``.
+    """
+    spark = scored.sparkSession
+    centers = model_centers(model)
+    rows = [("k", None, None, float(len(centers)))]
+    rows += [("center", k, i, float(v)) for k, c in centers.items() for i, v in enumerate(c)]
+    fixed = spark.createDataFrame(rows, "item string, cluster int, pos int, value double")
+    sizes = cluster_summary(model, scored).select(
+        F.lit("size").alias("item"),
+        "cluster",
+        F.lit(None).cast("int").alias("pos"),
+        F.col("size").cast("double").alias("value"),
+    )
+    return fixed.unionByName(sizes)
+
+
 def cluster_summary(model: KMeansModel, scored: DataFrame) -> DataFrame:
     """Size of every fitted cluster, empty ones included."""
     sizes = scored.groupBy(F.col(model.getPredictionCol()).alias("cluster")).agg(
@@ -96,18 +127,24 @@ def cluster_summary(model: KMeansModel, scored: DataFrame) -> DataFrame:
     )
 
 
-def first_of_each(df: DataFrame, group: str, order: str, vector: str) -> dict[int, list[float]]:
+def first_of_each(
+    df: DataFrame, group: str, order: str, vector: str, max_groups: int = MAX_CLUSTERS
+) -> dict[int, list[float]]:
     """One starting centre per group: the vector of its row with the smallest ``order``.
 
     The groups become clusters 0, 1, … in ascending order; one row per group reaches the driver.
+    More than ``max_groups`` groups are an error.
     """
     rows = (
         df.groupBy(group)
         .agg(F.min_by(vector, order).alias("start"))
         .orderBy(group)
         .select("start")
+        .limit(max_groups + 1)
         .collect()
     )
+    if len(rows) > max_groups:
+        raise ValueError(f"more than {max_groups} groups of {group}")
     return {i: [float(v) for v in row["start"]] for i, row in enumerate(rows)}
 
 
@@ -125,23 +162,24 @@ def nearest(vector: Column, centers: Centers) -> Column:
 def warm_start(
     df: DataFrame, vector: str, centers: Centers, iterations: int
 ) -> dict[int, list[float]]:
-    """Plain k-means from given centres; a cluster that loses all its rows keeps its centre.
+    """k-means from given centres.
 
-    Each round is one pass with partial aggregation; only the k new centres come back.
+    Only the engine's RDD interface takes starting centres, so the rows' vectors pass through
+    Python once; they are kept for the rounds of the fit.
     """
-    points = df.select(F.col(vector).cast("array<double>").alias("x"))
-    current = dict(centers)
-    for _ in range(iterations):
-        moved = (
-            points.select(
-                nearest(F.col("x"), current).alias("cluster"), array_to_vector("x").alias("v")
-            )
-            .groupBy("cluster")
-            .agg(Summarizer.mean(F.col("v")).alias("mean"))
-            .collect()
+    order = sorted(centers)
+    start = StartModel([Vectors.dense(centers[k]) for k in order])
+    points = df.select(F.col(vector).cast("array<double>").alias("x")).rdd.map(
+        lambda row: Vectors.dense(row["x"])
+    )
+    points.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fitted = StartedKMeans.train(
+            points, len(order), maxIterations=iterations, epsilon=0.0, initialModel=start
         )
-        current.update({row["cluster"]: [float(v) for v in row["mean"]] for row in moved})
-    return current
+    finally:
+        points.unpersist()
+    return {k: [float(v) for v in c] for k, c in zip(order, fitted.clusterCenters)}
 
 
 def assign(

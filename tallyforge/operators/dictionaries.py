@@ -3,6 +3,10 @@
 Index 0.0 is the most frequent value and ties are numbered in ascending text order, the ordering of
 ``StringIndexer``. The values are counted by an ordinary aggregation, so a column with too many
 values to hold on the driver is still numbered exactly, by a distributed sort.
+
+How a dictionary is held, as a list or as a table, changes nothing about the index column: the
+numbers, the handling of nulls and unseen values and the number of categories in its metadata are
+the same. Only the list also puts the values' names there.
 """
 
 from __future__ import annotations
@@ -11,11 +15,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import StringIndexerModel
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tallyforge.staging import new_shared_path
 
-# Largest dictionary collected to the driver and sent to every task: values, and bytes of text.
+# Dictionaries collected to the driver and sent to every task, all columns of a fit together: values,
+# and bytes of text.
 MAX_DICTIONARY = 100_000
 MAX_DICTIONARY_BYTES = 64 << 20
 
@@ -41,11 +46,12 @@ class Dictionaries:
     """Numbered categories of several columns.
 
     ``small`` holds ordered value lists; ``large`` holds ``(value, idx)`` tables for columns whose
-    dictionary is too big to broadcast.
+    dictionary is too big to broadcast, and ``sizes`` the number of values of every column.
     """
 
     small: dict[str, list[str]] = field(default_factory=dict)
     large: dict[str, DataFrame] = field(default_factory=dict)
+    sizes: dict[str, int] = field(default_factory=dict)
     max_size: int = MAX_DICTIONARY
 
     def labels(self, column: str) -> list[str]:
@@ -59,6 +65,13 @@ class Dictionaries:
             self.labels(column), inputCol=column, outputCol=output, handleInvalid=handle_invalid
         )
 
+    def table(self, spark: SparkSession, column: str) -> DataFrame:
+        """A column's dictionary as ``(value, idx)`` rows, however it is held."""
+        if column in self.large:
+            return self.large[column]
+        rows = [(v, float(i)) for i, v in enumerate(self.small[column])]
+        return spark.createDataFrame(rows, "value string, idx double")
+
 
 def fit_dictionaries(
     df: DataFrame, columns: Sequence[str], max_size: int = MAX_DICTIONARY
@@ -68,14 +81,17 @@ def fit_dictionaries(
     measured = counts.groupBy("name").agg(
         F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("bytes")
     )
-    too_large = measured.filter(
-        (F.col("n") > max_size) | (F.col("bytes") > MAX_DICTIONARY_BYTES)
-    ).collect()
-    beyond = {row["name"] for row in too_large}
-    result = Dictionaries(max_size=max_size)
-    fits = [c for c in columns if c not in beyond]
+    sizes = {r["name"]: (r["n"], r["bytes"]) for r in measured.collect()}  # one row per column
+    result = Dictionaries(max_size=max_size, sizes={c: sizes.get(c, (0, 0))[0] for c in columns})
+    # The smallest dictionaries first, as long as all collected ones together keep the bounds.
+    fits, values_left, bytes_left = [], max_size, MAX_DICTIONARY_BYTES
+    for column in sorted(set(columns), key=lambda c: (sizes.get(c, (0, 0)), c)):
+        n, size = sizes.get(column, (0, 0))
+        values_left, bytes_left = values_left - n, bytes_left - size
+        if values_left < 0 or bytes_left < 0:
+            break
+        fits.append(column)
     values: dict[str, list[tuple[int, str]]] = {c: [] for c in fits}
-    # Only columns within both bounds get here.
     for row in counts.filter(F.col("name").isin(fits)).collect():
         values[row["name"]].append((-row["n"], row["value"]))
     for column in fits:
@@ -125,39 +141,49 @@ def index_by_join(
     output: str,
     handle_invalid: str = "error",
     head: int = MAX_DICTIONARY,
+    size: int | None = None,
 ) -> DataFrame:
-    """Look ``column`` up in a dictionary of any size.
+    """Look ``column`` up in a dictionary of any size; the input is read once.
 
-    The ``head`` most frequent values are broadcast, which settles every heavy value without moving
-    its rows; very long values shrink the head so that its bytes are bounded as well. The rest is a
-    shuffle join in which no key holds more than one ``head``-th of the rows.
+    The ``head`` most frequent values are broadcast, which settles every heavy value; very long
+    values shrink the head so that its bytes are bounded as well. The rest of the dictionary is
+    joined by a shuffle in which no key is heavy: settled rows and nulls go by a hash of their whole
+    row, which matches nothing.
     """
-    key = F.col(column).cast("string")
+    size = ranks.count() if size is None else size
+    key = F.col(f"`{column}`").cast("string")
     longest = ranks.filter(F.col("idx") < head).agg(F.max(F.octet_length("value"))).first()[0]
     head = max(1, min(head, MAX_DICTIONARY_BYTES // max(longest or 0, 1)))
     hot = F.broadcast(
         ranks.filter(F.col("idx") < head).select(
-            F.col("value").alias("__value"), F.col("idx").alias(output)
+            F.col("value").alias("__value"), F.col("idx").alias("__hot")
         )
     )
-    columns = df.columns
-    looked_up = df.join(hot, key == F.col("__value"), "left").drop("__value")
-    done = looked_up.filter(F.col(output).isNotNull())
-    rest = looked_up.filter(F.col(output).isNull()).select(*columns)
-    cold = ranks.filter(F.col("idx") >= head).select(
-        F.col("value").alias("__value"), F.col("idx").alias(output)
-    )
-    known = rest.filter(key.isNotNull()).join(cold, key == F.col("__value"), "left").drop("__value")
-    # Null keys never match; kept out of the join so that they do not gather in one task.
-    nulls = rest.filter(key.isNull()).withColumn(output, F.lit(None).cast("double"))
-    merged = done.unionByName(known).unionByName(nulls)
-    missing = F.col(output).isNull()
+    columns = [f"`{c}`" for c in df.columns]
+    indexed = df.join(hot, key == F.col("__value"), "left").drop("__value")
+    found = F.col("__hot")
+    if size > head:
+        cold = ranks.filter(F.col("idx") >= head).select(
+            F.col("value").alias("__value"), F.col("idx").alias("__cold")
+        )
+        settled = found.isNotNull() | key.isNull()
+        spread = F.struct(F.lit(True).alias("settled"), F.xxhash64(*columns).cast("string").alias("value"))
+        sought = F.struct(F.lit(False).alias("settled"), key.alias("value"))
+        indexed = indexed.withColumn("__key", F.when(settled, spread).otherwise(sought))
+        cold = cold.select(
+            F.struct(F.lit(False).alias("settled"), F.col("__value").alias("value")).alias("__known"), "__cold"
+        )
+        indexed = indexed.join(cold, F.col("__key") == F.col("__known"), "left")
+        found = F.coalesce(F.col("__hot"), F.col("__cold"))
+    categories = size
     if handle_invalid == "skip":
-        return merged.filter(~missing)
-    if handle_invalid == "keep":
-        size = ranks.count()
-        return merged.withColumn(output, F.coalesce(F.col(output), F.lit(float(size))))
-    failure = F.raise_error(
-        F.concat(F.lit(f"null or unseen value in {column}: "), F.coalesce(key, F.lit("null")))
-    ).cast("double")
-    return merged.withColumn(output, F.when(missing, failure).otherwise(F.col(output)))
+        indexed = indexed.filter(found.isNotNull())
+    elif handle_invalid == "keep":
+        found, categories = F.coalesce(found, F.lit(float(size))), size + 1
+    else:
+        failure = F.raise_error(
+            F.concat(F.lit(f"null or unseen value in {column}: "), F.coalesce(key, F.lit("null")))
+        ).cast("double")
+        found = F.when(found.isNull(), failure).otherwise(found)
+    nominal = {"ml_attr": {"type": "nominal", "name": output, "num_vals": categories}}
+    return indexed.select(*columns, found.alias(output, metadata=nominal))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import (
@@ -19,7 +20,7 @@ from pyspark.ml.feature import (
     VectorIndexer,
     VectorIndexerModel,
 )
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType
 
 from tallyforge.operators.dictionaries import (
@@ -46,18 +47,19 @@ class FeatureModel:
     assembly: PipelineModel
     label_model: StringIndexerModel | None
     handle_invalid: str
+    index_label: bool = True
     features_col: str = "features"
     label_col: str = "label"
 
     @property
     def labels(self) -> list[str]:
         """Class names in index order."""
-        return list(self.label_model.labels)
+        return self.dictionaries.labels(self.spec.label)
 
     def stages(self, with_label: bool = True) -> list[Transformer]:
         """The fitted stages, for use inside a longer pipeline or for saving."""
         if self.dictionaries.large:
-            raise ValueError("dictionaries beyond the broadcast bound are joined, not staged")
+            raise ValueError("some dictionaries are tables; use save_features for them")
         labels = [self.label_model] if with_label and self.label_model else []
         return [*self.indexers, *self.assembly.stages, *labels]
 
@@ -67,12 +69,62 @@ class FeatureModel:
         out = add_indices(df, self.indexed, self.dictionaries, self.indexers, self.handle_invalid)
         out = self.assembly.transform(out)
         added = [self.features_col]
-        if with_label and self.label_model:
-            out = self.label_model.transform(out)
+        if with_label and self.index_label:
+            models = [self.label_model] if self.label_model else []
+            out = add_indices(out, [self.spec.label], self.dictionaries, models, "error", self.label_col)
             added.append(self.label_col)
         return out.select(*keep, *added)
 
 
+def save_features(model: FeatureModel, spark: SparkSession, path: str) -> str:
+    """Write a fitted encoding: its dictionaries as tables, its stages, and what is needed to apply it.
+
+    The form is the same however large the dictionaries are.
+    """
+    found = model.dictionaries
+    for i, column in enumerate(found.sizes):
+        found.table(spark, column).write.mode("overwrite").parquet(f"{path}/dictionaries/{i}")
+    model.assembly.write().overwrite().save(f"{path}/assembly")
+    settings = {
+        "spec": asdict(model.spec),
+        "columns": list(found.sizes),
+        "sizes": list(found.sizes.values()),
+        "listed": list(found.small),
+        "max_size": found.max_size,
+        "indexed": model.indexed,
+        "handle_invalid": model.handle_invalid,
+        "index_label": model.index_label,
+    }
+    row = spark.createDataFrame([(json.dumps(settings),)], "settings string")
+    row.coalesce(1).write.mode("overwrite").text(f"{path}/settings")
+    return path
+
+
+def load_features(spark: SparkSession, path: str) -> FeatureModel:
+    """An encoding written by :func:`save_features`."""
+    settings = json.loads(spark.read.text(f"{path}/settings").first()[0])
+    columns = settings["columns"]
+    found = Dictionaries(max_size=settings["max_size"], sizes=dict(zip(columns, settings["sizes"])))
+    for i, column in enumerate(columns):
+        ranks = spark.read.schema("value string, idx double").parquet(f"{path}/dictionaries/{i}")
+        if column in settings["listed"]:  # within the bounds when it was fitted
+            found.small[column] = [r["value"] for r in ranks.orderBy("idx").collect()]
+        else:
+            found.large[column] = ranks
+    spec = FeatureSpec(**{k: tuple(v) if isinstance(v, list) else v for k, v in settings["spec"].items()})
+    handle, label = settings["handle_invalid"], settings["index_label"]
+    return FeatureModel(
+        spec,
+        found,
+        settings["indexed"],
+        small_indexers(settings["indexed"], found, handle),
+        PipelineModel.load(f"{path}/assembly"),
+        found.indexer(spec.label, "label") if label and spec.label in found.small else None,
+        handle,
+        label,
+    )
+
+
 def index_name(column: str) -> str:
     return f"{column}_index"
 
@@ -95,6 +147,7 @@ def add_indices(
     found: Dictionaries,
     indexers: Sequence[StringIndexerModel],
     handle_invalid: str,
+    output: str | None = None,
 ) -> DataFrame:
     """Index columns: in place where the dictionary is small, by join where it is not."""
     for model in indexers:
@@ -102,11 +155,24 @@ def add_indices(
     for column in columns:
         if column in found.large:
             df = index_by_join(
-                df, column, found.large[column], index_name(column), handle_invalid, found.max_size
+                df,
+                column,
+                found.large[column],
+                output or index_name(column),
+                handle_invalid,
+                found.max_size,
+                found.sizes.get(column),
             )
     return df
 
 
+def label_index(df: DataFrame, column: str, output: str = "label", max_size: int = MAX_DICTIONARY) -> DataFrame:
+    """Number the classes of ``column`` by falling frequency, whatever their number."""
+    found = fit_dictionaries(df, [column], max_size)
+    models = [found.indexer(column, output)] if column in found.small else []
+    return add_indices(df, [column], found, models, "error", output)
+
+
 def string_index(
     df: DataFrame,
     columns: Sequence[str],
@@ -134,6 +200,7 @@ def fit_features(
     encoding: str = "onehot",
     *,
     handle_invalid: str = "error",
+    numeric_invalid: str = "error",
     index_label: bool = True,
     drop_constant: bool = False,
     max_size: int = MAX_DICTIONARY,
@@ -149,7 +216,8 @@ def fit_features(
         ``RFormula("label ~ .")`` produces.
 
     A category with a single value cannot be one-hot encoded: it is an error, or left out with
-    ``drop_constant``.
+    ``drop_constant``. ``handle_invalid`` is about nulls and unseen values of categories,
+    ``numeric_invalid`` about nulls of numeric columns (``keep`` makes them NaN).
     """
     if encoding not in ENCODINGS:
         raise ValueError(f"encoding must be one of {ENCODINGS}")
@@ -163,7 +231,7 @@ def fit_features(
     labels = [spec.label] if index_label else []
     found = fit_dictionaries(df, [*indexed, *labels], max_size)
     if drop_constant:
-        constant = {c for c in indexed if len(found.small.get(c, "--")) < 2}
+        constant = {c for c in indexed if found.sizes[c] < 2}
         indexed = [c for c in indexed if c not in constant]
         order = [c for c in order if c not in constant]
 
@@ -184,15 +252,17 @@ def fit_features(
         )
     stages.append(
         VectorAssembler(
-            inputCols=[slot[c] for c in order], outputCol="features", handleInvalid=handle_invalid
+            inputCols=[slot[c] for c in order], outputCol="features", handleInvalid=numeric_invalid
         )
     )
-    # Category counts are in the indexer's column metadata, so fitting the encoder reads no rows.
+    # Category counts are in the index columns' metadata, so fitting the encoder reads no rows.
     assembly = Pipeline(stages=stages).fit(ready)
     label_model = None
-    if index_label:
+    if index_label and spec.label in found.small:
         label_model = found.indexer(spec.label, "label")
-    return FeatureModel(spec, found, indexed, indexers, assembly, label_model, handle_invalid)
+    return FeatureModel(
+        spec, found, indexed, indexers, assembly, label_model, handle_invalid, index_label
+    )
 
 
 def fit_formula(df: DataFrame, label: str, excluded: Sequence[str] = ()) -> RFormulaModel:

@@ -9,7 +9,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import NumericType
 
 from tallyforge.functions.recode import ratio
 
@@ -110,19 +112,23 @@ def auc_roc(
     score: str = "rawPrediction",
     label: str = "label",
     *,
-    bins: int = 1000,
+    bins: int = 0,
     weight: str | None = None,
 ) -> float:
-    """Area under the ROC curve; ``bins=0`` uses every distinct score instead of down-sampling.
+    """Area under the ROC curve over every distinct score; ``bins`` above 0 down-samples the curve.
 
-    A ``weight`` column lets the curve be computed from counted groups of equal scores.
+    Rows of equal score and label are counted first, so what is sorted are distinct scores. A
+    ``weight`` column says that the input is counted already.
     """
+    if weight is None:
+        weight = "n"
+        if not isinstance(scored.schema[score].dataType, NumericType):
+            scored = scored.withColumn(score, vector_to_array(score)[1])
+        scored = scored.groupBy(score, label).agg(F.count("*").alias(weight))
     evaluator = BinaryClassificationEvaluator(
         rawPredictionCol=score, labelCol=label, metricName="areaUnderROC", numBins=bins
     )
-    if weight is not None:
-        evaluator = evaluator.setWeightCol(weight)
-    return evaluator.evaluate(scored)
+    return evaluator.setWeightCol(weight).evaluate(scored)
 
 
 def cluster_majority(counts: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyforge.functions.recode import hash_bucket
+from tallyforge.functions.recode import NULL_PART, hash_bucket, key_number
 
 # Fixed value: share of the rows the studies train on.
 TRAIN_SHARE = 0.7
@@ -19,28 +19,54 @@ def random_split(
     return df.randomSplit(list(weights), seed)
 
 
+def _buckets(share: float) -> int:
+    """The fewest buckets, 100 or more, of which ``share`` is a whole number."""
+    buckets = 100
+    while round(share * buckets, 9) != round(share * buckets) and buckets < 10**9:
+        buckets *= 10
+    return buckets
+
+
 def in_training(key: str | Sequence[str], share: float = TRAIN_SHARE) -> Column:
     """True for the rows of the training part, decided by the row's key alone."""
-    return hash_bucket(key) < F.lit(round(share * 100))
+    buckets = _buckets(share)
+    return hash_bucket(key, buckets) < F.lit(round(share * buckets))
 
 
 def training_flag(
     key: str | Sequence[str], share: float = TRAIN_SHARE, toss_seed: int | None = None
 ) -> Column:
-    """Marks training rows: by key, or by a seeded coin toss per row as :func:`random_split` does."""
+    """Marks training rows: by key, or with a seed by a toss per key.
+
+    The toss depends on seed and key only, so it falls the same on every recomputation and under
+    any partitioning. It picks other rows than :func:`random_split` would.
+    """
     if toss_seed is None:
         return in_training(key, share)
-    return F.rand(toss_seed) < F.lit(share)
+    return key_number(key, salt=f"toss {toss_seed}") < F.lit(round(share * 2**32))
 
 
 def hash_split(
     df: DataFrame, key: str | Sequence[str], share: float = TRAIN_SHARE
 ) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows by key: the same rows whatever the partitioning, and no shuffle."""
+    """Training and test rows by key: the same rows whatever the partitioning, and no shuffle.
+
+    To use both parts at once, add :func:`in_training` as a column, which scans the input once.
+    """
     rule = in_training(key, share)
     return df.filter(rule), df.filter(~rule)
 
 
 def fold_number(key: str | Sequence[str], folds: int) -> Column:
-    """Cross-validation fold of a row, decided by its key alone."""
-    return hash_bucket(key, folds)
+    """Cross-validation fold of a row, decided by its key alone and independent of the split."""
+    return hash_bucket(key, folds, part=1)
+
+
+def with_row_key(df: DataFrame, key: str | None, name: str = "row_key") -> tuple[DataFrame, str]:
+    """``df`` and its key column; without one, a digest of all columns (copies share it)."""
+    if key is not None:
+        return df, key
+    while name in df.columns:
+        name += "_"
+    texts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(NULL_PART)) for c in df.columns]
+    return df.withColumn(name, F.md5(F.concat_ws("|", *texts))), name

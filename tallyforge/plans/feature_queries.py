@@ -18,7 +18,8 @@ from tallyforge.plans.shared import (
     ranks,
 )
 from tallyforge.sources.tables import FLOW_KEY, flows, table
-from tallyforge.spec import ATTACK, NORMAL
+from tallyforge.spec import ATTACK, NORMAL, FeatureSpec
+from tallyforge.staging import new_shared_path
 
 CATEGORICAL = SPEC.categorical
 TEXT = ("protocol_type", "service", "flag")
@@ -94,9 +95,33 @@ def string_index_many_values(spark: SparkSession, folder: str) -> DataFrame:
 from flows f join ranks r on r.value = f.class"""
 )
 def label_index(spark: SparkSession, folder: str) -> DataFrame:
-    records = flows(spark, folder)
-    model = fit_dictionaries(records, ["class"]).indexer("class", "label")
-    return model.transform(records).select(FLOW_KEY, "class", "label")
+    return ft.label_index(flows(spark, folder), "class").select(FLOW_KEY, "class", "label")
+
+
+@query(
+    f"""with {FLOWS}, {ranks(["service"])} select flow_key, service, idx::double as label
+from flows f join ranks r on r.value = f.service"""
+)
+def label_index_many_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """Numbering a label with more classes than are collected."""
+    return ft.label_index(flows(spark, folder), "service", max_size=7).select(FLOW_KEY, "service", "label")
+
+
+@query(
+    """with orders_counted as (
+  select l_orderkey, row_number() over (order by count(*) desc, l_orderkey::varchar) - 1 as idx
+  from lineitem group by l_orderkey),
+parts_counted as (
+  select l_partkey, row_number() over (order by count(*) desc, l_partkey::varchar) - 1 as idx
+  from lineitem group by l_partkey)
+select l_orderkey, l_linenumber, l_partkey, o.idx::double as l_orderkey_index,
+  p.idx::double as l_partkey_index
+from lineitem join orders_counted o using (l_orderkey) join parts_counted p using (l_partkey)"""
+)
+def string_index_two_large(spark: SparkSession, folder: str) -> DataFrame:
+    """Two columns whose dictionaries both exceed the bound: the table is still read once."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return ft.string_index(lines, ["l_orderkey", "l_partkey"], max_size=100)
 
 
 @query(
@@ -120,6 +145,61 @@ def assembled_ordinal(spark: SparkSession, folder: str) -> DataFrame:
     return ft.vector_entries(encoded_flows(spark, folder, "ordinal")[1], [FLOW_KEY])
 
 
+# Services learned from a part of the records; the others are unseen when all are encoded.
+KNOWN = "service < 'svc4'"
+SERVICE_SPEC = FeatureSpec(categorical=("service",), excluded=(FLOW_KEY,))
+KNOWN_RANKS = f"""known as (
+  select service as value, row_number() over (order by count(*) desc, service) - 1 as idx
+  from flows where {KNOWN} group by service)"""
+UNSEEN_ONEHOT = f"""with {FLOWS}, {KNOWN_RANKS}
+{_numeric_entries(NUMERIC, 0)}
+union all select flow_key, ({len(NUMERIC)} + idx)::int, 1.0::double from flows join known on value = service"""
+UNSEEN_ORDINAL = f"""with {FLOWS}, {KNOWN_RANKS}, placed as (
+  select flow_key, coalesce(idx, (select count(*) from known))::double as value
+  from flows left join known on known.value = service)
+{_numeric_entries(NUMERIC, 0)}
+union all select flow_key, {len(NUMERIC)}::int, value from placed where value <> 0"""
+
+
+def _with_unseen(spark: SparkSession, folder: str, encoding: str, max_size: int, saved: bool = False) -> DataFrame:
+    records = flows(spark, folder).select(FLOW_KEY, "service", *NUMERIC)
+    model = ft.fit_features(
+        records.where(KNOWN), SERVICE_SPEC, encoding, handle_invalid="keep", index_label=False, max_size=max_size
+    )
+    if saved:
+        model = ft.load_features(spark, ft.save_features(model, spark, new_shared_path(spark, "features")))
+    return ft.vector_entries(model.transform(records, with_label=False), [FLOW_KEY])
+
+
+@query(UNSEEN_ONEHOT)
+def onehot_unseen(spark: SparkSession, folder: str) -> DataFrame:
+    """Unseen services get an all-zero block."""
+    return _with_unseen(spark, folder, "onehot", 1000)
+
+
+@query(UNSEEN_ONEHOT)
+def onehot_unseen_large(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with a dictionary that is joined."""
+    return _with_unseen(spark, folder, "onehot", 7)
+
+
+@query(UNSEEN_ORDINAL)
+def ordinal_unseen(spark: SparkSession, folder: str) -> DataFrame:
+    """Unseen services share one more category."""
+    return _with_unseen(spark, folder, "ordinal", 1000)
+
+
+@query(UNSEEN_ORDINAL)
+def ordinal_unseen_large(spark: SparkSession, folder: str) -> DataFrame:
+    return _with_unseen(spark, folder, "ordinal", 7)
+
+
+@query(UNSEEN_ONEHOT)
+def features_roundtrip_large(spark: SparkSession, folder: str) -> DataFrame:
+    """An encoding with a joined dictionary, saved and read back."""
+    return _with_unseen(spark, folder, "onehot", 7, saved=True)
+
+
 _formula_numeric = ("land", "logged_in", "is_guest_login", *NUMERIC)
 FORMULA = f"""with {FLOWS}, {ranks(TEXT)}, {_offsets(TEXT, 0, "n - 1")},
 numeric_entries as ({_numeric_entries(_formula_numeric, 0)})

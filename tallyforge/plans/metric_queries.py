@@ -102,8 +102,8 @@ select round(sum(n * (p_so_far - p / 2)) / (sum(p) * sum(n)), 6) as auc from abo
 )
 def auc_roc(spark: SparkSession, folder: str) -> DataFrame:
     is_normal = F.when(F.col("class") == "normal", F.lit(1.0)).otherwise(F.lit(0.0))
-    scored = flows(spark, folder, spread=True).select("src_bytes", is_normal.alias("label"))
-    area = metrics.auc_roc(scored, "src_bytes", bins=0)
+    scored = flows(spark, folder).select("src_bytes", is_normal.alias("label"))
+    area = metrics.auc_roc(scored, "src_bytes")
     return spark.createDataFrame([(round(area, 6),)], "auc double")
 
 
@@ -122,5 +122,5 @@ def auc_roc_counted(spark: SparkSession, folder: str) -> DataFrame:
     groups = relational.value_counts(
         flows(spark, folder).select("duration", is_normal.alias("label")), "duration", "label"
     )
-    area = metrics.auc_roc(groups, "duration", bins=0, weight="n")
+    area = metrics.auc_roc(groups, "duration", weight="n")
     return spark.createDataFrame([(round(area, 6),)], "auc double")

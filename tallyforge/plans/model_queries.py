@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyforge.operators import classify, cluster, metrics, relational
@@ -309,7 +310,7 @@ def kmeans_centers(spark: SparkSession, folder: str) -> DataFrame:
 def wssse(spark: SparkSession, folder: str) -> DataFrame:
     points, centers = _warm(spark, folder)
     vectors = cluster.assign(points, "embedding", centers).select(
-        "prediction", cluster.array_to_vector("embedding").alias("features")
+        "prediction", array_to_vector("embedding").alias("features")
     )
     return cluster.wssse(vectors, centers).select(F.round("wssse", 6).alias("wssse"))
 

@@ -13,7 +13,7 @@ from tallyforge.functions.recode import (
 )
 from tallyforge.operators import relational
 from tallyforge.operators.metrics import agreement, metric_table as as_metric_table
-from tallyforge.operators.split import hash_split, in_training, random_split
+from tallyforge.operators.split import in_training, random_split
 from tallyforge.plans.registry import query
 from tallyforge.plans.shared import FLOWS, IN_TRAINING, SCORED, scored_flows
 from tallyforge.sources.delimited import scan_csv, write_csv
@@ -59,10 +59,7 @@ def split_sizes(spark: SparkSession, folder: str) -> DataFrame:
     f"""with {FLOWS} select flow_key, class, {IN_TRAINING} as train from flows"""
 )
 def hash_split_rows(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = hash_split(flows(spark, folder).select(FLOW_KEY, "class"), FLOW_KEY)
-    return train.withColumn("train", F.lit(True)).unionByName(
-        test.withColumn("train", F.lit(False))
-    )
+    return flows(spark, folder).select(FLOW_KEY, "class", in_training(FLOW_KEY).alias("train"))
 
 
 @query(

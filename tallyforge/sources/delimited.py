@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def scan_csv(
@@ -14,15 +14,28 @@ def scan_csv(
     header: bool = True,
     infer_schema: bool = False,
     sampling_ratio: float = 1.0,
+    fail_fast: bool = False,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
     """Read delimited text.
 
     Give a ``schema`` for anything large: inference reads the whole input once more and may type
     the same column differently from one file to the next. With neither, all columns are strings.
+
+    A field that does not fit its type becomes null, unless ``fail_fast`` makes it an error; with a
+    schema, ``corrupt_column`` names a text column that receives the whole line of such a record.
     """
     if schema is not None and infer_schema:
         raise ValueError("give a schema or ask for inference, not both")
-    reader = spark.read.option("header", header)
+    if corrupt_column is not None and (schema is None or fail_fast):
+        raise ValueError("a column for corrupt records needs a schema and no fail_fast")
+    reader = spark.read.option("header", header).option("mode", "FAILFAST" if fail_fast else "PERMISSIVE")
+    if corrupt_column is not None:
+        fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        names = [f for f in fields.fields if f.name != corrupt_column]
+        schema = StructType([*names, StructField(corrupt_column, StringType())])
+        # A header cannot name the added column, so it is not compared with the schema.
+        return reader.schema(schema).option("columnNameOfCorruptRecord", corrupt_column).csv(path)
     if schema is not None:
         # Files are matched to the schema by position; a header in another order is an error.
         reader = reader.schema(schema).option("enforceSchema", False)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -16,19 +17,37 @@ def shared_folder(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
+_made: dict[str, SparkSession] = {}
+
+
+def on_one_machine(spark: SparkSession) -> bool:
+    master = spark.conf.get("spark.master", "")
+    return master == "local" or master.startswith("local[")
+
+
 def new_shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written table or model.
+    """A fresh path for a written table or model, which is removed when the process ends.
 
     Without a configured folder a temporary one is used, which is only sound when driver and
-    executors are the same machine.
+    executors are the same machine; anywhere else that is an error.
     """
     folder = shared_folder(spark)
     if folder is None:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if not on_one_machine(spark):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="tallyforge-")
-    return f"{folder.rstrip('/')}/tallyforge/{name}-{uuid.uuid4().hex}"
+    path = f"{folder.rstrip('/')}/tallyforge/{name}-{uuid.uuid4().hex}"
+    _made[path] = spark
+    return path
+
+
+@atexit.register
+def _remove_made() -> None:
+    """What results may still have read from is removed last, if the session is still there."""
+    for path, spark in list(_made.items()):
+        context = spark.sparkContext
+        if context._jsc is not None and not context._jsc.sc().isStopped():
+            delete_path(spark, path)
 
 
 def widen(df: DataFrame) -> DataFrame:
@@ -47,10 +66,12 @@ def staged(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
 
     On a cluster it is written once to the shared folder and deleted afterwards: the copy outlives
     lost executors, cuts the lineage and takes no executor memory. Without such a folder it is
-    persisted instead. Column metadata (category names, vector sizes) survives both ways.
+    persisted instead on a single machine, and refused on a cluster. Column metadata (category names, vector sizes) survives both ways.
     """
     spark = df.sparkSession
     if shared_folder(spark) is None:
+        if not on_one_machine(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         kept = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             yield kept
@@ -67,14 +88,28 @@ def staged(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
 
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a table written by :func:`staged`, on whatever file system holds it."""
+    _made.pop(path, None)
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def settle(df: DataFrame) -> DataFrame:
+# Rows that may be brought to the driver as a result of a study.
+MAX_SETTLED = 100_000
+
+
+def settle(df: DataFrame, max_rows: int = MAX_SETTLED) -> DataFrame:
     """Compute a small table now, so that it no longer depends on anything staged.
 
-    Only for tables of a known few rows: measures, leaves of a tree, cluster summaries.
+    For measures, leaves of a tree, cluster summaries. A table of more than ``max_rows`` rows is
+    written to the shared folder instead of being collected.
     """
-    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+    spark = df.sparkSession
+    path = new_shared_path(spark, "settled")
+    df.write.parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    rows = written.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return written
+    delete_path(spark, path)
+    return spark.createDataFrame(rows, df.schema)

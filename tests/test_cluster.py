@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.mllib.clustering import KMeans as RddKMeans, KMeansModel as RddKMeansModel
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ def points(spark, n=400, d=3, seed=0):
 
 def test_wssse_equals_brute_force_with_final_centres(spark):
     df, values = points(spark)
-    vectors = df.select("id", cluster.array_to_vector("x").alias("features"))
+    vectors = df.select("id", array_to_vector("x").alias("features"))
     model = cluster.kmeans_parallel(3).setMaxIter(1).fit(vectors)
     scored = model.transform(vectors)
     centers = cluster.model_centers(model)
@@ -68,7 +69,7 @@ def test_nearest_prefers_the_smaller_id_on_ties(spark):
 
 def test_summary_lists_empty_clusters(spark):
     df, _ = points(spark)
-    vectors = df.select(cluster.array_to_vector("x").alias("features"))
+    vectors = df.select(array_to_vector("x").alias("features"))
     model = cluster.kmeans_random(3, seed=2).fit(vectors)
     some = model.transform(vectors).filter("prediction = 0")
     sizes = dict(tuples(cluster.cluster_summary(model, some)))
@@ -83,7 +84,7 @@ def test_centers_table(spark):
 def test_k_of_one_is_rejected(spark):
     df, _ = points(spark)
     with pytest.raises(Exception):
-        cluster.kmeans_parallel(1).fit(df.select(cluster.array_to_vector("x").alias("features")))
+        cluster.kmeans_parallel(1).fit(df.select(array_to_vector("x").alias("features")))
 
 
 def test_fit_settings(spark):
@@ -104,7 +105,24 @@ def test_embeddings_assignment_is_the_nearest_centre(spark, data):
 
 def test_moments_use_partial_aggregation(spark):
     df, _ = points(spark)
-    vectors = df.select("g", cluster.array_to_vector("x").alias("features"))
+    vectors = df.select("g", array_to_vector("x").alias("features"))
     plan = cluster.cluster_moments(vectors, "g")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ObjectHashAggregate") == 2
     assert cluster.cluster_moments(vectors, "g").agg(F.sum("size")).first()[0] == 400
+
+
+def test_summary_holds_k_sizes_and_centres(spark):
+    df, _ = points(spark)
+    vectors = df.select(array_to_vector("x").alias("features"))
+    model = cluster.kmeans_parallel(3, iterations=4).fit(vectors)
+    rows = cluster.kmeans_summary(model, model.transform(vectors)).collect()
+    assert [r["value"] for r in rows if r["item"] == "k"] == [3.0]
+    assert sum(r["value"] for r in rows if r["item"] == "size") == 400
+    centers = {(r["cluster"], r["pos"]): r["value"] for r in rows if r["item"] == "center"}
+    assert centers == {(k, i): v for k, c in cluster.model_centers(model).items() for i, v in enumerate(c)}
+
+
+def test_too_many_groups_are_refused(spark):
+    df, _ = points(spark)
+    with pytest.raises(ValueError):
+        cluster.first_of_each(df, "id", "id", "x", max_groups=10)

@@ -41,9 +41,17 @@ def test_schema_and_inference_exclude_each_other(spark, csv):
         scan_csv(spark, csv, schema="a int", infer_schema=True)
 
 
-def test_legacy_format_name_still_resolves(spark, csv):
-    df = spark.read.format("com.databricks.spark.csv").option("header", True).load(csv)
-    assert df.count() == 3
+def test_bad_fields_are_null_an_error_or_kept_as_text(spark, tmp_path):
+    path = tmp_path / "bad"
+    path.write_text("duration,rate\n1,0.5\nx,0.25\n")
+    schema = "duration int, rate double"
+    assert tuples(scan_csv(spark, str(path), schema=schema)) == [(1, 0.5), (None, 0.25)]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        scan_csv(spark, str(path), schema=schema, fail_fast=True).collect()
+    kept = scan_csv(spark, str(path), schema=schema, corrupt_column="bad")
+    assert tuples(kept) == [(1, 0.5, None), (None, 0.25, "x,0.25")]
+    with pytest.raises(ValueError):
+        scan_csv(spark, str(path), corrupt_column="bad")
 
 
 def test_csv_round_trip(spark, data, tmp_path):

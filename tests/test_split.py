@@ -1,6 +1,15 @@
+import pytest
 from pyspark.sql import functions as F
 
-from tallyforge.operators.split import fold_number, hash_split, in_training, random_split, training_flag
+from tallyforge.functions.recode import key_number
+from tallyforge.operators.split import (
+    fold_number,
+    hash_split,
+    in_training,
+    random_split,
+    training_flag,
+    with_row_key,
+)
 
 from tests.conftest import tuples
 
@@ -52,3 +61,41 @@ def test_coin_toss_flag(spark):
     assert flags.exceptAll(again).count() == 0
     other = df.select("k", training_flag("k", toss_seed=6).alias("t"))
     assert flags.exceptAll(other).count() > 0
+
+
+@pytest.mark.parametrize("folds", [4, 10, 50, 100])
+def test_folds_of_training_rows_are_even(spark, folds):
+    """Folds do not follow the split: within the training part none is empty or crowded."""
+    train = keyed(spark).where(in_training("k"))
+    sizes = [n for _, n in tuples(train.groupBy(fold_number("k", folds)).agg(F.count("*")))]
+    mean = 14_000 / folds
+    assert len(sizes) == folds
+    assert all(abs(n - mean) < 6 * mean**0.5 for n in sizes)
+
+
+@pytest.mark.parametrize("share", [0.705, 0.5, 0.0, 1.0, 0.99995])
+def test_shares_are_not_rounded(spark, share):
+    n = keyed(spark, 200_000).where(in_training("k", share)).count()
+    assert abs(n - 200_000 * share) <= 5 * (200_000 * share * (1 - share)) ** 0.5
+
+
+def test_toss_is_the_same_under_any_partitioning(spark):
+    df = keyed(spark)
+    four = df.repartition(4).withColumn("t", training_flag("k", toss_seed=1))
+    seven = df.repartition(7, "k").withColumn("t", training_flag("k", toss_seed=1))
+    assert four.exceptAll(seven).count() == 0
+    split = df.withColumn("t", in_training("k"))
+    assert four.exceptAll(split).count() > 0
+
+
+def test_null_parts_of_keys_are_told_apart(spark):
+    df = spark.createDataFrame([("a", None), (None, "a"), ("a", ""), (None, None)], "x string, y string")
+    numbers = {r[0] for r in df.select(key_number(["x", "y"])).collect()}
+    assert len(numbers) == 4
+
+
+def test_rows_without_a_key_get_one_from_their_content(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, None), (2, "a")], "row_key int, y string")
+    keyed_rows, name = with_row_key(df, None)
+    assert name == "row_key_" and keyed_rows.select(name).distinct().count() == 3
+    assert with_row_key(df, "y") == (df, "y")
