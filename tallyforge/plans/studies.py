@@ -4,12 +4,17 @@ Each study scans its input twice (once to count categories, once to encode) and
 feature table until its measures are known. Rows never reach the driver: what returns is a fitted
 model and measures of a handful of rows.
 
-Training rows are chosen by a hash of the row key, or with ``toss_seed`` by independent coin tosses.
+Training rows are chosen by a hash of the row key, or with ``toss_seed`` by a toss per key; both fall
+the same on every recomputation. Without a key (``key=None``) the content of the row takes its place,
+so copies of a row stay together.
+
+``Study.scored`` encodes and scores the input anew when it is used, which is a third scan.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -30,7 +35,7 @@ from tallyforge.operators.features import (
     fit_scaler,
     fit_vector_index,
 )
-from tallyforge.operators.split import fold_number, in_training, training_flag
+from tallyforge.operators.split import fold_number, in_training, training_flag, with_row_key
 from tallyforge.spec import ATTACK, NORMAL, connection_spec
 from tallyforge.staging import settle, staged
 
@@ -40,7 +45,9 @@ class Study:
     """What a study leaves behind.
 
     ``measures`` is the ``(metric, value)`` table, ``counts`` the contingency table it came from and
-    ``scored`` the scored rows, computed when asked for.
+    ``scored`` the scored rows, computed when asked for. ``tables`` holds what else a study reports:
+    the clustering studies their ``summary`` (k, sizes and centres), the ``histogram`` of assigned
+    clusters and the ``classes`` with their counts.
     """
 
     model: Model
@@ -48,6 +55,7 @@ class Study:
     measures: DataFrame
     counts: DataFrame
     scored: DataFrame
+    tables: dict[str, DataFrame] = field(default_factory=dict)
 
 
 def _measures(*one_row_tables: DataFrame) -> DataFrame:
@@ -75,7 +83,7 @@ def _scalar(df: DataFrame, **values: float) -> DataFrame:
 
 def tree_study(
     df: DataFrame,
-    key: str,
+    key: str | None,
     *,
     folds: int = classify.CV_FOLDS,
     bins: tuple[int, ...] = classify.GRID_BINS,
@@ -83,15 +91,19 @@ def tree_study(
     parallelism: int = 4,
     fit_on: str = "all",
     toss_seed: int | None = None,
+    tree: Mapping[str, object] | None = None,
 ) -> Study:
     """Normal against attack with a decision tree tuned by cross-validation.
 
+    ``tree`` holds further settings of the tree.
+
     ``fit_on="all"`` learns categories before the split; ``"train"`` learns them from training rows
     only and gives categories unseen there an all-zero vector; it needs the split by key.
     """
     if fit_on not in ("all", "train") or (fit_on == "train" and toss_seed is not None):
         raise ValueError("fit_on is 'all', or 'train' with a split by key")
-    data = df.withColumn("class", class_binarize("class"))
+    data, key = with_row_key(df, key)
+    data = data.withColumn("class", class_binarize("class"))
     spec = connection_spec(key=[key])
     if fit_on == "all":
         features = fit_features(data, spec, "onehot")
@@ -99,7 +111,7 @@ def tree_study(
         features = fit_features(data.filter(in_training(key)), spec, "onehot", handle_invalid="keep")
     encoded = _encode(data, features, key, toss_seed, fold_number(key, folds).alias("fold"))
     search = classify.cross_validator(
-        classify.decision_tree(),
+        classify.decision_tree(**(tree or {})),
         bins=bins,
         depths=depths,
         folds=folds,
@@ -149,14 +161,15 @@ def _fit_net(
 
 def perceptron_study(
     df: DataFrame,
-    key: str,
+    key: str | None,
     *,
     scale: bool = False,
     seed: int | None = None,
     toss_seed: int | None = None,
 ) -> Study:
     """Normal against attack with a neural net on numeric columns and category indices."""
-    data = df.withColumn("class", class_binarize("class"))
+    data, key = with_row_key(df, key)
+    data = data.withColumn("class", class_binarize("class"))
     features = fit_features(data, connection_spec(key=[key]), "ordinal")
     encoded = _encode(data, features, key, toss_seed)
     with staged(encoded, "features") as rows:
@@ -172,31 +185,49 @@ def perceptron_study(
     return Study(model, features, measures, counts, scored)
 
 
-def cluster_study(df: DataFrame, key: str) -> Study:
+def _cluster_tables(model: Model, assigned: DataFrame, counts: DataFrame) -> dict[str, DataFrame]:
+    return {
+        "summary": settle(cluster.kmeans_summary(model, assigned)),
+        "histogram": settle(relational.prediction_histogram(counts)),
+    }
+
+
+def cluster_study(
+    df: DataFrame,
+    key: str | None,
+    *,
+    drop_constant: bool = True,
+    iterations: int = cluster.KMEANS_ITERATIONS,
+) -> Study:
     """k-means over all rows with one cluster per class, compared naively with the class index."""
+    df, key = with_row_key(df, key)
     spec = connection_spec(key=[key], host_login=True)
-    features = fit_features(df, spec, "onehot", drop_constant=True)
+    features = fit_features(df, spec, "onehot", drop_constant=drop_constant)
     encoded = features.transform(df).select(key, "features", "label")
     with staged(encoded, "features") as rows:
-        model = cluster.kmeans_parallel(len(features.labels)).fit(rows)
+        model = cluster.kmeans_parallel(len(features.labels), iterations=iterations).fit(rows)
         assigned = classify.predict(model, rows)
         # As many rows as classes times clusters, and there is one cluster per class.
         counts = settle(relational.contingency(assigned))
         measures = _measures(
             metrics.agreement(counts), cluster.wssse(assigned, cluster.model_centers(model))
         )
-    return Study(model, features, measures, counts, classify.predict(model, encoded))
+        tables = _cluster_tables(model, assigned, counts)
+    classes = settle(relational.value_counts(df, "class"))
+    tables["classes"] = classes
+    return Study(model, features, measures, counts, classify.predict(model, encoded), tables)
 
 
 def formula_forest_study(
     df: DataFrame,
-    key: str,
+    key: str | None,
     *,
     seed: int | None = None,
     subset: str = "auto",
     toss_seed: int | None = None,
 ) -> Study:
     """Normal against attack with a random forest on ``class ~ .``; normal is the positive class."""
+    df, key = with_row_key(df, key)
     data = df.drop("is_host_login").withColumn("class", class_binarize("class"))
     features = fit_features(data, connection_spec(key=[key]), "formula")
     encoded = _encode(data, features, key, toss_seed, "class")
@@ -219,9 +250,10 @@ def formula_forest_study(
 
 
 def formula_cluster_study(
-    df: DataFrame, key: str, *, seed: int | None = None, toss_seed: int | None = None
+    df: DataFrame, key: str | None, *, seed: int | None = None, toss_seed: int | None = None
 ) -> Study:
     """k-means from random rows on ``class ~ .``, fitted on the training part."""
+    df, key = with_row_key(df, key)
     data = df.drop("is_host_login").withColumn("class", class_binarize("class"))
     features = fit_features(data, connection_spec(key=[key]), "formula")
     encoded = _encode(data, features, key, toss_seed, "class")
@@ -231,19 +263,22 @@ def formula_cluster_study(
             relational.contingency(classify.predict(model, _test_part(rows)), truth="class")
         )
         measures = _measures(relational.split_sizes(rows, F.col("train")))
+        learned = classify.predict(model, rows.filter("train"))
+        tables = {"summary": settle(cluster.kmeans_summary(model, learned))}
     scored = classify.predict(model, _test_part(encoded))
-    return Study(model, features, measures, counts, scored)
+    return Study(model, features, measures, counts, scored, tables)
 
 
 def formula_perceptron_study(
     df: DataFrame,
-    key: str,
+    key: str | None,
     *,
     scale: bool = False,
     seed: int | None = None,
     toss_seed: int | None = None,
 ) -> Study:
     """Normal (1.0) against attack (0.0) with a neural net on hand-coded columns."""
+    df, key = with_row_key(df, key)
     data = (
         df.drop("is_host_login", "service")
         .withColumn("class", class_to_numeric("class"))
