@@ -12,8 +12,9 @@ from tallyforge.operators.split import in_training
 from tallyforge.plans import studies
 from tallyforge.plans.registry import query
 from tallyforge.plans.shared import FLOWS, IN_TRAINING, IS_NORMAL, encoded_flows
+from tallyforge.sources.delimited import scan_csv, write_csv
 from tallyforge.sources.tables import FLOW_KEY, flows, table
-from tallyforge.staging import settle, staged
+from tallyforge.staging import new_shared_path, settle, staged
 
 RULE_ON_TEST = f"""with {FLOWS}
 select flow_key, case when {IS_NORMAL} then 1.0 else 0.0 end::double as prediction
@@ -121,16 +122,72 @@ def mlp_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query()
-def mlp_unscaled(spark: SparkSession, folder: str) -> DataFrame:
-    study = studies.perceptron_study(flows(spark, folder, spread=True), FLOW_KEY, seed=1)
-    return study.measures
+# What holds exactly of a study whose model depends on a random start.
+IN_TOSS = "('0x' || substr(md5('toss {seed}|' || flow_key), 1, 8))::bigint < round(0.7 * 4294967296)"
+IDENTITIES = {
+    "correct and incorrect are all": lambda m: m["correct"] + m["incorrect"] - m["total"],
+    "ratios": lambda m: m["ratio_correct"] + m["ratio_incorrect"] - 1,
+    "correct is ratio of total": lambda m: m["ratio_correct"] * m["total"] - m["correct"],
+}
+
+
+def _sizes_sql(rule: str) -> str:
+    return f"""with {FLOWS}
+select 'n_rows' as metric, count(*)::double as value from flows
+union all select 'n_train', count(*) filter ({rule})::double from flows
+union all select 'n_test', count(*) filter (not ({rule}))::double from flows
+union all select 'total', count(*) filter (not ({rule}))::double from flows"""
+
 
+def _zeros_sql(*names: str) -> str:
+    return "".join(f" union all select '{n}', 0.0" for n in (*IDENTITIES, *names))
 
-@query()
+
+def _facts(study: studies.Study, **gaps: float) -> DataFrame:
+    """Sizes, and the gaps of identities between the study's measures, rounded to six digits."""
+    found = {r["metric"]: r["value"] for r in study.measures.collect()}
+    facts = {k: found[k] for k in ("n_rows", "n_train", "n_test", "total")}
+    facts |= {k: gap(found) for k, gap in IDENTITIES.items()}
+    facts |= {k.replace("_", " "): v for k, v in gaps.items()}
+    # Adding zero turns a negative zero into a plain one.
+    rows = [(k, round(v, 6) + 0.0) for k, v in facts.items()]
+    return study.measures.sparkSession.createDataFrame(rows, "metric string, value double")
+
+
+def _cells_gap(study: studies.Study) -> float:
+    """The four confusion cells over all rows add up to 1."""
+    found = {r["metric"]: r["value"] for r in study.measures.collect()}
+    return sum(found[k] for k in ("tp", "tn", "fp", "fn")) - 1
+
+
+@query(_sizes_sql(IN_TRAINING) + _zeros_sql("cells"))
+def mlp_unscaled(spark: SparkSession, folder: str) -> DataFrame:
+    """The net on unscaled columns: sizes, and identities between its measures."""
+    study = studies.perceptron_study(flows(spark, folder, spread=True), FLOW_KEY, seed=1)
+    return _facts(study, cells=_cells_gap(study))
+
+
+def _crossed_gap(study: studies.Study) -> float:
+    """Crossed rates against the study's own counts, recomputed here."""
+    found = {r["metric"]: r["value"] for r in study.measures.collect()}
+    n = {(r["prediction"], r["truth"]): r["n"] for r in study.counts.collect()}
+    yes = sum(v for (p, _), v in n.items() if p == 1.0)
+    no = sum(v for (p, _), v in n.items() if p == 0.0)
+    cells = {
+        "tp_rate": (n.get((1.0, 1.0), 0), yes),
+        "tn_rate": (n.get((0.0, 0.0), 0), no),
+        "fp_rate": (n.get((1.0, 0.0), 0), no),
+        "fn_rate": (n.get((0.0, 1.0), 0), yes),
+    }
+    wanted = {k: a / b if b else None for k, (a, b) in cells.items()}
+    return sum(abs((found[k] or 0.0) - (v or 0.0)) for k, v in wanted.items())
+
+
+@query(_sizes_sql(IN_TRAINING) + _zeros_sql("crossed rates"))
 def mlp_formula(spark: SparkSession, folder: str) -> DataFrame:
+    """The net on coded columns: sizes, identities, and the crossed rates of its own counts."""
     study = studies.formula_perceptron_study(flows(spark, folder, spread=True), FLOW_KEY, seed=1)
-    return study.measures
+    return _facts(study, crossed_rates=_crossed_gap(study))
 
 
 @query(
@@ -158,11 +215,12 @@ def forest_formula_rule(spark: SparkSession, folder: str) -> DataFrame:
     return study.measures.select("metric", F.round("value", 6).alias("value"))
 
 
-@query()
+@query(_sizes_sql(IN_TOSS.format(seed=1)) + _zeros_sql("cells"))
 def forest_formula_default(spark: SparkSession, folder: str) -> DataFrame:
-    records = flows(spark, folder, spread=True)
+    """The forest at its default settings on tossed training rows: sizes and identities."""
+    records = flows(spark, folder)
     study = studies.formula_forest_study(records, FLOW_KEY, seed=1, toss_seed=1)
-    return study.measures
+    return _facts(study, cells=_cells_gap(study))
 
 
 # Two clumps of records far apart along one axis: any start converges to the same two clusters, so
@@ -252,16 +310,169 @@ def kmeans_study_invariants(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(rows, "metric string, value double")
 
 
-@query()
+@query(
+    f"""with {FLOWS}
+select 'class ' || class as metric, count(*)::double as value from flows group by class
+union all select 'k', count(distinct class)::double from flows
+union all select 'sum of sizes', count(*)::double from flows
+union all select 'sum of histogram', count(*)::double from flows
+union all select 'sizes against histogram', 0.0
+union all select 'centres weighted by size against column means', 0.0
+union all select 'correct against counts', 0.0
+union all select 'ratios', 0.0"""
+)
 def kmeans_study(spark: SparkSession, folder: str) -> DataFrame:
-    return studies.cluster_study(flows(spark, folder, spread=True), FLOW_KEY).measures
+    """The clustering study's tables, against each other and against the records.
+
+    The mean of all rows is the mean of the clusters' means weighted by their sizes, whatever the
+    clusters; k-means' centres are such means once it has converged.
+    """
+    study = studies.cluster_study(flows(spark, folder, spread=True), FLOW_KEY, iterations=200)
+    found = {r["metric"]: r["value"] for r in study.measures.collect()}
+    summary = study.tables["summary"].collect()
+    sizes = {r["cluster"]: r["value"] for r in summary if r["item"] == "size"}
+    histogram = {r["prediction"]: r["n"] for r in study.tables["histogram"].collect()}
+    same = sum(r["n"] for r in study.counts.collect() if r["prediction"] == r["truth"])
+    whole = cluster.cluster_moments(study.scored.withColumn("one", F.lit(0)), "one").first()
+    centers = cluster.model_centers(study.model)
+    gaps = []
+    for pos, mean in enumerate(whole["mean"]):
+        weighted = sum(n * centers[k][pos] for k, n in sizes.items()) / sum(sizes.values())
+        gaps.append(abs(weighted - mean) / max(1.0, abs(mean)))
+    rows = [(f"class {r['class']}", float(r["n"])) for r in study.tables["classes"].collect()]
+    rows += [
+        ("k", next(r["value"] for r in summary if r["item"] == "k")),
+        ("sum of sizes", float(sum(sizes.values()))),
+        ("sum of histogram", float(sum(histogram.values()))),
+        ("sizes against histogram", float(sum(abs(n - histogram.get(k, 0)) for k, n in sizes.items()))),
+        ("centres weighted by size against column means", round(float(max(gaps)), 4)),
+        ("correct against counts", found["correct"] - same),
+        ("ratios", round(found["ratio_correct"] + found["ratio_incorrect"] - 1, 6) + 0.0),
+    ]
+    return spark.createDataFrame(rows, "metric string, value double")
 
 
-@query()
+@query(
+    f"""with {FLOWS} select case when class = 'normal' then class else 'attack' end as truth,
+  count(*)::bigint as n from flows where not ({IN_TOSS.format(seed=3)}) group by 1"""
+)
 def kmeans_formula_contingency(spark: SparkSession, folder: str) -> DataFrame:
-    records = flows(spark, folder, spread=True)
-    study = studies.formula_cluster_study(records, FLOW_KEY, seed=3, toss_seed=3)
-    return study.counts
+    """Clusters found in tossed training rows: the test rows per class, over all clusters."""
+    study = studies.formula_cluster_study(flows(spark, folder), FLOW_KEY, seed=3, toss_seed=3)
+    return study.counts.groupBy("truth").agg(F.sum("n").alias("n"))
+
+
+# Labels that follow a rule of two columns except for one row in ten: a tree that must gain something
+# finds the three cells of the rule and nothing else, so its scores are counts per cell.
+FLIP = "('0x' || substr(md5('flip' || flow_key), 1, 8))::bigint % 10 = 0"
+FLIP_SPARK = "cast(conv(substr(md5(concat('flip', flow_key)), 1, 8), 16, 10) as bigint) % 10 = 0"
+CELLS_RULE = "land = 1 and duration > 10"
+NOISY = f"""noisy as (
+  select flow_key, land, duration, {IN_TRAINING} as train,
+    ('0x' || substr(md5(flow_key), 9, 8))::bigint % 4 as fold,
+    (({CELLS_RULE}) <> ({FLIP}))::int as y
+  from flows),
+cells as (
+  select *, land as cell1, case when land = 0 then 0 when duration <= 10 then 1 else 2 end as cell2 from noisy)"""
+
+
+def _auc_sql(name: str, learned: str, judged: str, cell: str) -> str:
+    """CTE with the area under ROC of cells of ``judged`` rows scored by their class 1 rows in ``learned``."""
+    return f"""{name} as (
+  with s as (select {cell} as c, sum(y)::double as score from cells where {learned} group by 1),
+  j as (
+    select score, sum(y)::double as p, sum(1 - y)::double as q
+    from cells join s on s.c = {cell} where {judged} group by score),
+  a as (select p, q, sum(p) over (order by score desc rows unbounded preceding) as so_far from j)
+  select sum(q * (so_far - p / 2)) / (sum(p) * sum(q)) as auc from a)"""
+
+
+_FOLD_AUC = ", ".join(
+    _auc_sql(f"auc{d}_{f}", f"train and fold <> {f}", f"train and fold = {f}", f"cell{d}")
+    for d in (1, 2)
+    for f in range(4)
+)
+_MEAN_AUC = {
+    d: "(" + " + ".join(f"(select auc from auc{d}_{f})" for f in range(4)) + ") / 4" for d in (1, 2)
+}
+
+
+@query(
+    f"""with {FLOWS}, {NOISY}, {_FOLD_AUC}, {_auc_sql("test_auc", "train", "not train", "cell2")},
+t as (select *, (cell2 = 2)::int as p from cells where not train)
+select 'auc depth=1' as metric, round({_MEAN_AUC[1]}, 6) as value
+union all select 'auc depth=2', round({_MEAN_AUC[2]}, 6)
+union all select 'auc depth=5', round({_MEAN_AUC[2]}, 6)
+union all select 'auc', round(auc, 6) from test_auc
+union all select 'error_rate', round(1 - auc, 6) from test_auc
+union all select 'tp', round(avg((p = 1 and y = 1)::int), 6) from t
+union all select 'tn', round(avg((p = 0 and y = 0)::int), 6) from t
+union all select 'fp', round(avg((p = 1 and y = 0)::int), 6) from t
+union all select 'fn', round(avg((p = 0 and y = 1)::int), 6) from t
+union all select 'ratio_correct', round(avg((p = y)::int), 6) from t
+union all select 'best depth', 2.0
+union all select 'importances', 1.0
+union all select 'slots used', 2.0
+union all select 'leaves', 3.0"""
+)
+def cv_noisy_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """The tree study where labels are noisy and grid points differ: every fold's score is checked."""
+    noisy = F.expr(f"({CELLS_RULE}) <> ({FLIP_SPARK})")
+    records = flows(spark, folder).withColumn("class", F.when(noisy, "normal").otherwise("smurf"))
+    study = studies.tree_study(
+        records, FLOW_KEY, bins=(65,), depths=(1, 2, 5), tree={"minInfoGain": 0.02}
+    )
+    search = study.model.stages[-1]
+    rows = [
+        (f"auc depth={next(v for p, v in point.items() if p.name == 'maxDepth')}", float(score))
+        for point, score in zip(search.getEstimatorParamMaps(), search.avgMetrics)
+    ]
+    best = search.bestModel
+    used = [v for v in best.featureImportances.toArray() if v > 0]
+    rows += [
+        ("best depth", float(best.getOrDefault("maxDepth"))),
+        ("importances", float(sum(used))),
+        ("slots used", float(len(used))),
+        ("leaves", float((best.numNodes + 1) // 2)),
+    ]
+    wanted = ["auc", "error_rate", "tp", "tn", "fp", "fn", "ratio_correct"]
+    found = study.measures.where(F.col("metric").isin(wanted))
+    every = found.unionByName(spark.createDataFrame(rows, "metric string, value double"))
+    return every.select("metric", F.round("value", 6).alias("value"))
+
+
+@query(
+    f"""with {FLOWS} select 'n_rows' as metric, count(*)::double as value from flows
+union all select 'train and test', count(*)::double from flows
+union all select 'auc', 1.0 union all select 'ratio_correct', 1.0"""
+)
+def csv_study_without_key(spark: SparkSession, folder: str) -> DataFrame:
+    """From delimited text without a row key to the measures of a tree study."""
+    path = new_shared_path(spark, "records-csv")
+    records = flows(spark, folder).drop(FLOW_KEY)
+    write_csv(records, path)
+    read = scan_csv(spark, path, schema=records.schema, fail_fast=True)
+    study = studies.tree_study(read, None, bins=(65,), depths=(4, 6))
+    found = {r["metric"]: r["value"] for r in study.measures.collect()}
+    rows = [
+        ("n_rows", found["n_rows"]),
+        ("train and test", found["n_train"] + found["n_test"]),
+        ("auc", round(found["auc"], 6)),
+        ("ratio_correct", round(found["ratio_correct"], 6)),
+    ]
+    return spark.createDataFrame(rows, "metric string, value double")
+
+
+@query(
+    f"""with {FLOWS} select * from (values ('layer', 0, 10), ('layer', 1, 10), ('layer', 2, 10), ('layer', 3, 2),
+  ('weights', 0, 10 * 10 + 10 + 10 * 10 + 10 + 10 * 2 + 2)) as v(item, pos, value)
+where exists (select 1 from flows)"""
+)
+def perceptron_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """Layers and weights of a net fitted on the four numbers and six category indices."""
+    study = studies.perceptron_study(flows(spark, folder), FLOW_KEY, scale=True, seed=1)
+    found = classify.perceptron_summary(study.model.stages[-1], study.counts)
+    return found.withColumn("value", F.col("value").cast("int"))
 
 
 # Two rounds of k-means from one fixed example per label.
