@@ -25,11 +25,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyforge.llm.arrow_text import by_size, text_bytes
 from tallyforge.llm.groups import group_chunks
-from tallyforge.llm.tables import discard, small, written
+from tallyforge.llm.tables import discard, release, small, written
 from tallyforge.llm.word_hashes import mixed
 
 MIN_BYTES = 50
@@ -218,7 +219,7 @@ def stretches_of(rows: DataFrame, anchors: DataFrame, parts: int) -> DataFrame:
                 code[own].tobytes(),
                 digest[own].tobytes(),
                 (end[own] - begin[own]).astype(np.int32).tobytes(),
-                texts,
+                zstandard.ZstdCompressor(level=1).compress(texts),
             ]
 
     dealt_texts = rows.select("document", "content", "body", part_of(F.col("document"), parts).alias("bucket"))
@@ -272,7 +273,8 @@ def bucket_pieces(group: pa.Table) -> tuple[np.ndarray, ...]:
     document, content = unpacked(group, "documents", np.int64), unpacked(group, "contents", np.int64)
     at, sizes = unpacked(group, "begins", np.int32), unpacked(group, "sizes", np.int32).astype(np.int64)
     code, digest = unpacked(group, "codes", np.uint64), unpacked(group, "digests", np.uint64)
-    text, place = unpacked(group, "texts", np.uint8), None
+    texts = b"".join(map(zstandard.ZstdDecompressor().decompress, group["texts"].to_pylist()))
+    padded = np.frombuffer(texts + bytes(int(sizes.max()) + 8), np.uint8)
     # Equal stretches are one class; classes in order of their anchors.
     order = np.lexsort((digest, code))
     new = np.append(True, (code[order][1:] != code[order][:-1]) | (digest[order][1:] != digest[order][:-1]))
@@ -289,7 +291,7 @@ def bucket_pieces(group: pa.Table) -> tuple[np.ndarray, ...]:
     entries = [(np.arange(len(first)), np.zeros(len(first), np.int64), sizes, least)]
     mixed_classes = np.flatnonzero(~alone)
     for lot in class_lots(mixed_classes, code, sizes):
-        entries.append(maximal_repeats(text, place, sizes, code, least, lot))
+        entries.append(maximal_repeats(padded, place, sizes, code, least, lot))
     kind, begin, length, smallest = (np.concatenate(c) for c in zip(*entries))
     # Every occurrence of every repeat: the members of its classes.
     by_class = np.argsort(owner, kind="stable")
@@ -304,7 +306,7 @@ def bucket_pieces(group: pa.Table) -> tuple[np.ndarray, ...]:
     return document[which], content[which], start, start + length[entry]
 
 
-def class_lots(classes: np.ndarray, code: np.ndarray, sizes: np.ndarray, most: int = 1 << 18) -> Iterator[np.ndarray]:
+def class_lots(classes: np.ndarray, code: np.ndarray, sizes: np.ndarray, most: int = 1 << 15) -> Iterator[np.ndarray]:
     """Classes in lots of about ``most`` suffixes that keep the classes of an anchor together."""
     if not len(classes):
         return
@@ -320,16 +322,18 @@ def class_lots(classes: np.ndarray, code: np.ndarray, sizes: np.ndarray, most: i
         begin = end
 
 
-def maximal_repeats(text, place, sizes, code, least, classes) -> tuple[np.ndarray, ...]:
-    """Repeats among the suffixes of classes: class, begin, length and smallest document of each."""
+def maximal_repeats(padded, place, sizes, code, least, classes) -> tuple[np.ndarray, ...]:
+    """Repeats among the suffixes of classes: class, begin, length and smallest document of each.
+
+    ``padded`` holds all texts and, behind them, as many more bytes as the longest has.
+    """
     counts = sizes[classes] - MIN_BYTES + 1
     kind = np.repeat(classes, counts)
     begin = np.arange(len(kind)) - np.repeat(np.cumsum(counts) - counts, counts)
     length = sizes[kind] - begin
     wide = int(-(-length.max() // 8) * 8)
-    columns = place[kind][:, None] + begin[:, None] + np.arange(wide)
-    inside = np.arange(wide) < length[:, None]
-    suffixes = np.where(inside, text[np.where(inside, columns, 0)], 0).astype(np.uint8)
+    suffixes = np.lib.stride_tricks.sliding_window_view(padded, wide)[place[kind] + begin]
+    suffixes[np.arange(wide) >= length[:, None]] = 0
     words = suffixes.view(">u8").astype(np.uint64)
     group = np.repeat(np.cumsum(np.append(True, code[classes][1:] != code[classes][:-1])), counts)
     order = np.lexsort([length] + [words[:, i] for i in reversed(range(words.shape[1]))] + [group])
@@ -342,7 +346,7 @@ def maximal_repeats(text, place, sizes, code, least, classes) -> tuple[np.ndarra
     same_bytes = 8 * word + np.where(delta > 0, leading_bytes(delta), 8)
     common = np.minimum(np.minimum(same_bytes, size[1:]), size[:-1])
     common[group[order][1:] != group[order][:-1]] = 0
-    left = np.where(begin > 0, text[np.maximum(place[kind] + begin - 1, 0)].astype(np.int64), -1 - np.arange(len(kind)))
+    left = np.where(begin > 0, padded[np.maximum(place[kind] + begin - 1, 0)].astype(np.int64), -1 - np.arange(len(kind)))
     lo, hi, depth, smallest = scan_intervals(common, left[order], least[kind[order]])
     n = hi - lo + 1
     which = order[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())]
@@ -420,8 +424,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     marked = rows.join(known, ["document", "content"], "left")
     single = marked.where((F.octet_length("body") >= MIN_BYTES) & F.col("is_copy").isNull())
     anchors = shared_anchors(single, parts)
+    release(docs.sparkSession)
     pieces = removed_pieces(stretches_of(single, anchors, parts), parts)
     discard(anchors)
+    release(docs.sparkSession)
 
     def cut(texts: pa.Table, gone: pa.Table) -> pa.Table:
         spans = span_index(gone)

@@ -2,43 +2,45 @@
 
 from __future__ import annotations
 
-import atexit
+import gc
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyforge.staging import delete_path, new_shared_path
 
-_written: list[tuple[SparkSession, str]] = []
+#: Where the tables handed out by :func:`written` lie.
+_paths: dict[int, tuple[str, weakref.ref]] = {}
 
 
 def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """``df`` as a table in the shared folder, so that later steps survive lost executors.
 
     A lazy result may still read it after the operator has returned, so the table stays until
-    :func:`discard` or until the Python process ends.
+    :func:`discard` or until the Python process ends (see ``staging``).
     """
     spark = df.sparkSession
     path = new_shared_path(spark, name)
     df.write.partitionBy(*partition_by).parquet(path)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    result = spark.read.schema(df.schema).parquet(path)
+    _paths[id(result)] = path, weakref.ref(result, lambda _, key=id(result): _paths.pop(key, None))
+    return result
 
 
 def discard(df: DataFrame) -> None:
     """Delete a table made by :func:`written` that nothing reads any more."""
-    paths = {f.rpartition("/")[0] for f in df.inputFiles()}
-    for entry in [e for e in _written if any(p.endswith(e[1].removeprefix("file://")) for p in paths)]:
-        delete_path(*entry)
-        _written.remove(entry)
-
-
-@atexit.register
-def _discard_all() -> None:
-    for spark, path in _written:
-        if spark.sparkContext._jsc is not None and spark.sparkContext._jsc.sc().isStopped() is False:
-            delete_path(spark, path)
-    _written.clear()
+    if id(df) in _paths:
+        delete_path(df.sparkSession, _paths.pop(id(df))[0])
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of steps that are over.
+
+    It does so once the driver has dropped what refers to them, which can otherwise take long.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
