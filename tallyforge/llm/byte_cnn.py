@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tallyforge.llm.arrow_text import pieces, text_bytes
-from tallyforge.llm.tables import split_of
+from tallyforge.llm.tables import modest_batches, split_of
 
 WIDTHS = (2, 3, 4)
 FILTERS = 12
@@ -204,6 +204,7 @@ def predict_languages(
         F.col(text).alias("body"),
     )
     kind = dict(rows.dtypes)["key"]
+    modest_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

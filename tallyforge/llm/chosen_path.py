@@ -49,7 +49,7 @@ PARTS = 64
 BLOCK_SETS = 1024
 BLOCK_SHINGLES = 1 << 21
 MAX_BROADCAST_ROWS = 200_000
-LOT_BYTES = 1 << 21
+LOT_BYTES = 1 << 19
 SEEDS = np.random.default_rng(99).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tallyforge.llm.arrow_text import by_size, text_bytes
-from tallyforge.llm.tables import split_of, unused
+from tallyforge.llm.tables import modest_batches, split_of, unused
 
 TRIGRAMS = 4096
 #: The hashed trigrams and the share of words that repeat the word before them.
@@ -203,6 +203,7 @@ def labelled_counts(labels: DataFrame, docs: DataFrame, label: str, voters: int)
 
 def fit_voters(labels: DataFrame, docs: DataFrame, label: str = "quality", voters: int = VOTERS) -> Voters | None:
     """Latent vectors of at most about ``voters`` labelled texts; statistics from all ``docs``."""
+    modest_batches(docs.sparkSession)
     texts, frequencies = document_frequencies(docs)
     x, y = labelled_counts(labels, docs, label, voters)
     if not len(y):
@@ -216,6 +217,7 @@ def fit_voters(labels: DataFrame, docs: DataFrame, label: str = "quality", voter
 
 def vote(docs: DataFrame, voters: Voters | None, text: str = "text") -> DataFrame:
     """``docs`` with the column ``quality_score``, between 0 and 1."""
+    modest_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(voters)
     kept = docs.drop("quality_score")
     to_score = unused("text_to_score", kept)

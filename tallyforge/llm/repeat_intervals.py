@@ -35,11 +35,11 @@ from tallyforge.llm.word_hashes import mixed
 
 MIN_BYTES = 50
 GRAM = 16
-LOT_BYTES = 1 << 20
+LOT_BYTES = 1 << 19
 #: Texts are dealt out in parts of about so many bytes.
 PART_BYTES = 8 << 20
 #: Entries that a task holds before it hands them on.
-HELD = 1 << 21
+HELD = 1 << 20
 MAX_BROADCAST_ROWS = 200_000
 POSITION_BITS = np.uint64(30)
 ODD = np.random.default_rng(50).integers(1, 1 << 63, 4, dtype=np.uint64) | np.uint64(1)

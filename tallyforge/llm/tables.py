@@ -14,6 +14,17 @@ from tallyforge.staging import delete_path, new_shared_path
 _paths: dict[int, tuple[str, weakref.ref]] = {}
 
 
+#: Rows per Arrow batch: long texts must not add up in a Python worker.
+BATCH_ROWS = 1000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def modest_batches(spark: SparkSession) -> None:
+    """Have Spark hand texts to Python in batches of at most ``BATCH_ROWS`` rows, for the session."""
+    if not 0 < int(spark.conf.get(BATCH_SETTING, "10000")) <= BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+
 def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """``df`` as a table in the shared folder, so that later steps survive lost executors.
 
@@ -21,6 +32,7 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     :func:`discard` or until the Python process ends (see ``staging``).
     """
     spark = df.sparkSession
+    modest_batches(spark)
     path = new_shared_path(spark, name)
     df.write.partitionBy(*partition_by).parquet(path)
     result = spark.read.schema(df.schema).parquet(path)

@@ -28,7 +28,7 @@ GRAM_WORDS = 6
 #: Tables of more rows than this are joined by a shuffle.
 MAX_BROADCAST_ROWS = 200_000
 #: Texts are read in lots of about so many bytes.
-LOT_BYTES = 1 << 21
+LOT_BYTES = 1 << 19
 
 
 def gram(size: int) -> int:
