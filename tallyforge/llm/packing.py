@@ -25,14 +25,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from tallyforge.llm.tables import written
-from tallyforge.llm.tokens import encoder
+from tallyforge.llm.tokens import Encoder, added_tokens
 
 WINDOW = 1024
 OPEN_WINDOWS = 32
 END = 0
 MERGED_AT_ONCE = 512
 #: Rows of results that a task holds back before handing them on.
-ROWS_OUT = 4096
+ROWS_OUT = 1024
 
 #: document, ids before the piece, ids of the document, ids of the piece
 Piece = tuple[object, int, int, bytes]
@@ -166,10 +166,10 @@ def pack(
             ("origin", pa.int64()),
         ]
     )
-    end = np.array([END], "<u4").tobytes()
+    end, added = np.array([END], "<u4").tobytes(), added_tokens(tokenizer_path)
 
     def tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = encoder(tokenizer_path, ranks_path).ids
+        encoder = Encoder(tokenizer_path, ranks_path, added)
         origin = TaskContext.get().partitionId()
         out, number = Rows(arrow, with_ids), [origin << 32]
 
@@ -180,10 +180,11 @@ def pack(
         packer = Packer(emit, size, open_windows)
         for batch in batches:
             for document, body in zip(batch.column("key").to_pylist(), batch.column("body")):
-                ids = ids_of(body.as_py()) + end
+                ids = encoder.ids(body.as_py()) + end
                 packer.add(document, 0, len(ids) // 4, ids)
                 if len(out.rows) >= ROWS_OUT:
                     yield out.take()
+        encoder.close()
         left = packer.pour()
         if left:
             out.add(left, number[0], origin, is_open=True)

@@ -9,13 +9,15 @@ tokenizer's added tokens is encoded by the tokenizer itself.
 from __future__ import annotations
 
 import base64
-from functools import lru_cache
+import json
+from collections.abc import Sequence
+from functools import cached_property
 
 import numpy as np
 import regex
 
 #: Words kept in the cache of a Python worker, and the longest that is kept.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 CACHED_LETTERS = 40
 
 # The white space of Unicode, and the split pattern of the vocabulary with it.
@@ -46,22 +48,32 @@ class Words(dict):
 
 
 class Encoder:
-    """``ids(text)``: the ids as little-endian unsigned 32-bit integers."""
+    """``ids(text)``: the ids as little-endian unsigned 32-bit integers.
 
-    def __init__(self, tokenizer_path: str, ranks_path: str):
-        from tokenizers import Tokenizer
+    ``added`` are the tokenizer's added tokens; the tokenizer itself is loaded when one is met.
+    """
 
-        self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+    def __init__(self, tokenizer_path: str, ranks_path: str, added: Sequence[str]):
+        self.tokenizer_path, self.added = tokenizer_path, list(added)
         self.words = Words(ranks_path)
         self.split = regex.compile(SPLIT)
 
+    @cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.tokenizer_path)
+
     def ids(self, text: str) -> bytes:
         if any(t in text for t in self.added):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(map(self.words.__getitem__, self.split.findall(text)))
 
+    def close(self) -> None:
+        """Free the cache; a Python worker lives on when its task has ended."""
+        self.words.clear()
+
 
-@lru_cache(maxsize=2)
-def encoder(tokenizer_path: str, ranks_path: str) -> Encoder:
-    return Encoder(tokenizer_path, ranks_path)
+def added_tokens(tokenizer_path: str) -> list[str]:
+    with open(tokenizer_path, encoding="utf-8") as file:
+        return [t["content"] for t in json.load(file)["added_tokens"]]

@@ -14,7 +14,7 @@ from tallyforge.llm import queries
 from tallyforge.llm.neighbour_quality import ACCEPT
 from tallyforge.llm.queries_packing import RANKS, TOKENIZER
 from tallyforge.llm.tables import table
-from tallyforge.llm.tokens import Encoder
+from tallyforge.llm.tokens import Encoder, added_tokens
 from tests.compare import connect, difference
 from tests.conftest import DATA
 
@@ -176,7 +176,7 @@ def test_pipeline_run(spark):
 
 
 def test_cached_words_give_the_tokenizer_s_ids():
-    encoder = Encoder(TOKENIZER, RANKS)
+    encoder = Encoder(TOKENIZER, RANKS, added_tokens(TOKENIZER))
     alphabet = " \t\n\r\x0b\x0c\x1c\x85\xa0   　'sStTllremvd019²½Ⅷé漢字🤦🏼‍♂️_-#$%ñ​|<>"
     rng = np.random.default_rng(1)
     for _ in range(1500):
