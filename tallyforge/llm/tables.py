@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import weakref
 from collections.abc import Callable
 
@@ -49,10 +50,13 @@ def discard(df: DataFrame) -> None:
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner remove the shuffle files of steps that are over.
 
-    It does so once the driver has dropped what refers to them, which can otherwise take long.
+    It does so once the driver has dropped what refers to them, which can otherwise take long. The
+    driver's Python lets go of its references first, so the JVM is asked twice.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
