@@ -10,9 +10,15 @@ preceded by different bytes, or begin a stretch, is a maximal repeat of its anch
 are all suffixes in it, not just neighbours, and each one in a document after the smallest is
 removed. Removed pieces of neighbouring anchors join to longer runs.
 
+An anchor with more than ``MOST_WINDOWS`` windows, such as a separator line between differing texts,
+is not gathered. Its windows are dealt one by one by a hash of all their bytes, so equal ones still
+meet; a lot of text sends each distinct window once, with its smallest and largest document. What is
+known of a repeated window goes back to the parts of documents that have it, which look it up in
+their texts. A removed string is a union of such windows, so the result is the same.
+
 Exact copies of whole texts are set aside beforehand and are not compared byte by byte. No group is
 gathered but the distinct stretches of one anchor; where very many documents share a stretch, it is
-sent once per lot of text with the list of its places. Hashes have 64 bits.
+sent once per lot of text with the list of its places. Hashes have 64 bits, those of windows 128.
 
 Defined results: a null text is empty; ids are integers, a null id is before all others; rows that
 share an id never remove each other's bytes; repeated rows get the same result; texts shorter than
@@ -40,6 +46,8 @@ LOT_BYTES = 1 << 19
 PART_BYTES = 8 << 20
 #: Entries that a task holds before it hands them on.
 HELD = 1 << 20
+#: The windows of an anchor, equal ones counted as well, up to which its suffixes are sorted.
+MOST_WINDOWS = 1 << 18
 MAX_BROADCAST_ROWS = 200_000
 POSITION_BITS = np.uint64(30)
 ODD = np.random.default_rng(50).integers(1, 1 << 63, 4, dtype=np.uint64) | np.uint64(1)
@@ -121,70 +129,81 @@ def copies_of_texts(rows: DataFrame) -> DataFrame:
 
 
 def shared_anchors(rows: DataFrame, parts: int) -> DataFrame:
-    """Anchors that occur in two documents, as packed (documents, anchors) per part of documents."""
+    """Anchors that occur in two documents, as packed (documents, anchors) per part of documents.
+
+    ``heavy`` tells for each whether the anchor has more than ``MOST_WINDOWS`` windows in all texts.
+    """
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
 
         def handed() -> pa.RecordBatch:
-            document, code = (np.concatenate(c) for c in zip(*held))
+            document, code, windows = (np.concatenate(c) for c in zip(*held))
             held.clear()
             bucket = (code % np.uint64(parts)).astype(np.int32)
-            return packed_rows(list(dealt(bucket, document, code)), "documents", "codes")
+            return packed_rows(list(dealt(bucket, document, code, windows)), "documents", "codes", "windows")
 
         for batch in batches:
             documents = batch.column("document").to_numpy()
             for part, codes, starts, ends in lots(batch.column("body")):
-                owner, _, _, code = stretches(codes, starts, ends)
+                owner, begin, end, code = stretches(codes, starts, ends)
+                if not len(owner):
+                    continue
                 order = np.lexsort((code, owner))
-                owner, code = owner[order], code[order]
-                new = np.append(True, (owner[1:] != owner[:-1]) | (code[1:] != code[:-1])) if len(owner) else []
-                held.append((documents[part][owner[new]], code[new])) if len(owner) else None
+                owner, code, windows = owner[order], code[order], (end - begin - MIN_BYTES + 1)[order]
+                new = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (code[1:] != code[:-1])))
+                held.append((documents[part][owner[new]], code[new], np.add.reduceat(windows, new)))
             if sum(len(h[0]) for h in held) > HELD:
                 yield handed()
         if held:
             yield handed()
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
 
         def handed() -> pa.RecordBatch:
-            document, code = (np.concatenate(c) for c in zip(*held))
+            document, code, heavy = (np.concatenate(c) for c in zip(*held))
             held.clear()
-            return packed_rows(list(dealt(part_of(document, parts), document, code)), "documents", "codes")
+            return packed_rows(list(dealt(part_of(document, parts), document, code, heavy)), "documents", "codes", "heavy")
 
         for table, begins in group_chunks(batches, "bucket"):
             for begin, end in zip(begins[:-1], begins[1:]):
                 group = table.slice(int(begin), int(end - begin))
                 document, code = unpacked(group, "documents", np.int64), unpacked(group, "codes", np.uint64)
                 order = np.argsort(code)
-                document, code = document[order], code[order]
+                document, code, windows = document[order], code[order], unpacked(group, "windows", np.int64)[order]
                 opens = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
                 sizes = np.diff(np.append(opens, len(code)))
                 several = np.minimum.reduceat(document, opens) < np.maximum.reduceat(document, opens)
                 chosen = np.repeat(several, sizes)
+                heavy = np.repeat(np.add.reduceat(windows, opens) > MOST_WINDOWS, sizes)
                 if chosen.any():
-                    held.append((document[chosen], code[chosen]))
+                    held.append((document[chosen], code[chosen], heavy[chosen]))
                 if sum(len(h[0]) for h in held) > HELD:
                     yield handed()
         if held:
             yield handed()
 
-    schema = "bucket int, documents binary, codes binary"
-    sent = rows.select("document", "body").mapInArrow(anchors, schema)
+    schema = "bucket int, documents binary, codes binary, {} binary"
+    sent = rows.select("document", "body").mapInArrow(anchors, schema.format("windows"))
     grouped = sent.repartition("bucket").sortWithinPartitions("bucket")
-    return written(grouped.mapInArrow(met, schema), "anchors")
+    return written(grouped.mapInArrow(met, schema.format("heavy")), "anchors")
 
 
 def stretches_of(rows: DataFrame, anchors: DataFrame, parts: int) -> DataFrame:
-    """The stretches of shared anchors, each distinct text once per lot, packed per bucket of anchors."""
-    names = ("members", "documents", "contents", "begins", "codes", "digests", "sizes", "texts")
+    """The stretches of shared anchors, each distinct text once per lot, packed per bucket of anchors.
+
+    Of heavy anchors come the distinct windows of each lot, packed per bucket of windows in the last columns.
+    """
+    names = ("members", "documents", "contents", "begins", "codes", "digests", "sizes", "texts", *WINDOW_NAMES)
 
     def chosen(texts: pa.Table, wanted: pa.Table) -> pa.Table:
         out = []
         marks = None
         if wanted.num_rows and texts.num_rows:
-            marks = np.sort(mixed(unpacked(wanted, "codes", np.uint64) + ODD[2] * unpacked(wanted, "documents", np.int64).view(np.uint64)))
+            marks = mixed(unpacked(wanted, "codes", np.uint64) + ODD[2] * unpacked(wanted, "documents", np.int64).view(np.uint64))
+            order = np.argsort(marks)
+            marks, heavy = marks[order], unpacked(wanted, "heavy", bool)[order]
         for batch in texts.to_batches() if marks is not None else []:
             documents, contents = batch.column("document").to_numpy(), batch.column("content").to_numpy()
             for part, codes, starts, ends in lots(batch.column("body")):
@@ -192,7 +211,11 @@ def stretches_of(rows: DataFrame, anchors: DataFrame, parts: int) -> DataFrame:
                 mine = documents[part][owner]
                 mark = mixed(code + ODD[2] * mine.view(np.uint64))
                 at = np.minimum(np.searchsorted(marks, mark), len(marks) - 1)
-                keep = marks[at] == mark
+                known = marks[at] == mark
+                many = known & heavy[at]
+                if many.any():
+                    out.extend(send_windows(codes, begin[many], end[many], mine[many]))
+                keep = known & ~heavy[at]
                 if keep.any():
                     found = (owner[keep], begin[keep], end[keep], code[keep], mine[keep])
                     out.extend(send(codes, starts, contents[part], *found))
@@ -220,8 +243,16 @@ def stretches_of(rows: DataFrame, anchors: DataFrame, parts: int) -> DataFrame:
                 digest[own].tobytes(),
                 (end[own] - begin[own]).astype(np.int32).tobytes(),
                 zstandard.ZstdCompressor(level=1).compress(texts),
+                *[b""] * len(WINDOW_NAMES),
             ]
 
+    def send_windows(codes, begin, end, document) -> Iterator[tuple[int, list[bytes]]]:
+        n = end - begin - MIN_BYTES + 1
+        at = np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())
+        found = distinct_windows(*window_hashes(codes, at), *[np.repeat(document, n)] * 2)
+        for bucket, columns in dealt((found[0] % np.uint64(parts)).astype(np.int32), *found):
+            yield bucket, [b""] * (len(names) - len(WINDOW_NAMES)) + columns
+
     dealt_texts = rows.select("document", "content", "body", part_of(F.col("document"), parts).alias("bucket"))
     schema = "bucket int, " + ", ".join(f"{n} binary" for n in names)
     return dealt_texts.groupBy("bucket").cogroup(anchors.groupBy("bucket")).applyInArrow(chosen, schema)
@@ -233,14 +264,99 @@ def text_hashes(codes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.nda
     weight[0] = 1
     weight = np.multiply.accumulate(weight)
     sums = np.append(np.uint64(0), np.cumsum(mixed(codes.astype(np.uint64) + ODD[2]) * weight[:-1], dtype=np.uint64))
-    # Brought to a common weight by what is missing behind each range.
-    shifted = (sums[end] - sums[begin]) * weight[len(codes) - begin]
+    # Brought to the weights of a range at 0, so that equal ranges of different lots have one hash.
+    back = np.full(len(codes) + 1, pow(int(ODD[3]), -1, 1 << 64), np.uint64)
+    back[0] = 1
+    back = np.multiply.accumulate(back)
+    shifted = (sums[end] - sums[begin]) * back[begin]
     return mixed(shifted * ODD[0] + (end - begin).astype(np.uint64))
 
 
+#: Two hashes of a window and the smallest and largest document that has it.
+WINDOW_NAMES = ("ones", "twos", "leasts", "mosts")
+WINDOW_TYPES = (np.uint64, np.uint64, np.int64, np.int64)
+
+
+def second_hashes(codes: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """A hash of each window that is independent of :func:`text_hashes`, from words of eight bytes."""
+    eight = np.ndarray((len(codes) - 7,), "<u8", buffer=codes, strides=(1,))
+    out = np.zeros(len(begin), np.uint64)
+    for at in (*range(0, MIN_BYTES - 8, 8), MIN_BYTES - 8):
+        out = mixed((out + eight[begin + at]) * ODD[1] + ODD[0])
+    return out
+
+
+def window_hashes(codes: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return text_hashes(codes, begin, begin + MIN_BYTES), second_hashes(codes, begin)
+
+
+def distinct_windows(one, two, least, most) -> tuple[np.ndarray, ...]:
+    """Each window once, in order, with its smallest and largest document."""
+    if not len(one):
+        return one, two, least, most
+    order = np.lexsort((two, one))
+    one, two, least, most = one[order], two[order], least[order], most[order]
+    opens = np.flatnonzero(np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])))
+    return one[opens], two[opens], np.minimum.reduceat(least, opens), np.maximum.reduceat(most, opens)
+
+
+def repeated_windows(group: pa.Table, parts: int) -> tuple[np.ndarray, ...]:
+    """Of the windows of one bucket: part of documents that removes some, hashes, smallest document."""
+    one, two, low, high = (unpacked(group, n, t) for n, t in zip(WINDOW_NAMES, WINDOW_TYPES))
+    order = np.lexsort((two, one))
+    one, two, low, high = one[order], two[order], low[order], high[order]
+    opens = np.flatnonzero(np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])))
+    least = np.repeat(np.minimum.reduceat(low, opens), np.diff(np.append(opens, len(one))))
+    later = high > least
+    part, one, two, least = part_of(low, parts)[later], one[later], two[later], least[later]
+    order = np.lexsort((part, two, one))
+    part, one, two, least = part[order], one[order], two[order], least[order]
+    new = np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]) | (part[1:] != part[:-1]))[: len(one)]
+    return part[new], one[new], two[new], least[new]
+
+
+def window_pieces(batches: list[pa.RecordBatch], gone: pa.Table) -> tuple[np.ndarray, ...]:
+    """Ranges of texts whose windows are known to repeat: documents, contents, begins and ends."""
+    one, two, low = (unpacked(gone, n, t) for n, t in zip(WINDOW_NAMES, WINDOW_TYPES[:3]))
+    found = [tuple(np.zeros(0, np.int64) for _ in range(4))]
+    if not len(one):
+        return found[0]
+    order = np.lexsort((two, one))
+    one, two, low = one[order], two[order], low[order]
+    marked = np.zeros(1 << 20, bool)
+    marked[(one >> np.uint64(44)).astype(np.int64)] = True
+    for batch in batches:
+        documents, contents = batch.column("document").to_numpy(), batch.column("content").to_numpy()
+        for part, codes, starts, ends in lots(batch.column("body")):
+            at = np.arange(max(0, len(codes) - MIN_BYTES + 1))
+            if not len(at):
+                continue
+            hashed = text_hashes(codes, at, at + MIN_BYTES)
+            at = at[marked[(hashed >> np.uint64(44)).astype(np.int64)]]
+            place = np.minimum(np.searchsorted(one, hashed[at]), len(one) - 1)
+            same = one[place] == hashed[at]
+            at, place = at[same], place[same]
+            owner = np.searchsorted(ends, at, "right")
+            same = (at + MIN_BYTES <= ends[owner]) & (two[place] == second_hashes(codes, at))
+            same &= low[place] < documents[part][owner]
+            at, owner = at[same], owner[same]
+            if len(at):
+                # Windows that follow each other byte by byte are one piece.
+                opens = np.append(True, (at[1:] != at[:-1] + 1) | (owner[1:] != owner[:-1]))
+                closes = np.append(opens[1:], True)
+                begin, own = at[opens] - starts[owner[opens]], owner[opens]
+                end = at[closes] - starts[own] + MIN_BYTES
+                found.append((documents[part][own], contents[part][own], begin, end))
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
 def removed_pieces(sent: DataFrame, parts: int) -> DataFrame:
-    """Removed byte ranges as packed (documents, contents, begins, ends) per part of documents."""
+    """Removed byte ranges as packed (documents, contents, begins, ends) per part of documents.
+
+    Of repeated windows of heavy anchors: hashes and smallest document, for each part that has them.
+    """
     names = ("documents", "contents", "begins", "ends")
+    window_names = WINDOW_NAMES[:3]
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -248,20 +364,30 @@ def removed_pieces(sent: DataFrame, parts: int) -> DataFrame:
         def handed() -> pa.RecordBatch:
             document, *others = (np.concatenate(c) for c in zip(*held))
             held.clear()
-            return packed_rows(list(dealt(part_of(document, parts), document, *others)), *names)
+            return sent_back(dealt(part_of(document, parts), document, *others), [], [b""] * len(window_names))
+
+        def sent_back(rows, before, behind) -> pa.RecordBatch:
+            return packed_rows([(b, [*before, *columns, *behind]) for b, columns in rows], *names, *window_names)
 
         for table, begins in group_chunks(batches, "bucket"):
             for begin, end in zip(begins[:-1], begins[1:]):
-                pieces = bucket_pieces(table.slice(int(begin), int(end - begin)))
-                if len(pieces[0]):
-                    held.append(pieces)
+                group = table.slice(int(begin), int(end - begin))
+                of_window = np.array([len(x.as_py()) > 0 for x in group["ones"]])
+                if of_window.any():
+                    windows = repeated_windows(group.filter(pa.array(of_window)), parts)
+                    yield sent_back(dealt(*windows), [b""] * len(names), [])
+                    group = group.filter(pa.array(~of_window))
+                if group.num_rows:
+                    pieces = bucket_pieces(group)
+                    if len(pieces[0]):
+                        held.append(pieces)
                 if sum(len(h[0]) for h in held) > HELD:
                     yield handed()
         if held:
             yield handed()
 
     grouped = sent.repartition("bucket").sortWithinPartitions("bucket")
-    schema = "bucket int, " + ", ".join(f"{n} binary" for n in names)
+    schema = "bucket int, " + ", ".join(f"{n} binary" for n in (*names, *window_names))
     return written(grouped.mapInArrow(scanned, schema), "pieces")
 
 
@@ -430,7 +556,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     release(docs.sparkSession)
 
     def cut(texts: pa.Table, gone: pa.Table) -> pa.Table:
-        spans = span_index(gone)
+        spans = span_index(gone, window_pieces(texts.to_batches(), gone))
         out = []
         for batch in texts.to_batches():
             data, starts, ends = text_bytes(batch.column("body"))
@@ -479,12 +605,12 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return result.withColumnRenamed("key", key)
 
 
-def span_index(gone: pa.Table) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
-    """Removed ranges by document, joined where they touch or overlap."""
-    if not gone.num_rows:
+def span_index(gone: pa.Table, more: tuple[np.ndarray, ...]) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
+    """Removed ranges, and ``more`` of them, by document, joined where they touch or overlap."""
+    names = ("documents", "contents", "begins", "ends")
+    document, content, begin, end = (np.append(unpacked(gone, n, np.int64), m) for n, m in zip(names, more))
+    if not len(document):
         return {}
-    document, content = unpacked(gone, "documents", np.int64), unpacked(gone, "contents", np.int64)
-    begin, end = unpacked(gone, "begins", np.int64), unpacked(gone, "ends", np.int64)
     order = np.lexsort((begin, content, document))
     document, content, begin, end = (c[order] for c in (document, content, begin, end))
     new = np.append(True, (document[1:] != document[:-1]) | (content[1:] != content[:-1]))

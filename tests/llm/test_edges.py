@@ -345,6 +345,45 @@ def test_repeated_bytes_of_odd_rows(spark, odd, empty):
         repeat_intervals.remove_repeats(odd.withColumn("doc_id", F.col("doc_id").cast("string")))
 
 
+def test_equal_stretches_of_different_lots_have_one_hash():
+    import numpy as np
+
+    rule = b"-" * 60
+    codes = [np.frombuffer(before + rule + behind, np.uint8) for before, behind in ((b"", b"x"), (b"abc", b"other"))]
+    hashes = [repeat_intervals.text_hashes(c, np.array([at]), np.array([at + 60])) for c, at in zip(codes, (0, 3))]
+    assert hashes[0] == hashes[1]
+
+
+def test_separator_between_differing_texts_is_not_sorted_in_one_place(spark, monkeypatch):
+    """Every text has its own words around a line of dashes: one anchor, and all stretches differ."""
+    import random
+
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choice("abcdefgh ") for _ in range(90))
+    texts = {d: word() + "-" * rnd.randrange(50, 90) + word() for d in range(300)}
+    texts |= {d: texts[d - 300][30:] + "-" * 70 + texts[d - 299][:120] for d in range(300, 330)}
+    docs = frame(spark, *[(d, t, "s") for d, t in texts.items()]).repartition(4)
+    got = {}
+    for most in (1 << 18, 200):
+        monkeypatch.setattr(repeat_intervals, "MOST_WINDOWS", most)
+        rows = repeat_intervals.shared_anchors(
+            docs.select(F.col("doc_id").alias("document"), F.col("text").alias("body")), 3
+        ).collect()
+        assert any(any(r["heavy"]) for r in rows) == (most == 200)
+        rows = repeat_intervals.remove_repeats(docs).collect()
+        got[most] = {r["doc_id"]: bytes(r["kept"]) for r in rows}
+        want = removed(texts)
+        import hashlib
+
+        assert {d: hashlib.sha256(k).hexdigest() for d, k in got[most].items()} == {d: w[3] for d, w in want.items()}
+
+
+@pytest.mark.parametrize("most", [0, 60])
+def test_repeated_bytes_of_random_texts_with_heavy_anchors(spark, monkeypatch, most):
+    monkeypatch.setattr(repeat_intervals, "MOST_WINDOWS", most)
+    test_repeated_bytes_of_random_texts(spark, monkeypatch)
+
+
 def test_repeated_bytes_of_random_texts(spark, monkeypatch):
     """Few letters, shared parts, overlaps with themselves, and lots and parts of a few bytes."""
     import hashlib
