@@ -160,6 +160,10 @@ def _cells_gap(study: studies.Study) -> float:
     return sum(found[k] for k in ("tp", "tn", "fp", "fn")) - 1
 
 
+def _rounded(measures: DataFrame) -> DataFrame:
+    return measures.select("metric", F.round("value", 6).alias("value"))
+
+
 @query(_sizes_sql(IN_TRAINING) + _zeros_sql("cells"))
 def mlp_unscaled(spark: SparkSession, folder: str) -> DataFrame:
     """The net on unscaled columns: sizes, and identities between its measures."""
@@ -167,6 +171,13 @@ def mlp_unscaled(spark: SparkSession, folder: str) -> DataFrame:
     return _facts(study, cells=_cells_gap(study))
 
 
+@query()
+def mlp_unscaled_measures(spark: SparkSession, folder: str) -> DataFrame:
+    """The measures whose identities ``mlp_unscaled`` states; they depend on the start."""
+    study = studies.perceptron_study(flows(spark, folder, spread=True), FLOW_KEY, seed=1)
+    return _rounded(study.measures)
+
+
 def _crossed_gap(study: studies.Study) -> float:
     """Crossed rates against the study's own counts, recomputed here."""
     found = {r["metric"]: r["value"] for r in study.measures.collect()}
@@ -190,6 +201,13 @@ def mlp_formula(spark: SparkSession, folder: str) -> DataFrame:
     return _facts(study, crossed_rates=_crossed_gap(study))
 
 
+@query()
+def mlp_formula_measures(spark: SparkSession, folder: str) -> DataFrame:
+    """The measures whose identities ``mlp_formula`` states; they depend on the start."""
+    study = studies.formula_perceptron_study(flows(spark, folder, spread=True), FLOW_KEY, seed=1)
+    return _rounded(study.measures)
+
+
 @query(
     f"""with {FLOWS}, test as (select * from flows where not ({IN_TRAINING})),
 sums as (
@@ -223,6 +241,13 @@ def forest_formula_default(spark: SparkSession, folder: str) -> DataFrame:
     return _facts(study, cells=_cells_gap(study))
 
 
+@query()
+def forest_formula_default_measures(spark: SparkSession, folder: str) -> DataFrame:
+    """The measures whose identities ``forest_formula_default`` states; they depend on the draws."""
+    study = studies.formula_forest_study(flows(spark, folder), FLOW_KEY, seed=1, toss_seed=1)
+    return _rounded(study.measures)
+
+
 # Two clumps of records far apart along one axis: any start converges to the same two clusters, so
 # the centres, sizes and cost of a k-means fit are plain averages and counts.
 GAP = 1_000_000
@@ -352,6 +377,13 @@ def kmeans_study(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(rows, "metric string, value double")
 
 
+@query()
+def kmeans_study_measures(spark: SparkSession, folder: str) -> DataFrame:
+    """The measures whose identities ``kmeans_study`` states; they depend on the start."""
+    study = studies.cluster_study(flows(spark, folder, spread=True), FLOW_KEY, iterations=200)
+    return _rounded(study.measures)
+
+
 @query(
     f"""with {FLOWS} select case when class = 'normal' then class else 'attack' end as truth,
   count(*)::bigint as n from flows where not ({IN_TOSS.format(seed=3)}) group by 1"""
@@ -362,6 +394,12 @@ def kmeans_formula_contingency(spark: SparkSession, folder: str) -> DataFrame:
     return study.counts.groupBy("truth").agg(F.sum("n").alias("n"))
 
 
+@query()
+def kmeans_formula_contingency_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The same test rows per cluster and class; where the clusters fall depends on the start."""
+    return studies.formula_cluster_study(flows(spark, folder), FLOW_KEY, seed=3, toss_seed=3).counts
+
+
 # Labels that follow a rule of two columns except for one row in ten: a tree that must gain something
 # finds the three cells of the rule and nothing else, so its scores are counts per cell.
 FLIP = "('0x' || substr(md5('flip' || flow_key), 1, 8))::bigint % 10 = 0"
@@ -531,6 +569,15 @@ def _warm_counts(spark: SparkSession, folder: str) -> DataFrame:
     return relational.contingency(cluster.assign(points, "embedding", centers))
 
 
+@query(
+    f"""{LLOYD} select a3.cluster as prediction, e.label as truth, count(*)::bigint as n
+from a3 join embeddings e using (vec_id) group by 1, 2"""
+)
+def cluster_contingency(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per cluster and label where the assignments are known."""
+    return _warm_counts(spark, folder)
+
+
 @query(
     f"""{LLOYD}, joined as (select a3.cluster, e.label from a3 join embeddings e using (vec_id))
 select count(*) as total, count(*) filter (cluster = label) as correct,

@@ -7,7 +7,7 @@ from tallyforge.functions.recode import hash_bucket
 from tallyforge.operators import classify
 from tallyforge.operators.features import fit_features, vector_size
 from tallyforge.operators.metrics import auc_roc
-from tallyforge.plans import studies
+from tallyforge.plans import catalogue, studies
 from tallyforge.plans.shared import binary_flows, encoded_flows
 from tallyforge.sources.tables import FLOW_KEY, flows
 from tallyforge.spec import connection_spec
@@ -170,3 +170,22 @@ def test_perceptron_summary(spark, data):
     found = tuples(classify.perceptron_summary(model, rows))
     assert [v for item, _, v in found if item == "layer"] == [10, 10, 10, 2]
     assert found[-1][2] == 10 * 10 + 10 + 10 * 10 + 10 + 10 * 2 + 2
+
+
+def test_measures_that_depend_on_the_start_are_returned(spark, data):
+    """One cluster for all rows, or no measures at all, would not pass."""
+    queries = catalogue.QUERIES
+    counts = queries["kmeans_formula_contingency_table"](spark, data).collect()
+    assert {r["truth"] for r in counts} == {"normal", "attack"} and len({r["prediction"] for r in counts}) > 1
+    per_class = {r["truth"]: r["n"] for r in queries["kmeans_formula_contingency"](spark, data).collect()}
+    assert {t: sum(r["n"] for r in counts if r["truth"] == t) for t in per_class} == per_class
+    wanted = {
+        "mlp_unscaled_measures": {"tp", "tn", "fp", "fn"},
+        "mlp_formula_measures": {"tp_rate", "tn_rate", "fp_rate", "fn_rate"},
+        "forest_formula_default_measures": {"tp", "tn", "fp", "fn"},
+        "kmeans_study_measures": {"wssse"},
+    }
+    for name, names in wanted.items():
+        found = dict(tuples(queries[name](spark, data)))
+        assert names | {"correct", "incorrect", "ratio_correct"} <= set(found)
+        assert found["correct"] + found["incorrect"] == found["total"] > 0
