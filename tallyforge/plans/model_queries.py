@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyforge.operators import classify, cluster, metrics, relational
+from tallyforge.operators.features import fit_features
 from tallyforge.operators.split import in_training
 from tallyforge.plans import studies
 from tallyforge.plans.registry import query
 from tallyforge.plans.shared import FLOWS, IN_TRAINING, IS_NORMAL, encoded_flows
 from tallyforge.sources.delimited import scan_csv, write_csv
 from tallyforge.sources.tables import FLOW_KEY, flows, table
+from tallyforge.spec import connection_spec
 from tallyforge.staging import new_shared_path, settle, staged
 
 RULE_ON_TEST = f"""with {FLOWS}
@@ -304,6 +308,44 @@ def kmeans_random(spark: SparkSession, folder: str) -> DataFrame:
     return _clump_summary(cluster.kmeans_random(2, seed=3), _clumps(spark, folder))
 
 
+CONVERGED = f"""with {FLOWS}
+select 'k' as metric, count(distinct class)::double as value from flows
+union all select 'sum of sizes', count(*)::double from flows
+union all select 'centres against means of members', 0.0"""
+
+
+def _converged_fit(spark: SparkSession, folder: str, start: Callable[..., cluster.KMeans]) -> DataFrame:
+    """k-means on the encoded features of all records, one cluster per class, once it has converged."""
+    records = flows(spark, folder, spread=True)
+    features = fit_features(records, connection_spec(key=[FLOW_KEY], host_login=True), "onehot", drop_constant=True)
+    with staged(features.transform(records).select("features"), "features") as rows:
+        model = start(len(features.labels), seed=3, iterations=200).setTol(0.0).fit(rows)
+        scored = classify.predict(model, rows)
+        centers = cluster.model_centers(model)
+        sizes = {r["cluster"]: r["size"] for r in cluster.cluster_summary(model, scored).collect()}
+        gaps = [
+            abs(mean - center) / max(1.0, abs(mean))
+            for r in cluster.cluster_moments(scored, "prediction").collect()
+            for mean, center in zip(r["mean"], centers[r["cluster"]])
+        ]
+    facts = [
+        ("k", float(len(sizes))),
+        ("sum of sizes", float(sum(sizes.values()))),
+        ("centres against means of members", round(float(max(gaps)), 4)),
+    ]
+    return spark.createDataFrame(facts, "metric string, value double")
+
+
+@query(CONVERGED)
+def kmeans_parallel_features(spark: SparkSession, folder: str) -> DataFrame:
+    return _converged_fit(spark, folder, cluster.kmeans_parallel)
+
+
+@query(CONVERGED)
+def kmeans_random_features(spark: SparkSession, folder: str) -> DataFrame:
+    return _converged_fit(spark, folder, cluster.kmeans_random)
+
+
 @query(
     f"""with {FLOWS}
 select 'total' as metric, count(*)::double as value from flows
