@@ -21,9 +21,12 @@ from tallyforge.llm.winnowing import clean_documents
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the nearest labelled texts accept."""
+    """Documents that the nearest labelled texts accept; all if there is no labelled text."""
     labels = table(spark, sf_dir, "labels")
-    scored = vote(docs, fit_voters(labels.where(~held_out()), docs))
+    voters = fit_voters(labels.where(~held_out()), docs)
+    if voters is None:
+        return docs
+    scored = vote(docs, voters)
     return scored.where(F.col("quality_score") >= ACCEPT).select(docs.columns)
 
 

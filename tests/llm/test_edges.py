@@ -407,3 +407,12 @@ def test_repeated_bytes_of_random_texts(spark, monkeypatch):
         gone = sum(s["end"] - s["begin"] for s in r["spans"])
         got[r["doc_id"]] = (r["n_bytes"], gone, len(r["spans"]), hashlib.sha256(r["kept"]).hexdigest())
     assert got == removed(texts)
+
+
+def test_quality_stage_keeps_all_without_labelled_texts(spark, odd, labels, monkeypatch):
+    import corpus_pipeline
+
+    unusable = labels.where("quality is null or doc_id is null")
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: unusable)
+    kept = corpus_pipeline.quality(spark, odd, "")
+    assert kept.columns == odd.columns and ids(kept.collect()) == EVERY
