@@ -2,15 +2,16 @@
 
 Texts are read in windows of ``WINDOW`` words, each overlapping the next by half, so that any part of
 half a window lies whole in one of them. Templates are cut into parts of half a window. Both sides
-are sets of shingles of three words; only shingles of some template count, since no others can be
-shared. Windows and parts that agree in one of ``BANDS`` minimum hashes make a template a candidate
-for a document, and a candidate is kept if the document contains at least ``CONTAINED`` of the
-template's distinct shingles.
+are sets of shingles of three words. A window is signed once for each part that it shares a shingle
+with, by the shingles of that part alone, so neighbouring notices do not matter. Windows and parts
+that agree in one of ``BANDS`` minimum hashes make a template a candidate for a document, and a
+candidate is kept if the document contains at least ``CONTAINED`` of the template's distinct shingles.
 
-With one hash per band, a part that shares a fraction J of a window's template shingles is retrieved
-with probability 1 - (1 - J) ** BANDS. A template part of which 80 % is in a window that otherwise
-holds only the neighbouring part has J of 0.38 and is missed once in 20 million times; a verdict is
-about the whole template, so every part of it would have to be missed.
+With one hash per band, a part of which a fraction J of the shingles is in a window is retrieved with
+probability 1 - (1 - J) ** BANDS, whatever the part's length and whatever else is in the window: never
+missed if all of it is there, and less than once in 10 ** 22 times if 80 % is. Where a text breaks a part up
+so that no window holds much of it, J is lower. A verdict is about the whole template, so every part
+of it would have to be missed.
 
 Defined results: a null or empty text has no licence; rows that share id and text share their result
 and each gives one result row; an empty table gives an empty result; without templates no document
@@ -129,14 +130,15 @@ def scan(
     slot = F.floor(F.col("at") / step)
     both = F.when(F.col("at") + SHINGLE <= (slot + 1) * step, F.array(slot, slot - 1)).otherwise(F.array(slot))
     windows = mine.select("key", "content", F.inline("hits")).withColumn("slot", F.explode(both))
-    bands = signatures(windows, "key", "content", "slot")
 
     # Parts of half a window; a shingle across two parts belongs to the whole template only.
     parts = template_table(spark, templates).select("name", F.inline("all")).withColumn("slot", F.floor(F.col("at") / step))
     whole = parts.where((F.col("at") + SHINGLE) <= (F.col("slot") + 1) * step)
-    retrieved = signatures(whole, "name", "slot").select("band", "value", "name").distinct()
+    whole = whole.select("name", F.col("slot").alias("part"), "code").distinct()
+    retrieved = signatures(whole, "name", "part")  # BANDS rows per template part
+    bands = signatures(windows.join(F.broadcast(whole), "code"), "key", "content", "slot", "name", "part")
     candidates = (
-        bands.join(F.broadcast(retrieved), ["band", "value"])  # at most BANDS rows per template part
+        bands.join(F.broadcast(retrieved), ["name", "part", "band", "value"])
         .select("key", "content", "name")
         .distinct()
     )

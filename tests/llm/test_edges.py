@@ -416,3 +416,13 @@ def test_quality_stage_keeps_all_without_labelled_texts(spark, odd, labels, monk
     monkeypatch.setattr(corpus_pipeline, "table", lambda *_: unusable)
     kept = corpus_pipeline.quality(spark, odd, "")
     assert kept.columns == odd.columns and ids(kept.collect()) == EVERY
+
+
+def test_short_licences_in_windows_dense_with_others(spark):
+    """Every five words of a text are a template, so each window holds many others."""
+    words = [f"w{i}x{i * i % 7}" for i in range(160)]
+    templates = [(f"t{i:03}", " ".join(words[i : i + 5])) for i in range(len(words) - 4)]
+    docs = frame(spark, (1, " ".join(words), "a"), (2, " ".join(reversed(words)), "a"))
+    found = {r["doc_id"]: r["licenses"] for r in license_scan.scan(docs, templates).collect()}
+    # A template across the borders of windows of 48 words that start every 24 words lies in one at least.
+    assert found == {1: [n for n, _ in templates], 2: []}
