@@ -6,6 +6,7 @@ from tallyforge.llm import (  # noqa: F401  (importing a module registers its qu
     queries_packing,
     queries_repeats,
     queries_rules,
+    queries_secrets,
     queries_similarity,
 )
 from tallyforge.llm.registry import ORACLES, QUERIES

@@ -91,3 +91,25 @@ def unused(name: str, df: DataFrame) -> str:
     while name.lower() in (c.lower() for c in df.columns):
         name += "_"
     return name
+
+
+#: Keys with at least so many rows are looked up by broadcast, and at most so many keys.
+HEAVY_ROWS = 10_000
+MAX_HEAVY_KEYS = 100_000
+
+
+def join_weighted(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined with a written ``table`` by ``key``, whose column ``n`` says how many rows a key has.
+
+    ``table`` holds every key once. Keys with many rows are broadcast: there are at most
+    ``MAX_HEAVY_KEYS``, since each stands for its share of all rows. The others meet in a shuffle, in
+    which none of them is frequent.
+    """
+    total = table.agg(F.sum("n")).first()[0] or 0
+    heavy = F.col("n") >= max(HEAVY_ROWS, total // MAX_HEAVY_KEYS)
+    hot, cold = table.where(heavy).drop("n"), table.where(~heavy).drop("n")
+    if total < HEAVY_ROWS or hot.isEmpty():
+        return rows.join(cold, key)
+    settled = rows.join(F.broadcast(hot), key)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
+    return settled.unionByName(rest)
