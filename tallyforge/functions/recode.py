@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyforge.spec import ATTACK, NORMAL
 
@@ -52,6 +52,15 @@ def class_binarize(value: Column | str, normal: str = NORMAL, other: str = ATTAC
     return F.when(_column(value) != normal, F.lit(other)).otherwise(_column(value))
 
 
+def coded_connection(df: DataFrame) -> DataFrame:
+    """Connection records with numbers in place of protocol and flag names."""
+    return df.withColumns({"protocol_type": protocol_code("protocol_type"), "flag": flag_code("flag")})
+
+
+# Recodes that a saved model can name, to be applied to raw records before its encoding.
+RECODES = {"coded_connection": coded_connection}
+
+
 def class_to_numeric(value: Column | str, normal: str = NORMAL) -> Column:
     """1.0 for ``normal``, 0.0 for any other class; a null class counts as normal."""
     return F.when(_column(value) != normal, F.lit(0.0)).otherwise(F.lit(1.0))

@@ -17,6 +17,8 @@ KMEANS_ITERATIONS = 10
 KMEANS_SEED = 1
 # Centres are held by the driver and sent to every task.
 MAX_CLUSTERS = 10_000
+# Coordinates of given centres, all together, that may stand in an expression as constants.
+MAX_COORDINATES = 100_000
 
 Centers = Mapping[int, Sequence[float]]
 
@@ -149,7 +151,13 @@ def first_of_each(
 
 
 def nearest(vector: Column, centers: Centers) -> Column:
-    """Id of the nearest centre of an array column (ties: the smallest id)."""
+    """Id of the nearest centre of an array column (ties: the smallest id).
+
+    The centres are constants of the expression, so this is for few and short ones; more than
+    ``MAX_COORDINATES`` numbers are refused. A fitted model's own ``transform`` has no such bound.
+    """
+    if sum(len(c) for c in centers.values()) > MAX_COORDINATES:
+        raise ValueError(f"centres of more than {MAX_COORDINATES} numbers; use a fitted model instead")
 
     def distance(center: Sequence[float]) -> Column:
         gaps = F.zip_with(vector, F.lit(list(center)), lambda x, c: (x - c) * (x - c))
@@ -162,7 +170,7 @@ def nearest(vector: Column, centers: Centers) -> Column:
 def warm_start(
     df: DataFrame, vector: str, centers: Centers, iterations: int
 ) -> dict[int, list[float]]:
-    """k-means from given centres.
+    """k-means from given centres, for small data.
 
     Only the engine's RDD interface takes starting centres, so the rows' vectors pass through
     Python once; they are kept for the rounds of the fit.

@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import StringIndexerModel
+from pyspark.ml.feature import IndexToString, StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tallyforge.staging import new_shared_path
@@ -65,6 +65,12 @@ class Dictionaries:
             self.labels(column), inputCol=column, outputCol=output, handleInvalid=handle_invalid
         )
 
+    def decode(self, df: DataFrame, column: str, indices: str, output: str) -> DataFrame:
+        """Put the values of ``column`` in place of their indices, however its dictionary is held."""
+        if column in self.large:
+            return value_by_join(df, indices, self.large[column], output, self.max_size, self.sizes.get(column))
+        return IndexToString(inputCol=indices, outputCol=output, labels=self.small[column]).transform(df)
+
     def table(self, spark: SparkSession, column: str) -> DataFrame:
         """A column's dictionary as ``(value, idx)`` rows, however it is held."""
         if column in self.large:
@@ -78,6 +84,13 @@ def fit_dictionaries(
 ) -> Dictionaries:
     """Count and number the categories of ``columns`` with one scan of ``df``."""
     counts = category_counts(df, columns).persist()
+    try:
+        return _numbered(counts, columns, max_size)
+    finally:
+        counts.unpersist()
+
+
+def _numbered(counts: DataFrame, columns: Sequence[str], max_size: int) -> Dictionaries:
     measured = counts.groupBy("name").agg(
         F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("bytes")
     )
@@ -101,7 +114,6 @@ def fit_dictionaries(
             result.large[column] = rank_values(
                 counts.filter(F.col("name") == column).select("value", "n")
             )
-    counts.unpersist()
     return result
 
 
@@ -152,8 +164,7 @@ def index_by_join(
     """
     size = ranks.count() if size is None else size
     key = F.col(f"`{column}`").cast("string")
-    longest = ranks.filter(F.col("idx") < head).agg(F.max(F.octet_length("value"))).first()[0]
-    head = max(1, min(head, MAX_DICTIONARY_BYTES // max(longest or 0, 1)))
+    head = _bounded_head(ranks, head)
     hot = F.broadcast(
         ranks.filter(F.col("idx") < head).select(
             F.col("value").alias("__value"), F.col("idx").alias("__hot")
@@ -187,3 +198,50 @@ def index_by_join(
         found = F.when(found.isNull(), failure).otherwise(found)
     nominal = {"ml_attr": {"type": "nominal", "name": output, "num_vals": categories}}
     return indexed.select(*columns, found.alias(output, metadata=nominal))
+
+
+def value_by_join(
+    df: DataFrame,
+    indices: str,
+    ranks: DataFrame,
+    output: str,
+    head: int = MAX_DICTIONARY,
+    size: int | None = None,
+) -> DataFrame:
+    """Look the numbers in ``indices`` up in a dictionary of any size: the reverse of :func:`index_by_join`.
+
+    The values with the ``head`` smallest indices, so the most frequent ones, are broadcast within
+    the same bounds. In the shuffle join of the rest, settled rows go by a hash of their whole row. A
+    null index, or one that the dictionary does not have, is an error, as with a list of values.
+    """
+    size = ranks.count() if size is None else size
+    key = F.col(f"`{indices}`").cast("double")
+    head = _bounded_head(ranks, head)
+    columns = [f"`{c}`" for c in df.columns]
+    hot = F.broadcast(
+        ranks.filter(F.col("idx") < head).select(F.col("idx").alias("__idx"), F.col("value").alias("__hot"))
+    )
+    decoded = df.join(hot, key == F.col("__idx"), "left").drop("__idx")
+    found = F.col("__hot")
+    if size > head:
+        settled = found.isNotNull() | key.isNull()
+        spread = F.struct(F.lit(True).alias("settled"), F.xxhash64(*columns).alias("place"))
+        sought = F.struct(F.lit(False).alias("settled"), F.xxhash64(key).alias("place"))
+        decoded = decoded.withColumn("__key", F.when(settled, spread).otherwise(sought))
+        cold = ranks.filter(F.col("idx") >= head).select(
+            F.struct(F.lit(False).alias("settled"), F.xxhash64("idx").alias("place")).alias("__place"),
+            F.col("idx").alias("__idx"),
+            F.col("value").alias("__cold"),
+        )
+        decoded = decoded.join(cold, (F.col("__key") == F.col("__place")) & (key == F.col("__idx")), "left")
+        found = F.coalesce(F.col("__hot"), F.col("__cold"))
+    number = F.coalesce(key.cast("string"), F.lit("null"))
+    failure = F.raise_error(F.concat(F.lit(f"no value has the index in {indices}: "), number))
+    found = F.when(found.isNull(), failure.cast("string")).otherwise(found)
+    return decoded.select(*columns, found.alias(output))
+
+
+def _bounded_head(ranks: DataFrame, head: int) -> int:
+    """How many of the most frequent values may be broadcast: very long ones shrink the number."""
+    longest = ranks.filter(F.col("idx") < head).agg(F.max(F.octet_length("value"))).first()[0]
+    return max(1, min(head, MAX_DICTIONARY_BYTES // max(longest or 0, 1)))

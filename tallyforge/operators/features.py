@@ -28,6 +28,7 @@ from tallyforge.operators.dictionaries import (
     Dictionaries,
     fit_dictionaries,
     index_by_join,
+    value_by_join,
 )
 from tallyforge.spec import FeatureSpec
 
@@ -56,6 +57,15 @@ class FeatureModel:
         """Class names in index order."""
         return self.dictionaries.labels(self.spec.label)
 
+    @property
+    def classes(self) -> int:
+        """Number of classes, also where their names are held as a table."""
+        return self.dictionaries.sizes[self.spec.label]
+
+    def decode(self, df: DataFrame, column: str = "prediction", output: str = "decoded") -> DataFrame:
+        """Put class names in place of label indices, however large the label's dictionary is."""
+        return self.dictionaries.decode(df, self.spec.label, column, output)
+
     def stages(self, with_label: bool = True) -> list[Transformer]:
         """The fitted stages, for use inside a longer pipeline or for saving."""
         if self.dictionaries.large:
@@ -296,9 +306,14 @@ def fit_label_reindex(df: DataFrame, column: str = "label") -> StringIndexerMode
 
 
 def decode_labels(
-    df: DataFrame, labels: Sequence[str], column: str = "prediction", output: str = "decoded"
+    df: DataFrame, labels: Sequence[str] | DataFrame, column: str = "prediction", output: str = "decoded"
 ) -> DataFrame:
-    """Put class names back in place of label indices."""
+    """Put class names back in place of label indices.
+
+    ``labels`` is the list of names in index order, or a dictionary table ``(value, idx)``.
+    """
+    if isinstance(labels, DataFrame):
+        return value_by_join(df, column, labels, output)
     return IndexToString(inputCol=column, outputCol=output, labels=list(labels)).transform(df)
 
 

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import NumericType
 
 from tallyforge.functions.recode import ratio
@@ -152,6 +152,20 @@ def majority_counts(counts: DataFrame) -> DataFrame:
     )
 
 
+def numbered_by_size(counts: DataFrame) -> DataFrame:
+    """A contingency table with clusters numbered by falling size (ties: the smaller id first).
+
+    Cluster ids follow the random start; these numbers do not, and classes are numbered by falling
+    frequency as well, so well separated clusters agree with their classes' indices.
+    """
+    sizes = counts.groupBy("prediction").agg(F.sum("n").alias("size"))
+    place = F.row_number().over(Window.orderBy(F.desc("size"), "prediction"))  # one row per cluster
+    numbers = sizes.select(F.col("prediction").alias("cluster"), (place - 1).cast("double").alias("number"))
+    return counts.join(numbers, F.col("prediction").eqNullSafe(F.col("cluster"))).select(
+        F.col("number").alias("prediction"), "truth", "n"
+    )
+
+
 def metric_table(wide: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One-row measures as ``(metric, value)`` rows."""
     names = list(columns or wide.columns)

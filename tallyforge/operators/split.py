@@ -19,18 +19,32 @@ def random_split(
     return df.randomSplit(list(weights), seed)
 
 
-def _buckets(share: float) -> int:
-    """The fewest buckets, 100 or more, of which ``share`` is a whole number."""
+# Buckets beyond this number would not be equally likely.
+MAX_BUCKETS = 10**6
+
+
+def _buckets(share: float) -> int | None:
+    """The fewest buckets, 100 or more, of which ``share`` is a whole number, if there are few enough."""
     buckets = 100
-    while round(share * buckets, 9) != round(share * buckets) and buckets < 10**9:
+    while round(share * buckets, 9) != round(share * buckets):
         buckets *= 10
+        if buckets > MAX_BUCKETS:
+            return None
     return buckets
 
 
+def _number_and_ends(key: str | Sequence[str], shares: Sequence[float]) -> tuple[Column, list[int]]:
+    """A number that depends only on the key, and below which number each share of the keys lies."""
+    buckets = [_buckets(share) for share in shares]
+    if None in buckets:
+        return key_number(key), [round(share * 2**32) for share in shares]
+    return hash_bucket(key, max(buckets)), [round(share * max(buckets)) for share in shares]
+
+
 def in_training(key: str | Sequence[str], share: float = TRAIN_SHARE) -> Column:
     """True for the rows of the training part, decided by the row's key alone."""
-    buckets = _buckets(share)
-    return hash_bucket(key, buckets) < F.lit(round(share * buckets))
+    number, ends = _number_and_ends(key, [share])
+    return number < F.lit(ends[0])
 
 
 def training_flag(
@@ -46,13 +60,37 @@ def training_flag(
     return key_number(key, salt=f"toss {toss_seed}") < F.lit(round(share * 2**32))
 
 
-def hash_split(
-    df: DataFrame, key: str | Sequence[str], share: float = TRAIN_SHARE
-) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows by key: the same rows whatever the partitioning, and no shuffle.
+def part_number(key: str | Sequence[str], weights: Sequence[float]) -> Column:
+    """Which of several parts a row is in, from 0, decided by the row's key alone.
 
-    To use both parts at once, add :func:`in_training` as a column, which scans the input once.
+    Parts get shares of the keys in proportion to their ``weights``; a part of weight zero gets none.
+    Weights that add up to 1, such as 0.6, 0.2 and 0.2, divide the same buckets as :func:`in_training`.
+    """
+    total = sum(weights)
+    if not weights or min(weights) < 0 or not 0 < total < float("inf"):
+        raise ValueError("weights are numbers of 0 or more, not all 0")
+    number, ends = _number_and_ends(key, [sum(weights[: i + 1]) / total for i in range(len(weights))])
+    last = max(i for i, weight in enumerate(weights) if weight > 0)
+    part = F.lit(last)
+    for i in reversed(range(last)):
+        part = F.when(number < F.lit(ends[i]), F.lit(i)).otherwise(part)
+    return part.cast("int")
+
+
+def hash_split(
+    df: DataFrame,
+    key: str | Sequence[str],
+    share: float = TRAIN_SHARE,
+    weights: Sequence[float] | None = None,
+) -> tuple[DataFrame, ...]:
+    """Parts of a table by key: the same rows whatever the partitioning, and no shuffle.
+
+    Training and test rows by ``share``, or as many parts as there are ``weights``. To use all parts at
+    once, add :func:`in_training` or :func:`part_number` as a column, which scans the input once.
     """
+    if weights is not None:
+        part = part_number(key, weights)
+        return tuple(df.filter(part == i) for i in range(len(weights)))
     rule = in_training(key, share)
     return df.filter(rule), df.filter(~rule)
 

@@ -14,17 +14,12 @@ from tallyforge.operators.features import fit_features
 from tallyforge.operators.split import in_training
 from tallyforge.plans import studies
 from tallyforge.plans.registry import query
-from tallyforge.plans.shared import FLOWS, IN_TRAINING, IS_NORMAL, encoded_flows
+from tallyforge.plans.shared import FLOWS, IN_TOSS, IN_TRAINING, IS_NORMAL, RULE_ON_TEST, encoded_flows
 from tallyforge.sources.delimited import scan_csv, write_csv
 from tallyforge.sources.tables import FLOW_KEY, flows, table
 from tallyforge.spec import connection_spec
 from tallyforge.staging import new_shared_path, settle, staged
 
-RULE_ON_TEST = f"""with {FLOWS}
-select flow_key, case when {IS_NORMAL} then 1.0 else 0.0 end::double as prediction
-from flows where not ({IN_TRAINING})"""
-
-
 def _fit_on_training_rows(
     spark: SparkSession, folder: str, estimator: Estimator
 ) -> tuple[Model, DataFrame]:
@@ -127,7 +122,6 @@ def mlp_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # What holds exactly of a study whose model depends on a random start.
-IN_TOSS = "('0x' || substr(md5('toss {seed}|' || flow_key), 1, 8))::bigint < round(0.7 * 4294967296)"
 IDENTITIES = {
     "correct and incorrect are all": lambda m: m["correct"] + m["incorrect"] - m["total"],
     "ratios": lambda m: m["ratio_correct"] + m["ratio_incorrect"] - 1,
@@ -164,10 +158,6 @@ def _cells_gap(study: studies.Study) -> float:
     return sum(found[k] for k in ("tp", "tn", "fp", "fn")) - 1
 
 
-def _rounded(measures: DataFrame) -> DataFrame:
-    return measures.select("metric", F.round("value", 6).alias("value"))
-
-
 @query(_sizes_sql(IN_TRAINING) + _zeros_sql("cells"))
 def mlp_unscaled(spark: SparkSession, folder: str) -> DataFrame:
     """The net on unscaled columns: sizes, and identities between its measures."""
@@ -175,13 +165,6 @@ def mlp_unscaled(spark: SparkSession, folder: str) -> DataFrame:
     return _facts(study, cells=_cells_gap(study))
 
 
-@query()
-def mlp_unscaled_measures(spark: SparkSession, folder: str) -> DataFrame:
-    """The measures whose identities ``mlp_unscaled`` states; they depend on the start."""
-    study = studies.perceptron_study(flows(spark, folder, spread=True), FLOW_KEY, seed=1)
-    return _rounded(study.measures)
-
-
 def _crossed_gap(study: studies.Study) -> float:
     """Crossed rates against the study's own counts, recomputed here."""
     found = {r["metric"]: r["value"] for r in study.measures.collect()}
@@ -205,13 +188,6 @@ def mlp_formula(spark: SparkSession, folder: str) -> DataFrame:
     return _facts(study, crossed_rates=_crossed_gap(study))
 
 
-@query()
-def mlp_formula_measures(spark: SparkSession, folder: str) -> DataFrame:
-    """The measures whose identities ``mlp_formula`` states; they depend on the start."""
-    study = studies.formula_perceptron_study(flows(spark, folder, spread=True), FLOW_KEY, seed=1)
-    return _rounded(study.measures)
-
-
 @query(
     f"""with {FLOWS}, test as (select * from flows where not ({IN_TRAINING})),
 sums as (
@@ -240,18 +216,11 @@ def forest_formula_rule(spark: SparkSession, folder: str) -> DataFrame:
 @query(_sizes_sql(IN_TOSS.format(seed=1)) + _zeros_sql("cells"))
 def forest_formula_default(spark: SparkSession, folder: str) -> DataFrame:
     """The forest at its default settings on tossed training rows: sizes and identities."""
-    records = flows(spark, folder)
+    records = flows(spark, folder, spread=True)
     study = studies.formula_forest_study(records, FLOW_KEY, seed=1, toss_seed=1)
     return _facts(study, cells=_cells_gap(study))
 
 
-@query()
-def forest_formula_default_measures(spark: SparkSession, folder: str) -> DataFrame:
-    """The measures whose identities ``forest_formula_default`` states; they depend on the draws."""
-    study = studies.formula_forest_study(flows(spark, folder), FLOW_KEY, seed=1, toss_seed=1)
-    return _rounded(study.measures)
-
-
 # Two clumps of records far apart along one axis: any start converges to the same two clusters, so
 # the centres, sizes and cost of a k-means fit are plain averages and counts.
 GAP = 1_000_000
@@ -384,64 +353,43 @@ union all select 'k', count(distinct class)::double from flows
 union all select 'sum of sizes', count(*)::double from flows
 union all select 'sum of histogram', count(*)::double from flows
 union all select 'sizes against histogram', 0.0
-union all select 'centres weighted by size against column means', 0.0
 union all select 'correct against counts', 0.0
 union all select 'ratios', 0.0"""
 )
 def kmeans_study(spark: SparkSession, folder: str) -> DataFrame:
     """The clustering study's tables, against each other and against the records.
 
-    The mean of all rows is the mean of the clusters' means weighted by their sizes, whatever the
-    clusters; k-means' centres are such means once it has converged.
+    ``kmeans_parallel_features`` looks at the centres, which are means of rows once the fit has converged.
     """
-    study = studies.cluster_study(flows(spark, folder, spread=True), FLOW_KEY, iterations=200)
+    study = studies.cluster_study(flows(spark, folder, spread=True), FLOW_KEY)
     found = {r["metric"]: r["value"] for r in study.measures.collect()}
     summary = study.tables["summary"].collect()
     sizes = {r["cluster"]: r["value"] for r in summary if r["item"] == "size"}
     histogram = {r["prediction"]: r["n"] for r in study.tables["histogram"].collect()}
     same = sum(r["n"] for r in study.counts.collect() if r["prediction"] == r["truth"])
-    whole = cluster.cluster_moments(study.scored.withColumn("one", F.lit(0)), "one").first()
-    centers = cluster.model_centers(study.model)
-    gaps = []
-    for pos, mean in enumerate(whole["mean"]):
-        weighted = sum(n * centers[k][pos] for k, n in sizes.items()) / sum(sizes.values())
-        gaps.append(abs(weighted - mean) / max(1.0, abs(mean)))
     rows = [(f"class {r['class']}", float(r["n"])) for r in study.tables["classes"].collect()]
     rows += [
         ("k", next(r["value"] for r in summary if r["item"] == "k")),
         ("sum of sizes", float(sum(sizes.values()))),
         ("sum of histogram", float(sum(histogram.values()))),
         ("sizes against histogram", float(sum(abs(n - histogram.get(k, 0)) for k, n in sizes.items()))),
-        ("centres weighted by size against column means", round(float(max(gaps)), 4)),
         ("correct against counts", found["correct"] - same),
         ("ratios", round(found["ratio_correct"] + found["ratio_incorrect"] - 1, 6) + 0.0),
     ]
     return spark.createDataFrame(rows, "metric string, value double")
 
 
-@query()
-def kmeans_study_measures(spark: SparkSession, folder: str) -> DataFrame:
-    """The measures whose identities ``kmeans_study`` states; they depend on the start."""
-    study = studies.cluster_study(flows(spark, folder, spread=True), FLOW_KEY, iterations=200)
-    return _rounded(study.measures)
-
-
 @query(
     f"""with {FLOWS} select case when class = 'normal' then class else 'attack' end as truth,
   count(*)::bigint as n from flows where not ({IN_TOSS.format(seed=3)}) group by 1"""
 )
 def kmeans_formula_contingency(spark: SparkSession, folder: str) -> DataFrame:
     """Clusters found in tossed training rows: the test rows per class, over all clusters."""
-    study = studies.formula_cluster_study(flows(spark, folder), FLOW_KEY, seed=3, toss_seed=3)
+    records = flows(spark, folder, spread=True)
+    study = studies.formula_cluster_study(records, FLOW_KEY, seed=3, toss_seed=3)
     return study.counts.groupBy("truth").agg(F.sum("n").alias("n"))
 
 
-@query()
-def kmeans_formula_contingency_table(spark: SparkSession, folder: str) -> DataFrame:
-    """The same test rows per cluster and class; where the clusters fall depends on the start."""
-    return studies.formula_cluster_study(flows(spark, folder), FLOW_KEY, seed=3, toss_seed=3).counts
-
-
 # Labels that follow a rule of two columns except for one row in ten: a tree that must gain something
 # finds the three cells of the rule and nothing else, so its scores are counts per cell.
 FLIP = "('0x' || substr(md5('flip' || flow_key), 1, 8))::bigint % 10 = 0"

@@ -8,12 +8,13 @@ from tallyforge.functions.recode import (
     class_binarize as binarize,
     class_to_numeric as to_numeric,
     flag_code as flag_to_code,
+    hash_bucket,
     protocol_code as protocol_to_code,
     ratio,
 )
 from tallyforge.operators import relational
 from tallyforge.operators.metrics import agreement, metric_table as as_metric_table
-from tallyforge.operators.split import in_training, random_split
+from tallyforge.operators.split import in_training, part_number, random_split
 from tallyforge.plans.registry import query
 from tallyforge.plans.shared import FLOWS, IN_TRAINING, SCORED, scored_flows
 from tallyforge.sources.delimited import scan_csv, write_csv
@@ -62,6 +63,19 @@ def hash_split_rows(spark: SparkSession, folder: str) -> DataFrame:
     return flows(spark, folder).select(FLOW_KEY, "class", in_training(FLOW_KEY).alias("train"))
 
 
+THREE_PARTS = (0.6, 0.2, 0.2)
+_BUCKET = "('0x' || substr(md5(flow_key), 1, 8))::bigint % 100"
+
+
+@query(
+    f"""with {FLOWS} select flow_key,
+  case when {_BUCKET} < 60 then 0 when {_BUCKET} < 80 then 1 else 2 end::int as part from flows"""
+)
+def hash_split_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Training, validation and test part of every row, in one scan."""
+    return flows(spark, folder).select(FLOW_KEY, part_number(FLOW_KEY, THREE_PARTS).alias("part"))
+
+
 @query(
     """select count(*) as n_rows, true as every_row_once, true as share_as_asked from lineitem"""
 )
@@ -204,6 +218,39 @@ def class_count_distinct(spark: SparkSession, folder: str) -> DataFrame:
     return relational.count_distinct(flows(spark, folder), "class")
 
 
+@query(
+    f"""with {FLOWS} select protocol_type, count(distinct service) as n_distinct from flows group by protocol_type
+union all select null, count(distinct service) from flows"""
+)
+def service_count_sketched(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct services per protocol in five parts of the table, from stored sketches that are added up.
+
+    So few values are counted without error.
+    """
+    parts = flows(spark, folder).withColumn("part", hash_bucket(FLOW_KEY, 5))
+    path = new_shared_path(spark, "sketches")
+    relational.distinct_sketches(parts, "service", "part", "protocol_type").write.parquet(path)
+    stored = spark.read.parquet(path)
+    per_protocol = relational.sketched_distinct(relational.merge_sketches(stored, "protocol_type"))
+    every = relational.sketched_distinct(relational.merge_sketches(stored))
+    return per_protocol.unionByName(every.withColumn("protocol_type", F.lit(None).cast("string")))
+
+
+@query(
+    f"""with {FLOWS} select count(distinct flow_key) as n_exact, true as within_five_percent from flows"""
+)
+def key_count_sketched(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct keys, far more than a sketch has registers: the estimate is off by three standard errors at most."""
+    records = flows(spark, folder)
+    exact = records.agg(F.count_distinct(FLOW_KEY).alias("n_exact"))
+    found = relational.sketched_distinct(relational.distinct_sketches(records, FLOW_KEY))
+    both = exact.unionByName(found, allowMissingColumns=True).agg(
+        F.max("n_exact").alias("n_exact"), F.max("n_distinct").alias("n_distinct")
+    )
+    close = F.abs(F.col("n_distinct") - F.col("n_exact")) <= 0.05 * F.col("n_exact")
+    return both.select("n_exact", close.alias("within_five_percent"))
+
+
 @query(f"with {FLOWS} select distinct flag from flows")
 def distinct_flags(spark: SparkSession, folder: str) -> DataFrame:
     return relational.distinct_values(flows(spark, folder), "flag")

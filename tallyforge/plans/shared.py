@@ -18,9 +18,15 @@ NUMERIC = ("duration", "src_bytes", "serror_rate", "rerror_rate")
 FLOWS = f"flows as ({FLOWS_SQL})"
 IN_TRAINING = "('0x' || substr(md5(flow_key), 1, 8))::bigint % 100 < 70"
 
+# Rows that a toss per key with a seed puts in the training part.
+IN_TOSS = "('0x' || substr(md5('toss {seed}|' || flow_key), 1, 8))::bigint < round(0.7 * 4294967296)"
+
 # The rule behind the label, and a deliberately different rule that plays the part of a model where
 # a measure is checked on known predictions.
 IS_NORMAL = "duration > 25 and land = 1"
+RULE_ON_TEST = f"""with {FLOWS}
+select flow_key, case when {IS_NORMAL} then 1.0 else 0.0 end::double as prediction
+from flows where not ({IN_TRAINING})"""
 GUESS = "duration > 20 and land = 1 and logged_in = 0"
 SCORED = f"""scored as (
   select flow_key, class,

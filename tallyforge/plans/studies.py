@@ -18,23 +18,19 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tallyforge.functions.recode import (
-    class_binarize,
-    class_to_numeric,
-    flag_code,
-    protocol_code,
-)
+from tallyforge.functions.recode import class_binarize, class_to_numeric, coded_connection
 from tallyforge.operators import classify, cluster, metrics, relational
+from tallyforge.operators.dictionaries import MAX_DICTIONARY
 from tallyforge.operators.features import (
     FeatureModel,
-    decode_labels,
     fit_features,
     fit_label_reindex,
     fit_scaler,
     fit_vector_index,
 )
+from tallyforge.operators.saved import WholeModel, load_whole, save_whole
 from tallyforge.operators.split import fold_number, in_training, training_flag, with_row_key
 from tallyforge.spec import ATTACK, NORMAL, connection_spec
 from tallyforge.staging import settle, staged
@@ -47,15 +43,46 @@ class Study:
     ``measures`` is the ``(metric, value)`` table, ``counts`` the contingency table it came from and
     ``scored`` the scored rows, computed when asked for. ``tables`` holds what else a study reports:
     the clustering studies their ``summary`` (k, sizes and centres), the ``histogram`` of assigned
-    clusters and the ``classes`` with their counts.
+    clusters and the ``classes`` with their counts. A study read back from disk has no ``scored``
+    rows; :meth:`score` works on any records.
     """
 
     model: Model
     features: FeatureModel
     measures: DataFrame
     counts: DataFrame
-    scored: DataFrame
+    scored: DataFrame | None
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    decoded: str | None = None
+    recode: str | None = None
+
+    def whole(self) -> WholeModel:
+        """The study's model, from raw records to scores."""
+        return WholeModel(self.features, self.model, self.decoded, self.recode)
+
+    def score(self, df: DataFrame) -> DataFrame:
+        """Score raw records as the study scored its test rows; they need no class."""
+        return self.whole().transform(df)
+
+
+def save_study(study: Study, spark: SparkSession, path: str) -> str:
+    """Write a study: model, encoding, measures, counts and its other tables."""
+    save_whole(study.whole(), spark, f"{path}/whole")
+    reports = {"measures": study.measures, "counts": study.counts, **study.tables}
+    for name, table in reports.items():
+        table.write.mode("overwrite").parquet(f"{path}/reports/{name}")
+    names = spark.createDataFrame([(n,) for n in reports], "name string")
+    names.coalesce(1).write.mode("overwrite").text(f"{path}/names")
+    return path
+
+
+def load_study(spark: SparkSession, path: str) -> Study:
+    """A study written by :func:`save_study`."""
+    whole = load_whole(spark, f"{path}/whole")
+    names = [r[0] for r in spark.read.text(f"{path}/names").collect()]
+    reports = {n: spark.read.parquet(f"{path}/reports/{n}") for n in names}
+    measures, counts = reports.pop("measures"), reports.pop("counts")
+    return Study(whole.model, whole.features, measures, counts, None, reports, whole.decoded, whole.recode)
 
 
 def _measures(*one_row_tables: DataFrame) -> DataFrame:
@@ -77,6 +104,13 @@ def _test_part(rows: DataFrame) -> DataFrame:
     return rows.filter(~F.col("train"))
 
 
+def _decoded_counts(scored: DataFrame, features: FeatureModel, kind: str = "string") -> DataFrame:
+    """Rows per predicted and true class name: counted by index, so only the counts are decoded."""
+    counts = relational.contingency(scored, truth="class")
+    named = features.decode(counts).withColumn("prediction", F.col("decoded").cast(kind))
+    return settle(named.select("prediction", "truth", "n"))
+
+
 def _scalar(df: DataFrame, **values: float) -> DataFrame:
     return df.sparkSession.createDataFrame([tuple(values.values())], list(values))
 
@@ -92,10 +126,12 @@ def tree_study(
     fit_on: str = "all",
     toss_seed: int | None = None,
     tree: Mapping[str, object] | None = None,
+    dictionary_size: int = MAX_DICTIONARY,
 ) -> Study:
     """Normal against attack with a decision tree tuned by cross-validation.
 
-    ``tree`` holds further settings of the tree.
+    ``tree`` holds further settings of the tree. Dictionaries beyond ``dictionary_size`` values, all
+    columns together, are held as tables; so they are in the other studies.
 
     ``fit_on="all"`` learns categories before the split; ``"train"`` learns them from training rows
     only and gives categories unseen there an all-zero vector; it needs the split by key.
@@ -106,9 +142,10 @@ def tree_study(
     data = data.withColumn("class", class_binarize("class"))
     spec = connection_spec(key=[key])
     if fit_on == "all":
-        features = fit_features(data, spec, "onehot")
+        features = fit_features(data, spec, "onehot", max_size=dictionary_size)
     else:
-        features = fit_features(data.filter(in_training(key)), spec, "onehot", handle_invalid="keep")
+        known = data.filter(in_training(key))
+        features = fit_features(known, spec, "onehot", handle_invalid="keep", max_size=dictionary_size)
     encoded = _encode(data, features, key, toss_seed, fold_number(key, folds).alias("fold"))
     search = classify.cross_validator(
         classify.decision_tree(**(tree or {})),
@@ -166,14 +203,15 @@ def perceptron_study(
     scale: bool = False,
     seed: int | None = None,
     toss_seed: int | None = None,
+    dictionary_size: int = MAX_DICTIONARY,
 ) -> Study:
     """Normal against attack with a neural net on numeric columns and category indices."""
     data, key = with_row_key(df, key)
     data = data.withColumn("class", class_binarize("class"))
-    features = fit_features(data, connection_spec(key=[key]), "ordinal")
+    features = fit_features(data, connection_spec(key=[key]), "ordinal", max_size=dictionary_size)
     encoded = _encode(data, features, key, toss_seed)
     with staged(encoded, "features") as rows:
-        model = _fit_net(rows.filter("train"), len(features.labels), scale, seed)
+        model = _fit_net(rows.filter("train"), features.classes, scale, seed)
         counts = settle(relational.contingency(classify.predict(model, _test_part(rows))))
         measures = _measures(
             relational.split_sizes(rows, F.col("train")),
@@ -198,14 +236,15 @@ def cluster_study(
     *,
     drop_constant: bool = True,
     iterations: int = cluster.KMEANS_ITERATIONS,
+    dictionary_size: int = MAX_DICTIONARY,
 ) -> Study:
     """k-means over all rows with one cluster per class, compared naively with the class index."""
     df, key = with_row_key(df, key)
     spec = connection_spec(key=[key], host_login=True)
-    features = fit_features(df, spec, "onehot", drop_constant=drop_constant)
+    features = fit_features(df, spec, "onehot", drop_constant=drop_constant, max_size=dictionary_size)
     encoded = features.transform(df).select(key, "features", "label")
     with staged(encoded, "features") as rows:
-        model = cluster.kmeans_parallel(len(features.labels), iterations=iterations).fit(rows)
+        model = cluster.kmeans_parallel(features.classes, iterations=iterations).fit(rows)
         assigned = classify.predict(model, rows)
         # As many rows as classes times clusters, and there is one cluster per class.
         counts = settle(relational.contingency(assigned))
@@ -225,40 +264,44 @@ def formula_forest_study(
     seed: int | None = None,
     subset: str = "auto",
     toss_seed: int | None = None,
+    dictionary_size: int = MAX_DICTIONARY,
 ) -> Study:
     """Normal against attack with a random forest on ``class ~ .``; normal is the positive class."""
     df, key = with_row_key(df, key)
     data = df.drop("is_host_login").withColumn("class", class_binarize("class"))
-    features = fit_features(data, connection_spec(key=[key]), "formula")
+    features = fit_features(data, connection_spec(key=[key]), "formula", max_size=dictionary_size)
     encoded = _encode(data, features, key, toss_seed, "class")
     forest = classify.random_forest(featureSubsetStrategy=subset)
     if seed is not None:
         forest.setSeed(seed)
 
-    def score(rows: DataFrame) -> DataFrame:
-        return decode_labels(classify.predict(model, _test_part(rows)), features.labels)
-
     with staged(encoded, "features") as rows:
         model = forest.fit(rows.filter("train"))
-        counts = settle(relational.contingency(score(rows), "decoded", "class"))
+        counts = _decoded_counts(classify.predict(model, _test_part(rows)), features)
         measures = _measures(
             relational.split_sizes(rows, F.col("train")),
             metrics.agreement(counts),
             metrics.confusion_over_total(counts, NORMAL, ATTACK),
         )
-    return Study(model, features, measures, counts, score(encoded))
+    scored = features.decode(classify.predict(model, _test_part(encoded)))
+    return Study(model, features, measures, counts, scored, decoded="string")
 
 
 def formula_cluster_study(
-    df: DataFrame, key: str | None, *, seed: int | None = None, toss_seed: int | None = None
+    df: DataFrame,
+    key: str | None,
+    *,
+    seed: int | None = None,
+    toss_seed: int | None = None,
+    dictionary_size: int = MAX_DICTIONARY,
 ) -> Study:
     """k-means from random rows on ``class ~ .``, fitted on the training part."""
     df, key = with_row_key(df, key)
     data = df.drop("is_host_login").withColumn("class", class_binarize("class"))
-    features = fit_features(data, connection_spec(key=[key]), "formula")
+    features = fit_features(data, connection_spec(key=[key]), "formula", max_size=dictionary_size)
     encoded = _encode(data, features, key, toss_seed, "class")
     with staged(encoded, "features") as rows:
-        model = cluster.kmeans_random(len(features.labels), seed=seed).fit(rows.filter("train"))
+        model = cluster.kmeans_random(features.classes, seed=seed).fit(rows.filter("train"))
         counts = settle(
             relational.contingency(classify.predict(model, _test_part(rows)), truth="class")
         )
@@ -276,28 +319,22 @@ def formula_perceptron_study(
     scale: bool = False,
     seed: int | None = None,
     toss_seed: int | None = None,
+    dictionary_size: int = MAX_DICTIONARY,
 ) -> Study:
     """Normal (1.0) against attack (0.0) with a neural net on hand-coded columns."""
     df, key = with_row_key(df, key)
-    data = (
-        df.drop("is_host_login", "service")
-        .withColumn("class", class_to_numeric("class"))
-        .withColumn("protocol_type", protocol_code("protocol_type"))
-        .withColumn("flag", flag_code("flag"))
-    )
-    features = fit_features(data, connection_spec(key=[key]), "formula")
+    data = coded_connection(df.drop("is_host_login", "service")).withColumn("class", class_to_numeric("class"))
+    features = fit_features(data, connection_spec(key=[key]), "formula", max_size=dictionary_size)
     encoded = _encode(data, features, key, toss_seed, "class")
 
-    def score(rows: DataFrame) -> DataFrame:
-        decoded = decode_labels(classify.predict(model, _test_part(rows)), features.labels)
-        return decoded.withColumn("decoded", F.col("decoded").cast("double"))
-
     with staged(encoded, "features") as rows:
-        model = _fit_net(rows.filter("train"), len(features.labels), scale, seed)
-        counts = settle(relational.contingency(score(rows), "decoded", "class"))
+        model = _fit_net(rows.filter("train"), features.classes, scale, seed)
+        counts = _decoded_counts(classify.predict(model, _test_part(rows)), features, "double")
         measures = _measures(
             relational.split_sizes(rows, F.col("train")),
             metrics.agreement(counts),
             metrics.confusion_over_predicted(counts, 1.0, 0.0),
         )
-    return Study(model, features, measures, counts, score(encoded))
+    scored = features.decode(classify.predict(model, _test_part(encoded)))
+    scored = scored.withColumn("decoded", F.col("decoded").cast("double"))
+    return Study(model, features, measures, counts, scored, decoded="double", recode="coded_connection")

@@ -23,7 +23,11 @@ def scan_csv(
     the same column differently from one file to the next. With neither, all columns are strings.
 
     A field that does not fit its type becomes null, unless ``fail_fast`` makes it an error; with a
-    schema, ``corrupt_column`` names a text column that receives the whole line of such a record.
+    schema, ``corrupt_column`` names a text column that receives the whole line of such a record. Only
+    the columns that a query uses are converted, so use them all to see every such line.
+
+    With a schema, the header of every file is compared with it as the file is read, so files whose
+    columns are in another order are an error, not taken by position.
     """
     if schema is not None and infer_schema:
         raise ValueError("give a schema or ask for inference, not both")
@@ -34,8 +38,7 @@ def scan_csv(
         fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
         names = [f for f in fields.fields if f.name != corrupt_column]
         schema = StructType([*names, StructField(corrupt_column, StringType())])
-        # A header cannot name the added column, so it is not compared with the schema.
-        return reader.schema(schema).option("columnNameOfCorruptRecord", corrupt_column).csv(path)
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     if schema is not None:
         # Files are matched to the schema by position; a header in another order is an error.
         reader = reader.schema(schema).option("enforceSchema", False)

@@ -101,15 +101,13 @@ MAX_SETTLED = 100_000
 def settle(df: DataFrame, max_rows: int = MAX_SETTLED) -> DataFrame:
     """Compute a small table now, so that it no longer depends on anything staged.
 
-    For measures, leaves of a tree, cluster summaries. A table of more than ``max_rows`` rows is
-    written to the shared folder instead of being collected.
+    For measures, leaves of a tree, cluster summaries. At most one row more than ``max_rows`` is
+    collected; a larger table is then computed anew and written to the shared folder.
     """
     spark = df.sparkSession
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) <= max_rows:
+        return spark.createDataFrame(rows, df.schema)
     path = new_shared_path(spark, "settled")
     df.write.parquet(path)
-    written = spark.read.schema(df.schema).parquet(path)
-    rows = written.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return written
-    delete_path(spark, path)
-    return spark.createDataFrame(rows, df.schema)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,5 +1,9 @@
 """Every registered query against its SQL oracle on the smallest tables."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as contract
@@ -35,3 +39,14 @@ def test_entry(spark):
     cells = contract.entry(spark).first()
     assert cells["tp"] + cells["tn"] == pytest.approx(1.0)
     assert cells["fp"] == cells["fn"] == 0.0
+
+
+def test_queries_survive_a_missing_dependency_of_the_text_operators():
+    code = (
+        "import sys; sys.modules['public_tokenizers'] = None; sys.modules['tokenizers'] = None\n"
+        "import __spark_entry__ as c\n"
+        "from tallyforge.plans import catalogue\n"
+        "assert set(c.queries()) == set(catalogue.QUERIES) and set(c.oracle_sql()) == set(catalogue.ORACLES)"
+    )
+    root = Path(__file__).resolve().parents[1]
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)

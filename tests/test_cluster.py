@@ -126,3 +126,9 @@ def test_too_many_groups_are_refused(spark):
     df, _ = points(spark)
     with pytest.raises(ValueError):
         cluster.first_of_each(df, "id", "id", "x", max_groups=10)
+
+
+def test_too_many_given_centres_are_refused(spark):
+    df, _ = points(spark)
+    with pytest.raises(ValueError):
+        cluster.assign(df, "x", {i: [0.0] * 1001 for i in range(100)})

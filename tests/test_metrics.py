@@ -108,3 +108,11 @@ def test_measures_need_one_pass_over_rows(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
     plan = metrics.agreement(relational.contingency(df))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("partial_count") == 1
+
+
+def test_clusters_numbered_by_size(spark):
+    counts = spark.createDataFrame(
+        [(7, 0.0, 5), (7, 1.0, 1), (2, 1.0, 9), (4, 2.0, 6), (None, 2.0, 1)], "prediction int, truth double, n bigint"
+    )
+    found = tuples(metrics.numbered_by_size(counts))
+    assert sorted(found) == [(0.0, 1.0, 9), (1.0, 2.0, 6), (2.0, 0.0, 5), (2.0, 1.0, 1), (3.0, 2.0, 1)]

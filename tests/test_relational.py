@@ -67,3 +67,24 @@ def test_projection_and_drop(spark):
     df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int")
     assert rel.project(df, ["c", "a"]).columns == ["c", "a"]
     assert rel.drop_columns(df, ["b", "absent"]).columns == ["a", "c"]
+
+
+def test_sketches_add_up_across_parts(spark):
+    df = spark.range(60_000).selectExpr("concat('v', id % 20000) as v", "id % 7 as part", "id % 2 as half")
+    parts = rel.distinct_sketches(df, "v", "part", "half")
+    assert parts.count() == 14
+    merged = {r["half"]: r["n_distinct"] for r in rel.sketched_distinct(rel.merge_sketches(parts, "half")).collect()}
+    assert all(abs(n - 10_000) < 0.05 * 10_000 for n in merged.values())
+    every = rel.sketched_distinct(rel.merge_sketches(parts)).first()["n_distinct"]
+    assert abs(every - 20_000) < 0.05 * 20_000
+    at_once = rel.sketched_distinct(rel.distinct_sketches(df, "v")).first()["n_distinct"]
+    assert at_once == every
+
+
+def test_sketches_ignore_nulls_and_count_few_values_exactly(spark):
+    df = spark.createDataFrame([("a", 1), (None, 1), ("b", 1), ("a", 1), (None, 2)], "v string, g int")
+    sketches = rel.distinct_sketches(df, "v", "g")
+    assert dict(tuples(rel.sketched_distinct(sketches))) == {1: 2, 2: 0}
+    assert rel.sketched_distinct(rel.merge_sketches(sketches)).first()["n_distinct"] == 2
+    plan = sketches._jdf.queryExecution().executedPlan().toString()
+    assert "partial_hll_sketch_agg" in plan

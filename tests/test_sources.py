@@ -126,3 +126,15 @@ def test_column_roles():
     assert spec.without(["a"]).numeric(columns) == ["n", "m"]
     assert "is_host_login" in connection_spec(host_login=True).categorical
     assert "is_host_login" not in connection_spec().categorical
+
+
+def test_headers_of_all_files_are_compared_also_with_a_corrupt_column(spark, tmp_path):
+    for name, text in (("1", "duration,rate\n1,0.5\nx,0.25\n"), ("2", "duration,rate\n2,0.5\n")):
+        (tmp_path / f"{name}.csv").write_text(text)
+    schema = "duration int, rate double"
+    kept = scan_csv(spark, str(tmp_path), schema=schema, corrupt_column="bad")
+    assert sorted(tuples(kept), key=str) == [(1, 0.5, None), (2, 0.5, None), (None, 0.25, "x,0.25")]
+    (tmp_path / "3.csv").write_text("rate,duration\n0.5,3\n")
+    for column in ("duration", "rate"):
+        with pytest.raises(Exception, match="(?i)header"):
+            scan_csv(spark, str(tmp_path), schema=schema, corrupt_column="bad").select(column).collect()

@@ -6,6 +6,7 @@ from tallyforge.operators.split import (
     fold_number,
     hash_split,
     in_training,
+    part_number,
     random_split,
     training_flag,
     with_row_key,
@@ -99,3 +100,28 @@ def test_rows_without_a_key_get_one_from_their_content(spark):
     keyed_rows, name = with_row_key(df, None)
     assert name == "row_key_" and keyed_rows.select(name).distinct().count() == 3
     assert with_row_key(df, "y") == (df, "y")
+
+
+def test_weighted_parts(spark):
+    df = keyed(spark).withColumn("part", part_number("k", (0.6, 0.2, 0.2)))
+    shares = {p: n / 20_000 for p, n in tuples(df.groupBy("part").count())}
+    assert set(shares) == {0, 1, 2}
+    assert all(abs(shares[p] - w) < 0.02 for p, w in enumerate((0.6, 0.2, 0.2)))
+    assert df.where(in_training("k", 0.6) != (F.col("part") == 0)).count() == 0
+    parts = hash_split(keyed(spark).repartition(7), "k", weights=(0.6, 0.2, 0.2))
+    assert [p.count() for p in parts] == [df.where(f"part = {i}").count() for i in range(3)]
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_parts_of_any_weights(spark):
+    df = keyed(spark)
+    scaled = df.select(part_number("k", (3, 1, 1)).alias("a"), part_number("k", (0.6, 0.2, 0.2)).alias("b"))
+    assert scaled.where("a <> b").count() == 0
+    counted = dict(tuples(df.groupBy(part_number("k", (1, 0, 1, 0)).alias("p")).count()))
+    assert set(counted) == {0, 2} and abs(counted[0] - 10_000) < 400
+    thirds = dict(tuples(df.groupBy(part_number("k", (1, 1, 1)).alias("p")).count()))
+    assert set(thirds) == {0, 1, 2} and all(abs(n - 6667) < 300 for n in thirds.values())
+    assert tuples(df.select(part_number("k", (5,)).alias("p")).distinct()) == [(0,)]
+    for wrong in ((), (0, 0), (1, -1), (float("inf"),)):
+        with pytest.raises(ValueError):
+            part_number("k", wrong)
