@@ -37,8 +37,10 @@ COPY = 1 << FILTERS.index("E")
 #: Texts of a task are compared in lots of about so many bytes, with so many bytes added per row.
 LOT_BYTES = 32 << 20
 ROW_BYTES = 200
-#: A prefix that stands for more bytes than this is replaced by longer ones.
-PREFIX_BYTES = 48 << 20
+#: A prefix that stands for more bytes than this is replaced by longer ones. A trie holds one prefix.
+PREFIX_BYTES = 8 << 20
+#: A task takes a range of prefixes of about so many bytes, or less where there are idle tasks.
+RANGE_BYTES = 128 << 20
 #: At most so many prefixes are replaced per round; they stand for at least that share of all bytes each.
 MAX_HEAVY = 1_000_000
 #: Length of the first prefixes, and how much longer the next ones are.
@@ -258,7 +260,8 @@ def masks(docs: DataFrame, key: str = "doc_id", text: str = "text", part: str =
             yield out.batch()
 
     texts, total = by_prefix(rows.where("body is not null"))
-    parts = max(1, -(-total // PREFIX_BYTES))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, -(-total // RANGE_BYTES), min(tasks, -(-total // PREFIX_BYTES)))
     dealt = texts.select(*names, "body", "prefix").repartitionByRange(parts, "prefix").sortWithinPartitions("prefix")
     compared = dealt.mapInArrow(global_tries, f"id {kind}, part string, mask int, n long")
     return rows.where("body is null").select(*names).unionByName(compared)
