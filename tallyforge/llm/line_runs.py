@@ -5,16 +5,25 @@ sorted by distributed prefix doubling: ranks of runs of one line are paired with
 runs behind them to give ranks of runs of two, four, eight lines and so on. Positions whose run is
 not repeated are settled and drop out, so each round handles only what still has a common prefix
 with another suffix; the rounds end when nothing has. The positions of one rank are an interval of
-the suffix array with that longest common prefix. A repeated run of any length is the overlap of two
-such intervals, so together they reveal all maximal runs.
+the suffix array.
 
-Deleted are the later copies: a line goes if it lies in a run of at least two lines, or is itself a
-line of at least ``MIN_LINE_CHARS`` characters, that also occurs earlier. Earlier means in a document
-with a smaller id, or further up in the same document. Lines are compared by 128 bits of hash.
+How many lines a position exactly has in common with an earlier one follows from the stored ranks by
+binary lifting. A run of any length between two levels is named by the ranks of two runs of the lower
+level that cover it, so whether it also occurs earlier is a grouping by that name; from the highest
+level with an earlier copy on, the length is settled bit by bit. That gives every maximal repeated run.
+
+Deleted are the later copies: a line goes if it lies in a run of lines that also occurs earlier and has
+``MIN_RUN_CHARS`` characters or more, whatever the number of its lines. Shorter runs repeat by chance.
+Earlier means in a document with a smaller id, or further up in the same document. Lines are compared
+by 128 bits of hash.
+
+A line or run that is in a third of all documents is never joined in one task: frequent ones are looked
+up by broadcast.
 
 Defined results: null texts stay null and have no lines; lines without a word are kept and do not
 interrupt a run; rows that share id and text are one document and are treated alike; a null id comes
-before all others; an empty table gives an empty result.
+before all others; an empty table gives an empty result; a text of more than 2^24 lines with a word is an
+error.
 """
 
 from __future__ import annotations
@@ -22,16 +31,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StringType
 
-from tallyforge.llm.tables import discard, small, written
+from tallyforge.llm.tables import discard, join_weighted, small, written
 
-#: A single line must have so many characters to be deleted; shorter ones repeat by chance.
-MIN_LINE_CHARS = 40
+#: A repeated run must have so many characters, line ends not counted, to be deleted.
+MIN_RUN_CHARS = 40
 NOT_BLANK = r"[^\x20\x09-\x0D]"
-#: Lines per document and doublings are far below these.
+#: Bits of a line's number in its document, and of a rank.
 LINE_BITS = 24
+RANK_BITS = 48
 MAX_ROUNDS = LINE_BITS
 MAX_BROADCAST_ROWS = 200_000
 
@@ -65,86 +75,143 @@ def identified(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def line_table(rows: DataFrame) -> DataFrame:
-    """Every line with a word: document, place among such lines, length and hash."""
+    """Every line with a word: document, place among such lines, characters and hash."""
     lines = F.filter(F.split("body", "\n"), lambda x: x.rlike(NOT_BLANK))
+    too_long = F.raise_error(F.lit(f"a text has more than {1 << LINE_BITS} lines")).cast("int")
     return rows.select("key", "content", F.posexplode(lines).alias("at", "line")).select(
         "key",
         "content",
-        "at",
+        F.when(F.col("at") < 1 << LINE_BITS, F.col("at")).otherwise(too_long).alias("at"),
         F.xxhash64("line").alias("one"),
         F.xxhash64("line", F.lit("line")).alias("two"),
-        (F.length("line") >= MIN_LINE_CHARS).alias("long"),
+        F.length("line").alias("chars"),
     )
 
 
-def repeated_intervals(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The suffix array's intervals of repeated runs, and the documents they refer to.
+def repeated_lines(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Lines that occur more than once, by position, and the documents they are in.
 
-    First table: ``lines`` (length of the run, a power of two), ``rank``, ``pos``, ``first`` (the earliest
-    position of the run) and ``long``. A position is a document number and a line number of 24 bits.
-    Second table: ``key``, ``content`` and ``number`` of each document that has such a position.
+    A position is a document number and a line number of 24 bits. First table: ``pos``, the line's hashes,
+    ``chars`` and ``upto``, the characters of repeated lines of the document up to this one. Second table:
+    ``key``, ``content`` and ``number`` of each document that has such a line.
     """
     lines = line_table(identified(docs, key, text))
-    groups = lines.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").select("one", "two")
-    shared = written(lines.join(groups, ["one", "two"]), "shared-lines")
+    groups = written(lines.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1"), "line-groups")
+    shared = written(join_weighted(lines, groups, "one", "two"), "shared-lines")
     numbers = ranked(shared.select("key", "content").distinct(), "key", "content")
     numbers = written(numbers.withColumnRenamed("rank", "number"), "numbers")
     near = small(numbers, MAX_BROADCAST_ROWS)
     same = shared["key"].eqNullSafe(near["key"]) & (shared["content"] == near["content"])
-    active = shared.join(near, same).select(
-        (F.col("number") * (1 << LINE_BITS) + F.col("at")).alias("pos"), "one", "two", "long"
+    so_far = Window.partitionBy(F.shiftright("pos", LINE_BITS)).orderBy("pos")  # the lines of one document
+    placed = (
+        shared.join(near, same)
+        .select((F.col("number") * (1 << LINE_BITS) + F.col("at")).alias("pos"), "one", "two", "chars")
+        .distinct()
+        .withColumn("upto", F.sum("chars").over(so_far))
     )
-    levels = []
+    return written(placed, "positions"), numbers
+
+
+def intervals(positions: DataFrame) -> list[DataFrame]:
+    """The suffix array's intervals of repeated runs of 1, 2, 4 … lines, one table each.
+
+    Columns: ``level``, ``name`` (the run's rank at its level), ``pos``, ``first`` (the earliest position of the
+    run) and ``n`` (its number of positions).
+    """
+    levels: list[DataFrame] = []
+    active = positions.select("pos", "one", "two")
     for level in range(MAX_ROUNDS):
-        active = written(active.distinct() if level == 0 else active, "runs")
         found = active.groupBy("one", "two").agg(F.count("*").alias("n"), F.min("pos").alias("first"))
-        names = ranked(found.where("n > 1").select("one", "two", "first"), "one", "two")
+        names = ranked(found.where("n > 1"), "one", "two").withColumn("many", F.col("n"))
+        names = written(names.withColumn("rank", F.col("rank") + (level << RANK_BITS)), "names")
         interval = written(
-            active.join(names, ["one", "two"]).select(F.lit(1 << level).alias("lines"), "rank", "pos", "first", "long"),
+            join_weighted(active, names, "one", "two").select(
+                F.lit(level).alias("level"), F.col("rank").alias("name"), "pos", "first", F.col("many").alias("n")
+            ),
             "intervals",
         )
+        if level:
+            discard(active)
         if interval.isEmpty():
             break
         levels.append(interval)
-        behind = interval.select((F.col("pos") - (1 << level)).alias("pos"), F.col("rank").alias("two"))
-        discard(active)
-        active = interval.select("pos", F.col("rank").alias("one"), F.lit(True).alias("long")).join(behind, "pos")
-    if not levels:
-        return interval, numbers
+        behind = interval.select((F.col("pos") - (1 << level)).alias("pos"), F.col("name").alias("two"))
+        active = written(interval.select("pos", F.col("name").alias("one")).join(behind, "pos"), "runs")
+    return levels
+
+
+def power(exponent: Column) -> Column:
+    return F.pow(F.lit(2.0), exponent).cast("long")
+
+
+def longest_runs(levels: list[DataFrame]) -> DataFrame:
+    """``pos`` and ``size`` of the longest run from each position on that also occurs earlier."""
     every = levels[0]
     for interval in levels[1:]:
         every = every.unionByName(interval)
-    return every, numbers
+    highest = F.max(F.struct("level", "name", "n"))
+    state = every.where("first < pos").groupBy("pos").agg(highest.alias("top")).select("pos", "top.*")
+    state = written(state.withColumn("size", power(F.col("level"))), "longest")
+    deepest = state.agg(F.max("level")).first()[0] or 0
+    for step in range(1, deepest + 1):
+        asking = F.col("level") >= step
+        state = state.withColumn("wanted", F.when(asking, F.col("size") + power(F.col("level") - step)))
+        asked = written(
+            state.where(asking).groupBy("name", "wanted").agg(F.max("n").alias("n")), "asked"
+        )
+        # All positions of an asked run, with the lower run that ends where the wanted one does.
+        held = join_weighted(every.where(asking).select("name", "level", "pos"), asked, "name")
+        ends = every.where(asking).select("level", F.col("pos").alias("tail"), F.col("name").alias("end_name"))
+        held = written(
+            held.withColumn("tail", F.col("pos") + F.col("wanted") - power(F.col("level")))
+            .join(ends, ["level", "tail"])
+            .select("pos", "name", "wanted", "end_name"),
+            "held",
+        )
+        firsts = held.groupBy("name", "wanted", "end_name").agg(F.min("pos").alias("first"), F.count("*").alias("n"))
+        firsts = written(firsts.where("n > 1"), "firsts")
+        reached = join_weighted(held, firsts, "name", "wanted", "end_name").where("first < pos").select("pos", "wanted")
+        longer = state.join(reached.withColumn("found", F.lit(True)), ["pos", "wanted"], "left")
+        following = longer.withColumn("size", F.when(F.col("found"), F.col("wanted")).otherwise(F.col("size")))
+        following = written(following.drop("wanted", "found"), "longest")
+        for done in (state, asked, held, firsts):
+            discard(done)
+        state = following
+    return state.select("pos", "size")
 
 
 def deletions(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document with deleted lines: ``key``, ``content``, the maximal ``runs`` and ``longest``.
 
-    ``runs`` is an array of first and last line, counting lines that have a word; ``longest`` is the
-    length of the longest interval with an earlier copy.
+    ``runs`` is an array of first and last line, counting lines that have a word, of the runs that have an
+    earlier copy and enough characters and are not part of a longer one; they may overlap. ``longest`` is
+    the length of the longest, ``lines`` the number of lines in any of them.
     """
-    intervals, numbers = repeated_intervals(docs, key, text)
-    later = intervals.where((F.col("first") < F.col("pos")) & ((F.col("lines") > 1) | F.col("long"))).select(
-        F.shiftright("pos", LINE_BITS).alias("number"),
-        F.col("pos").bitwiseAND((1 << LINE_BITS) - 1).alias("begin"),
-        F.col("lines").cast("long").alias("size"),
-    )
-    # Of the runs that begin at a line, the longest; then those that touch are one run.
-    widest = later.groupBy("number", "begin").agg(F.max("size").alias("size"))
-    in_order = Window.partitionBy("number").orderBy("begin")
-    end = F.col("begin") + F.col("size") - 1
-    reached = F.max(end).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-    opened = F.coalesce((F.col("begin") > reached + 1).cast("int"), F.lit(1))
-    spans = (
-        widest.withColumn("opened", opened)
-        .withColumn("run", F.sum("opened").over(in_order))
-        .groupBy("number", "run")
-        .agg(F.min("begin").alias("first"), F.max(end).alias("last"), F.max("size").alias("longest"))
+    positions, numbers = repeated_lines(docs, key, text)
+    levels = intervals(positions)
+    if not levels:
+        nothing = numbers.select("key", "content", F.lit(None).cast("array<struct<first:long,last:long>>").alias("runs"))
+        return nothing.withColumns({c: F.lit(0).cast("long") for c in ("longest", "lines")}).limit(0)
+    runs = longest_runs(levels).withColumn("tail", F.col("pos") + F.col("size") - 1)
+    begins = positions.select("pos", (F.col("upto") - F.col("chars")).alias("before"))
+    ends = positions.select(F.col("pos").alias("tail"), "upto")
+    deleted = runs.join(begins, "pos").join(ends, "tail").where(F.col("upto") - F.col("before") >= MIN_RUN_CHARS)
+    line = lambda name: F.col(name).bitwiseAND((1 << LINE_BITS) - 1)
+    in_order = Window.partitionBy("number").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.coalesce(F.max("last").over(in_order), F.lit(-1))
+    # A run that ends no later than one that begins before it is part of that one.
+    maximal = (
+        deleted.select(F.shiftright("pos", LINE_BITS).alias("number"), line("pos").alias("first"), line("tail").alias("last"))
+        .withColumn("reached", reached)
+        .where("last > reached")
     )
-    per_document = spans.groupBy("number").agg(
-        F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs"), F.max("longest").alias("longest")
+    fresh = F.col("last") - F.greatest(F.col("reached"), F.col("first") - 1)
+    per_document = maximal.groupBy("number").agg(
+        F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs"),
+        F.max(F.col("last") - F.col("first") + 1).alias("longest"),
+        F.sum(fresh).alias("lines"),
     )
-    return written(per_document.join(numbers, "number").select("key", "content", "runs", "longest"), "deletions")
+    return written(per_document.join(numbers, "number").select("key", "content", "runs", "longest", "lines"), "deletions")
 
 
 @F.pandas_udf(StringType())
@@ -181,12 +248,11 @@ def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text"
     hit = F.col("runs").isNotNull()
     parts = lambda name: F.transform("runs", lambda r: r[name])
     cut = without_runs(F.when(hit, F.col("row")[text]), parts("first"), parts("last"))
-    lengths = F.transform("runs", lambda r: r["last"] - r["first"] + 1)
-    joined = joined.select("row", "runs", "longest", F.when(hit, cut).otherwise(F.col("row")[text]).alias("cut"))
+    joined = joined.select("row", "runs", "longest", "lines", F.when(hit, cut).otherwise(F.col("row")[text]).alias("cut"))
     columns = [F.col("cut").alias(c) if c == text else F.col("row")[c].alias(c) for c in kept]
     return joined.select(
         *columns,
         F.coalesce("runs", F.array()).alias("removed_runs"),
-        F.coalesce(F.aggregate(lengths, F.lit(0).cast("long"), lambda a, b: a + b), F.lit(0)).alias("n_removed"),
+        F.coalesce("lines", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("longest", F.lit(0)).cast("long").alias("longest_run"),
     )

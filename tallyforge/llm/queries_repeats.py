@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyforge.llm.line_runs import MIN_LINE_CHARS, NOT_BLANK, drop_repeated_lines
+from tallyforge.llm.line_runs import MIN_RUN_CHARS, NOT_BLANK, drop_repeated_lines
 from tallyforge.llm.registry import query
 from tallyforge.llm.repeat_intervals import remove_repeats
 from tallyforge.llm.tables import table
@@ -15,15 +15,26 @@ split_docs as (
 numbered as (
   select r, doc_id, text, all_lines,
     list_filter(all_lines, lambda x: regexp_matches(x, '{NOT_BLANK}')) as ls from split_docs),
-sizes(size) as (values (1), (2), (4), (8), (16), (32), (64), (128), (256), (512), (1024), (2048)),
-runs as (
-  select r, doc_id, size, unnest(range(1, len(ls) - size + 2)) as i, ls from numbered, sizes where len(ls) >= size),
-keyed as (select r, doc_id, size, i, ls[i] as line, md5(array_to_string(ls[i:i + size - 1], chr(10))) as k from runs),
-ordered as (
-  select *, row_number() over (partition by size, k order by doc_id, i) as copy from keyed),
+places as (
+  select r, doc_id, unnest(range(1, len(ls) + 1)) as i, unnest(ls) as line from numbered),
+lines as (
+  select r, i, line, md5(line) as k, dense_rank() over (order by doc_id, r) as doc_order,
+    sum(length(line)) over (partition by r order by i) as upto from places),
+-- Runs that occur more than once, grown by one line at a time.
+runs(size, r, i, k, doc_order, earlier) as (
+  select 1, r, i, k, doc_order, row_number() over (partition by k order by doc_order, i) > 1
+  from (select *, count(*) over (partition by k) as n from lines) where n > 1
+  union all
+  select size, r, i, k, doc_order, row_number() over (partition by k order by doc_order, i) > 1
+  from (
+    select runs.size + 1 as size, runs.r, runs.i, md5(runs.k || lines.k) as k, runs.doc_order,
+      count(*) over (partition by md5(runs.k || lines.k)) as n
+    from runs join lines on lines.r = runs.r and lines.i = runs.i + runs.size)
+  where n > 1),
 later as (
-  select r, size, i from ordered
-  where copy > 1 and (size > 1 or length(line) >= {MIN_LINE_CHARS})),
+  select runs.r, runs.size, runs.i
+  from runs join lines a on a.r = runs.r and a.i = runs.i join lines z on z.r = runs.r and z.i = runs.i + runs.size - 1
+  where runs.earlier and z.upto - a.upto + length(a.line) >= {MIN_RUN_CHARS}),
 gone as (
   select r, list(distinct spot) as gone, max(size)::bigint as longest_run
   from (select r, size, unnest(range(i, i + size)) as spot from later) group by r),
@@ -46,7 +57,7 @@ deduped as (
 
 
 @query(
-    f"""with docs as (select * from documents), {LINE_CTES}
+    f"""with recursive docs as (select * from documents), {LINE_CTES}
     select doc_id, n_lines, n_removed, longest_run, sha256(kept_text) as kept_sha256 from deduped"""
 )
 def op10_line_suffix_array(spark: SparkSession, folder: str) -> DataFrame:

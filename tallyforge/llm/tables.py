@@ -8,6 +8,18 @@ import weakref
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    BooleanType,
+    DataType,
+    DateType,
+    DecimalType,
+    NumericType,
+    StringType,
+    StructType,
+    TimestampType,
+)
 
 from tallyforge.staging import delete_path, new_shared_path
 
@@ -68,17 +80,42 @@ def let(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), then), 1)
 
 
-def text_digest(text: Column) -> Column:
-    """Two independent 64-bit hashes of a text, as one short string; null for null."""
-    return F.when(text.isNotNull(), F.md5(text))
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes in memory."""
 
+    def of(value: Column, kind: DataType) -> Column:
+        if isinstance(kind, (StringType, BinaryType)):
+            return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+        if isinstance(kind, ArrayType) and fixed(kind.elementType):
+            return F.greatest(F.size(value), F.lit(0)) * fixed(kind.elementType) + 24
+        if fixed(kind):
+            return F.lit(fixed(kind))
+        return F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0)) + 32
 
-def small(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df`` marked for broadcasting if it is a written table of at most ``max_rows`` rows.
+    return sum((of(F.col(f"`{f.name}`"), f.dataType).cast("long") for f in df.schema.fields), F.lit(16).cast("long"))
+
+
+def fixed(kind: DataType) -> int:
+    """Bytes of a type whose values all take the same room; 0 for others."""
+    if isinstance(kind, (NumericType, BooleanType, DateType, TimestampType)):
+        return 16 if isinstance(kind, DecimalType) else 8
+    if isinstance(kind, StructType) and all(fixed(f.dataType) for f in kind.fields):
+        return 16 + sum(fixed(f.dataType) for f in kind.fields)
+    return 0
+
+
+#: Bytes of a table that is sent to every task.
+MAX_BROADCAST_BYTES = 32 << 20
+
+
+def small(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcasting if it is a written table of at most so many rows and bytes.
 
     Beyond that Spark joins by a shuffle; the result is the same.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    head = df.select(row_bytes(df).alias("bytes")).limit(max_rows + 1)
+    found = head.agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).first()
+    return F.broadcast(df) if found["n"] <= max_rows and (found["bytes"] or 0) <= max_bytes else df
 
 
 def split_of(key: Column, parts: int) -> Column:
@@ -98,18 +135,18 @@ HEAVY_ROWS = 10_000
 MAX_HEAVY_KEYS = 100_000
 
 
-def join_weighted(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    """``rows`` joined with a written ``table`` by ``key``, whose column ``n`` says how many rows a key has.
+def join_weighted(rows: DataFrame, table: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` joined with a written ``table`` by ``keys``, whose column ``n`` says how many rows a key has.
 
-    ``table`` holds every key once. Keys with many rows are broadcast: there are at most
-    ``MAX_HEAVY_KEYS``, since each stands for its share of all rows. The others meet in a shuffle, in
-    which none of them is frequent.
+    Keys with many rows are broadcast: there are at most ``MAX_HEAVY_KEYS``, since each stands for its
+    share of all rows. The others meet in a shuffle, in which none of them is frequent. The column ``n``
+    is not part of the result.
     """
     total = table.agg(F.sum("n")).first()[0] or 0
     heavy = F.col("n") >= max(HEAVY_ROWS, total // MAX_HEAVY_KEYS)
     hot, cold = table.where(heavy).drop("n"), table.where(~heavy).drop("n")
     if total < HEAVY_ROWS or hot.isEmpty():
-        return rows.join(cold, key)
-    settled = rows.join(F.broadcast(hot), key)
-    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
+        return rows.join(cold, [*keys])
+    settled = rows.join(F.broadcast(hot), [*keys])
+    rest = rows.join(F.broadcast(hot.select(*keys).distinct()), [*keys], "left_anti").join(cold, [*keys])
     return settled.unionByName(rest)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Row, functions as F
 
 from tallyforge.llm import boosted_toxicity, byte_cnn, chosen_path, host_rules, license_scan, line_runs
-from tallyforge.llm import neighbour_quality, packing, repeat_intervals, winnowing
+from tallyforge.llm import neighbour_quality, packing, repeat_intervals, tables, winnowing
 from tallyforge.llm.components import components
 from tallyforge.llm.queries_packing import RANKS, TOKENIZER
 from tests.llm.test_queries import check_packing, removed
@@ -288,18 +288,22 @@ LINES = [f"line number {i} with enough letters to be kept apart" for i in range(
 
 
 def cut_lines(rows):
-    """Brute force: windows of two lines, or one long line, that occur earlier."""
+    """Brute force: every run of lines, of any length, that occurs earlier and has 40 characters."""
     seq = {}
     for d, t, _ in rows:
         seq[d] = [x for x in (t or "").split("\n") if x.strip(" \t\x0b\x0c\r")]
-    seen, gone = {}, {d: set() for d in seq}
-    for size in (1, 2):
-        for d in sorted(seq):
-            for i in range(len(seq[d]) - size + 1):
-                w = tuple(seq[d][i : i + size])
-                if (size, w) in seen and (size > 1 or len(w[0]) >= line_runs.MIN_LINE_CHARS):
-                    gone[d].update(range(i, i + size))
-                seen.setdefault((size, w), (d, i))
+    places = [(d, i) for d in sorted(seq) for i in range(len(seq[d]))]
+    gone, longest = {d: set() for d in seq}, dict.fromkeys(seq, 0)
+    for at, (d, i) in enumerate(places):
+        size = 0
+        for e, j in places[:at]:
+            n = 0
+            while i + n < len(seq[d]) and j + n < len(seq[e]) and seq[d][i + n] == seq[e][j + n]:
+                n += 1
+            size = max(size, n)
+        if sum(map(len, seq[d][i : i + size])) >= 40:
+            gone[d].update(range(i, i + size))
+            longest[d] = max(longest[d], size)
     out = {}
     for d, t, _ in rows:
         kept, at = [], -1
@@ -309,24 +313,59 @@ def cut_lines(rows):
                 if at in gone[d]:
                     continue
             kept.append(x)
-        out[d] = (t if t is None or not gone[d] else "\n".join(kept), len(gone[d]))
+        out[d] = (t if t is None or not gone[d] else "\n".join(kept), len(gone[d]), longest[d])
     return out
 
 
-def test_line_runs_against_brute_force(spark, empty):
+@pytest.mark.parametrize("heavy", [10_000, 5])
+def test_line_runs_against_brute_force(spark, empty, monkeypatch, heavy):
     import random
 
+    monkeypatch.setattr(tables, "HEAVY_ROWS", heavy)
     rnd, rows = random.Random(8), []
     for d in range(40):
-        pick = lambda: rnd.choice(["a", "b", "c", "", " ", *LINES, f"own {d} {rnd.random()}"])
+        pick = lambda: rnd.choice(["a", "b", "c", "twelve chars", "", " ", *LINES, f"own {d} {rnd.random()}"])
         rows.append((d, "\n".join(pick() for _ in range(rnd.randrange(12))), "s"))
+    short = [f"line {i % 4}" for i in range(30)]
     rows += [(50, None, "s"), (51, "a\na\na\na", "s"), (52, "\n".join(LINES * 3), "s")]
+    rows += [(60 + i, "\n".join([f"own {i}", *short[i : i + 5 + 3 * i], f"end {i}"]), "s") for i in range(8)]
+    rows += [(70, "Yes\nNo", "s"), (71, "Yes\nNo\nown", "s"), (72, "\n".join("x" * 50), "s"), (73, "\n".join("x" * 41), "s")]
     docs = frame(spark, *rows)
-    result = line_runs.drop_repeated_lines(docs)
-    assert {r["doc_id"]: (r["text"], r["n_removed"]) for r in result.collect()} == cut_lines(rows)
+    result = line_runs.drop_repeated_lines(docs).collect()
+    got = {r["doc_id"]: (r["text"], r["n_removed"], r["longest_run"]) for r in result}
+    assert got == cut_lines(rows)
+    assert got[71] == ("Yes\nNo\nown", 0, 0)
+    for r in result:
+        lines = {i for run in r["removed_runs"] for i in range(run["first"], run["last"] + 1)}
+        assert len(lines) == r["n_removed"]
+        assert max([run["last"] - run["first"] + 1 for run in r["removed_runs"]], default=0) == r["longest_run"]
     assert line_runs.drop_repeated_lines(empty).collect() == []
 
 
+def test_a_repeated_run_of_three_lines_counts_three(spark):
+    run = "one of three lines\ntwo of three lines\nthree of three lines"
+    docs = frame(spark, (1, f"head\n{run}\ntail", "a"), (2, f"{run}\nother", "a"), (3, f"x\n{run}", "b"))
+    rows = {r["doc_id"]: r for r in line_runs.drop_repeated_lines(docs).collect()}
+    assert [rows[i]["longest_run"] for i in (1, 2, 3)] == [0, 3, 3]
+    assert [(r["first"], r["last"]) for r in rows[3]["removed_runs"]] == [(1, 3)] and rows[2]["text"] == "other"
+
+
+def test_too_many_lines_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(line_runs, "LINE_BITS", 3)
+    with pytest.raises(Exception, match="more than 8 lines"):
+        line_runs.drop_repeated_lines(frame(spark, (1, "\n".join("abcdefghi"), "a"), (2, "i", "a"))).collect()
+
+
+def test_broadcast_is_bounded_by_rows_and_bytes(spark):
+    wide = spark.range(100).selectExpr("id", "transform(sequence(1, 1000), x -> struct(x as a, id as b)) as list", "repeat('x', 50) as s")
+    bytes_per_row = wide.select(tables.row_bytes(wide)).first()[0]
+    assert 32_000 < bytes_per_row < 40_000
+    hinted = lambda df: "strategy=broadcast" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(tables.small(wide, 100)) and not hinted(tables.small(wide, 99))
+    assert not hinted(tables.small(wide, 100, max_bytes=50 * bytes_per_row))
+    assert hinted(tables.small(wide.limit(0), 1))
+
+
 def test_repeated_rows_do_not_remove_their_own_lines(spark, odd):
     rows = line_runs.drop_repeated_lines(odd).collect()
     got = [(r["doc_id"], r["text"], r["n_removed"]) for r in rows if r["doc_id"] in (1, 5)]

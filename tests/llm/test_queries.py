@@ -150,7 +150,7 @@ def test_pipeline_stage_by_stage(spark):
 
     lines = frozen("line_dedup", good)
     want = sql(
-        f"docs as (select * from documents), {LINE_CTES}",
+        f"recursive docs as (select * from documents), {LINE_CTES}",
         "select doc_id, kept_text from deduped where n_removed = 0 or regexp_matches(kept_text, '[^\\x20\\x09-\\x0D]')",
         good,
     )
