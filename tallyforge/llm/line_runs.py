@@ -10,15 +10,17 @@ the suffix array.
 How many lines a position exactly has in common with an earlier one follows from the stored ranks by
 binary lifting. A run of any length between two levels is named by the ranks of two runs of the lower
 level that cover it, so whether it also occurs earlier is a grouping by that name; from the highest
-level with an earlier copy on, the length is settled bit by bit. That gives every maximal repeated run.
+level with an earlier copy on, the length is settled bit by bit. Only positions whose run has different
+lines before it in its interval are looked at: where all copies agree in the line before, the run that
+begins there contains this one. That gives every maximal repeated run.
 
 Deleted are the later copies: a line goes if it lies in a run of lines that also occurs earlier and has
 ``MIN_RUN_CHARS`` characters or more, whatever the number of its lines. Shorter runs repeat by chance.
 Earlier means in a document with a smaller id, or further up in the same document. Lines are compared
 by 128 bits of hash.
 
-A line or run that is in a third of all documents is never joined in one task: frequent ones are looked
-up by broadcast.
+A line or run that is in a third of all documents is not joined in one task while the intervals are
+made: frequent ones are looked up by broadcast.
 
 Defined results: null texts stay null and have no lines; lines without a word are kept and do not
 interrupt a run; rows that share id and text are one document and are treated alike; a null id comes
@@ -92,8 +94,9 @@ def repeated_lines(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, Dat
     """Lines that occur more than once, by position, and the documents they are in.
 
     A position is a document number and a line number of 24 bits. First table: ``pos``, the line's hashes,
-    ``chars`` and ``upto``, the characters of repeated lines of the document up to this one. Second table:
-    ``key``, ``content`` and ``number`` of each document that has such a line.
+    ``chars``, ``upto``, the characters of repeated lines of the document up to this one, and ``left``, a hash of
+    the line before if that is repeated as well, else of the position. Second table: ``key``, ``content`` and
+    ``number`` of each document that has such a line.
     """
     lines = line_table(identified(docs, key, text))
     groups = written(lines.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1"), "line-groups")
@@ -103,11 +106,13 @@ def repeated_lines(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, Dat
     near = small(numbers, MAX_BROADCAST_ROWS)
     same = shared["key"].eqNullSafe(near["key"]) & (shared["content"] == near["content"])
     so_far = Window.partitionBy(F.shiftright("pos", LINE_BITS)).orderBy("pos")  # the lines of one document
+    before = [F.lag(c).over(so_far) for c in ("pos", "one", "two")]
     placed = (
         shared.join(near, same)
         .select((F.col("number") * (1 << LINE_BITS) + F.col("at")).alias("pos"), "one", "two", "chars")
         .distinct()
         .withColumn("upto", F.sum("chars").over(so_far))
+        .withColumn("left", F.when(before[0] == F.col("pos") - 1, F.xxhash64(*before[1:])).otherwise(F.xxhash64("pos")))
     )
     return written(placed, "positions"), numbers
 
@@ -115,28 +120,35 @@ def repeated_lines(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, Dat
 def intervals(positions: DataFrame) -> list[DataFrame]:
     """The suffix array's intervals of repeated runs of 1, 2, 4 … lines, one table each.
 
-    Columns: ``level``, ``name`` (the run's rank at its level), ``pos``, ``first`` (the earliest position of the
-    run) and ``n`` (its number of positions).
+    Columns: ``level``, ``name`` (the run's rank at its level), ``pos``, ``left``, ``first`` (the earliest position
+    of the run) and ``diverse`` (not all its positions have the same line before them).
     """
     levels: list[DataFrame] = []
-    active = positions.select("pos", "one", "two")
+    active = positions.select("pos", "left", "one", "two")
     for level in range(MAX_ROUNDS):
-        found = active.groupBy("one", "two").agg(F.count("*").alias("n"), F.min("pos").alias("first"))
-        names = ranked(found.where("n > 1"), "one", "two").withColumn("many", F.col("n"))
-        names = written(names.withColumn("rank", F.col("rank") + (level << RANK_BITS)), "names")
+        found = active.groupBy("one", "two").agg(
+            F.count("*").alias("n"), F.min("pos").alias("first"), (F.min("left") < F.max("left")).alias("diverse")
+        )
+        names = ranked(found.where("n > 1"), "one", "two")
+        total = names.agg(F.sum("n")).first()[0]
+        if total is None:
+            break
         interval = written(
-            join_weighted(active, names, "one", "two").select(
-                F.lit(level).alias("level"), F.col("rank").alias("name"), "pos", "first", F.col("many").alias("n")
+            join_weighted(active, names, "one", "two", total=total).select(
+                F.lit(level).alias("level"),
+                (F.col("rank") + (level << RANK_BITS)).alias("name"),
+                "pos",
+                "left",
+                "first",
+                "diverse",
             ),
             "intervals",
         )
         if level:
             discard(active)
-        if interval.isEmpty():
-            break
         levels.append(interval)
         behind = interval.select((F.col("pos") - (1 << level)).alias("pos"), F.col("name").alias("two"))
-        active = written(interval.select("pos", F.col("name").alias("one")).join(behind, "pos"), "runs")
+        active = written(interval.select("pos", "left", F.col("name").alias("one")).join(behind, "pos"), "runs")
     return levels
 
 
@@ -145,22 +157,23 @@ def power(exponent: Column) -> Column:
 
 
 def longest_runs(levels: list[DataFrame]) -> DataFrame:
-    """``pos`` and ``size`` of the longest run from each position on that also occurs earlier."""
+    """``pos`` and ``size`` of the longest run from a position on that also occurs earlier.
+
+    Positions whose run is part of the one from the position before are left out.
+    """
     every = levels[0]
     for interval in levels[1:]:
         every = every.unionByName(interval)
-    highest = F.max(F.struct("level", "name", "n"))
-    state = every.where("first < pos").groupBy("pos").agg(highest.alias("top")).select("pos", "top.*")
-    state = written(state.withColumn("size", power(F.col("level"))), "longest")
+    every = every.select("level", "name", "pos", "first", "diverse")
+    highest = F.max(F.struct("level", "name", "diverse"))
+    tops = every.where("first < pos").groupBy("pos").agg(highest.alias("top")).where("top.diverse")
+    state = written(tops.select("pos", "top.level", "top.name", power(F.col("top.level")).alias("size")), "longest")
     deepest = state.agg(F.max("level")).first()[0] or 0
     for step in range(1, deepest + 1):
         asking = F.col("level") >= step
-        state = state.withColumn("wanted", F.when(asking, F.col("size") + power(F.col("level") - step)))
-        asked = written(
-            state.where(asking).groupBy("name", "wanted").agg(F.max("n").alias("n")), "asked"
-        )
+        asked = state.where(asking).withColumn("wanted", F.col("size") + power(F.col("level") - step))
         # All positions of an asked run, with the lower run that ends where the wanted one does.
-        held = join_weighted(every.where(asking).select("name", "level", "pos"), asked, "name")
+        held = every.where(asking).select("name", "level", "pos").join(asked.select("name", "wanted").distinct(), "name")
         ends = every.where(asking).select("level", F.col("pos").alias("tail"), F.col("name").alias("end_name"))
         held = written(
             held.withColumn("tail", F.col("pos") + F.col("wanted") - power(F.col("level")))
@@ -168,14 +181,17 @@ def longest_runs(levels: list[DataFrame]) -> DataFrame:
             .select("pos", "name", "wanted", "end_name"),
             "held",
         )
-        firsts = held.groupBy("name", "wanted", "end_name").agg(F.min("pos").alias("first"), F.count("*").alias("n"))
-        firsts = written(firsts.where("n > 1"), "firsts")
-        reached = join_weighted(held, firsts, "name", "wanted", "end_name").where("first < pos").select("pos", "wanted")
-        longer = state.join(reached.withColumn("found", F.lit(True)), ["pos", "wanted"], "left")
-        following = longer.withColumn("size", F.when(F.col("found"), F.col("wanted")).otherwise(F.col("size")))
-        following = written(following.drop("wanted", "found"), "longest")
-        for done in (state, asked, held, firsts):
-            discard(done)
+        run = ["name", "wanted", "end_name"]
+        firsts = held.groupBy(*run).agg(F.min("pos").alias("first"), F.count("*").alias("n")).where("n > 1")
+        reached = held.join(firsts, run).where("first < pos").select("pos", F.col("wanted").alias("reached"))
+        # A position may have been asked for other lengths by the other positions of its run.
+        own = (state["pos"] == reached["pos"]) & (F.col("reached") == F.col("size") + power(F.col("level") - step))
+        grown = state.join(reached, own, "left").select(
+            state["pos"], "level", "name", F.coalesce("reached", "size").alias("size")
+        )
+        following = written(grown, "longest")
+        discard(state)
+        discard(held)
         state = following
     return state.select("pos", "size")
 

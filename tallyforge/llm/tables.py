@@ -135,14 +135,14 @@ HEAVY_ROWS = 10_000
 MAX_HEAVY_KEYS = 100_000
 
 
-def join_weighted(rows: DataFrame, table: DataFrame, *keys: str) -> DataFrame:
+def join_weighted(rows: DataFrame, table: DataFrame, *keys: str, total: int | None = None) -> DataFrame:
     """``rows`` joined with a written ``table`` by ``keys``, whose column ``n`` says how many rows a key has.
 
     Keys with many rows are broadcast: there are at most ``MAX_HEAVY_KEYS``, since each stands for its
     share of all rows. The others meet in a shuffle, in which none of them is frequent. The column ``n``
-    is not part of the result.
+    is not part of the result. ``total`` is the sum of ``n``, if it is known already.
     """
-    total = table.agg(F.sum("n")).first()[0] or 0
+    total = table.agg(F.sum("n")).first()[0] or 0 if total is None else total
     heavy = F.col("n") >= max(HEAVY_ROWS, total // MAX_HEAVY_KEYS)
     hot, cold = table.where(heavy).drop("n"), table.where(~heavy).drop("n")
     if total < HEAVY_ROWS or hot.isEmpty():
