@@ -33,7 +33,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import StringType
 
 from tallyforge.llm.tables import discard, join_weighted, small, written
@@ -41,9 +41,8 @@ from tallyforge.llm.tables import discard, join_weighted, small, written
 #: A repeated run must have so many characters, line ends not counted, to be deleted.
 MIN_RUN_CHARS = 40
 NOT_BLANK = r"[^\x20\x09-\x0D]"
-#: Bits of a line's number in its document, and of a rank.
+#: Bits of a line's number in its document, and of the length of a run.
 LINE_BITS = 24
-RANK_BITS = 48
 MAX_ROUNDS = LINE_BITS
 MAX_BROADCAST_ROWS = 200_000
 
@@ -120,11 +119,14 @@ def repeated_lines(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, Dat
 def intervals(positions: DataFrame) -> list[DataFrame]:
     """The suffix array's intervals of repeated runs of 1, 2, 4 … lines, one table each.
 
-    Columns: ``level``, ``name`` (the run's rank at its level), ``pos``, ``left``, ``first`` (the earliest position
-    of the run) and ``diverse`` (not all its positions have the same line before them).
+    Columns: ``lines`` (1, 2, 4 …), ``name`` (the run's rank among those of its length, made unique), ``pos``,
+    ``left``, ``first`` (the earliest position of the run) and ``diverse`` (not all its positions have the same
+    line before them).
+
+    What differs from round to round is a column, not a constant, so that all rounds share their compiled code.
     """
     levels: list[DataFrame] = []
-    active = positions.select("pos", "left", "one", "two")
+    active = positions.select("pos", "left", "one", "two", F.lit(1).cast("long").alias("lines"))
     for level in range(MAX_ROUNDS):
         found = active.groupBy("one", "two").agg(
             F.count("*").alias("n"), F.min("pos").alias("first"), (F.min("left") < F.max("left")).alias("diverse")
@@ -135,8 +137,8 @@ def intervals(positions: DataFrame) -> list[DataFrame]:
             break
         interval = written(
             join_weighted(active, names, "one", "two", total=total).select(
-                F.lit(level).alias("level"),
-                (F.col("rank") + (level << RANK_BITS)).alias("name"),
+                "lines",
+                (F.col("rank") * (1 << LINE_BITS) + F.col("lines")).alias("name"),
                 "pos",
                 "left",
                 "first",
@@ -147,37 +149,38 @@ def intervals(positions: DataFrame) -> list[DataFrame]:
         if level:
             discard(active)
         levels.append(interval)
-        behind = interval.select((F.col("pos") - (1 << level)).alias("pos"), F.col("name").alias("two"))
-        active = written(interval.select("pos", "left", F.col("name").alias("one")).join(behind, "pos"), "runs")
+        behind = interval.select((F.col("pos") - F.col("lines")).alias("pos"), F.col("name").alias("two"))
+        own = interval.select("pos", "left", F.col("name").alias("one"), (2 * F.col("lines")).alias("lines"))
+        active = written(own.join(behind, "pos"), "runs")
     return levels
 
 
-def power(exponent: Column) -> Column:
-    return F.pow(F.lit(2.0), exponent).cast("long")
-
-
 def longest_runs(levels: list[DataFrame]) -> DataFrame:
     """``pos`` and ``size`` of the longest run from a position on that also occurs earlier.
 
     Positions whose run is part of the one from the position before are left out.
     """
-    every = levels[0]
+    union = levels[0]
     for interval in levels[1:]:
-        every = every.unionByName(interval)
-    every = every.select("level", "name", "pos", "first", "diverse")
-    highest = F.max(F.struct("level", "name", "diverse"))
+        union = union.unionByName(interval)
+    # One table: the rounds read it several times each.
+    every = written(union.select("lines", "name", "pos", "first", "diverse"), "all-intervals")
+    for interval in levels:
+        discard(interval)
+    highest = F.max(F.struct("lines", "name", "diverse"))
     tops = every.where("first < pos").groupBy("pos").agg(highest.alias("top")).where("top.diverse")
-    state = written(tops.select("pos", "top.level", "top.name", power(F.col("top.level")).alias("size")), "longest")
-    deepest = state.agg(F.max("level")).first()[0] or 0
-    for step in range(1, deepest + 1):
-        asking = F.col("level") >= step
-        asked = state.where(asking).withColumn("wanted", F.col("size") + power(F.col("level") - step))
+    # ``jump``: by how many lines the run may still be longer, at the next try.
+    half = F.shiftright("top.lines", 1)
+    state = written(tops.select("pos", "top.name", F.col("top.lines").alias("size"), half.alias("jump")), "longest")
+    for _ in range(len(levels) - 1):
+        asked = state.where("jump > 0").select("name", (F.col("size") + F.col("jump")).alias("wanted")).distinct()
         # All positions of an asked run, with the lower run that ends where the wanted one does.
-        held = every.where(asking).select("name", "level", "pos").join(asked.select("name", "wanted").distinct(), "name")
-        ends = every.where(asking).select("level", F.col("pos").alias("tail"), F.col("name").alias("end_name"))
+        ends = every.select("lines", F.col("pos").alias("tail"), F.col("name").alias("end_name"))
         held = written(
-            held.withColumn("tail", F.col("pos") + F.col("wanted") - power(F.col("level")))
-            .join(ends, ["level", "tail"])
+            every.select("name", "lines", "pos")
+            .join(asked, "name")
+            .withColumn("tail", F.col("pos") + F.col("wanted") - F.col("lines"))
+            .join(ends, ["lines", "tail"])
             .select("pos", "name", "wanted", "end_name"),
             "held",
         )
@@ -185,14 +188,15 @@ def longest_runs(levels: list[DataFrame]) -> DataFrame:
         firsts = held.groupBy(*run).agg(F.min("pos").alias("first"), F.count("*").alias("n")).where("n > 1")
         reached = held.join(firsts, run).where("first < pos").select("pos", F.col("wanted").alias("reached"))
         # A position may have been asked for other lengths by the other positions of its run.
-        own = (state["pos"] == reached["pos"]) & (F.col("reached") == F.col("size") + power(F.col("level") - step))
+        own = (state["pos"] == reached["pos"]) & (F.col("reached") == F.col("size") + F.col("jump"))
         grown = state.join(reached, own, "left").select(
-            state["pos"], "level", "name", F.coalesce("reached", "size").alias("size")
+            state["pos"], "name", F.coalesce("reached", "size").alias("size"), F.shiftright("jump", 1).alias("jump")
         )
         following = written(grown, "longest")
         discard(state)
         discard(held)
         state = following
+    discard(every)
     return state.select("pos", "size")
 
 
