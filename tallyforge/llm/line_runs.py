@@ -47,10 +47,11 @@ MAX_ROUNDS = LINE_BITS
 MAX_BROADCAST_ROWS = 200_000
 
 
-def ranked(groups: DataFrame, *keys: str) -> DataFrame:
-    """``groups`` with ``rank``: their place in the order of ``keys``, each group given once.
+def ranked(groups: DataFrame, *keys: str) -> tuple[DataFrame, int]:
+    """``groups`` with ``rank``, their place in the order of ``keys``, and the sum of their column ``n``.
 
-    Sorted by range partitions; only the sizes of the partitions are added up.
+    Each group is given once. Sorted by range partitions; only the sizes of the partitions, one number
+    each, are added up by the driver.
     """
     ordered = groups.repartitionByRange(*keys).sortWithinPartitions(*keys)
     ordered = written(
@@ -61,12 +62,16 @@ def ranked(groups: DataFrame, *keys: str) -> DataFrame:
         ),
         "ranked",
     )
-    sizes = ordered.groupBy("part").agg(F.count("*").alias("rows"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
-    return ordered.join(F.broadcast(offsets), "part").select(  # one row per partition
+    sizes = ordered.groupBy("part").agg(F.count("*").alias("rows"), F.sum("n").alias("n")).collect()
+    offsets, before = [], 0
+    for size in sorted(sizes):
+        offsets.append((size["part"], before))
+        before += size["rows"]
+    known = groups.sparkSession.createDataFrame(offsets, "part int, offset long")
+    named = ordered.join(F.broadcast(known), "part").select(  # one row per partition
         *groups.columns, (F.col("offset") + F.col("nth")).alias("rank")
     )
+    return named, sum(size["n"] for size in sizes)
 
 
 def identified(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -100,8 +105,9 @@ def repeated_lines(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, Dat
     lines = line_table(identified(docs, key, text))
     groups = written(lines.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1"), "line-groups")
     shared = written(join_weighted(lines, groups, "one", "two"), "shared-lines")
-    numbers = ranked(shared.select("key", "content").distinct(), "key", "content")
-    numbers = written(numbers.withColumnRenamed("rank", "number"), "numbers")
+    per_document = shared.groupBy("key", "content").agg(F.count("*").alias("n"))
+    numbers = ranked(per_document, "key", "content")[0].select("key", "content", F.col("rank").alias("number"))
+    numbers = written(numbers, "numbers")
     near = small(numbers, MAX_BROADCAST_ROWS)
     same = shared["key"].eqNullSafe(near["key"]) & (shared["content"] == near["content"])
     so_far = Window.partitionBy(F.shiftright("pos", LINE_BITS)).orderBy("pos")  # the lines of one document
@@ -131,9 +137,8 @@ def intervals(positions: DataFrame) -> list[DataFrame]:
         found = active.groupBy("one", "two").agg(
             F.count("*").alias("n"), F.min("pos").alias("first"), (F.min("left") < F.max("left")).alias("diverse")
         )
-        names = ranked(found.where("n > 1"), "one", "two")
-        total = names.agg(F.sum("n")).first()[0]
-        if total is None:
+        names, total = ranked(found.where("n > 1"), "one", "two")
+        if not total:
             break
         interval = written(
             join_weighted(active, names, "one", "two", total=total).select(
@@ -172,12 +177,13 @@ def longest_runs(levels: list[DataFrame]) -> DataFrame:
     # ``jump``: by how many lines the run may still be longer, at the next try.
     half = F.shiftright("top.lines", 1)
     state = written(tops.select("pos", "top.name", F.col("top.lines").alias("size"), half.alias("jump")), "longest")
-    for _ in range(len(levels) - 1):
+    for step in range(1, len(levels)):
+        live = every.where(F.col("lines") >= 1 << step)  # shorter runs are settled
         asked = state.where("jump > 0").select("name", (F.col("size") + F.col("jump")).alias("wanted")).distinct()
         # All positions of an asked run, with the lower run that ends where the wanted one does.
-        ends = every.select("lines", F.col("pos").alias("tail"), F.col("name").alias("end_name"))
+        ends = live.select("lines", F.col("pos").alias("tail"), F.col("name").alias("end_name"))
         held = written(
-            every.select("name", "lines", "pos")
+            live.select("name", "lines", "pos")
             .join(asked, "name")
             .withColumn("tail", F.col("pos") + F.col("wanted") - F.col("lines"))
             .join(ends, ["lines", "tail"])
