@@ -7,7 +7,8 @@ parts of a bounded sample of labelled texts.
 
 Defined results: a null text counts as empty and is scored like any other; with fewer than two
 classes of usable labels every score is the mean label (0 without labels). Labels other than 0 and 1
-are ignored. Repeated rows each get their own result.
+are ignored. Repeated rows each get their own result; an empty table gives an empty result. Texts of any
+length are described whole. Words that speak equally for label 1 are listed in alphabetical order.
 """
 
 from __future__ import annotations
@@ -166,12 +167,15 @@ class ToxicityModel:
 
     def calibrated(self, raw: Column) -> Column:
         """The calibration curve at ``raw``: linear between its points, flat outside them."""
-        xs, ys = self.steps
-        value = F.lit(ys[0]).cast("double")
-        for x0, y0, x1, y1 in zip(xs, ys, xs[1:], ys[1:]):
-            part = F.lit(y1) if x1 <= x0 else F.lit(y0) + (raw - x0) / (x1 - x0) * (y1 - y0)
-            value = F.when(raw > x0, F.when(raw >= x1, F.lit(y1)).otherwise(part)).otherwise(value)
-        return value
+        xs, ys = (F.lit([float(v) for v in s]) for s in self.steps)
+        last = len(self.steps[0])
+
+        def between(i: Column) -> Column:
+            x0, x1, y0, y1 = F.get(xs, i - 1), F.get(xs, i), F.get(ys, i - 1), F.get(ys, i)
+            inside = y0 + (raw - x0) / (x1 - x0) * (y1 - y0)
+            return F.when(i == 0, F.get(ys, F.lit(0))).when(i == last, F.get(ys, F.lit(last - 1))).otherwise(inside)
+
+        return let(F.size(F.filter(xs, lambda x: x <= raw)), between)
 
 
 def vectors(rows: DataFrame) -> DataFrame:

@@ -7,7 +7,9 @@ are the mean over its windows, weighted by their length.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; so is everything if
 there is no labelled text to learn from. Rows with a null id are never learned from and not held
-out. Repeated rows each get their own result.
+out. Repeated rows each get their own result. Of equally likely languages the first by name is
+taken. Texts of any length are read whole, window by window. Only the named columns are read, so
+others may have any name; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -81,6 +83,33 @@ def filter_mask() -> np.ndarray:
     return (rows < np.repeat(WIDTHS, FILTERS)[None, :] * DIMS).astype(np.float32)
 
 
+def slopes(model: ByteCnn, x: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
+    """The mean cross-entropy's derivative by each weight, for windows ``x`` of languages ``target``."""
+    wide, n_filters = max(WIDTHS), len(model.bias)
+    patches = model.patches(x)
+    responses = (patches.reshape(-1, patches.shape[2]) @ model.filters).reshape(len(x), patches.shape[1], -1)
+    where = responses.argmax(1)  # windows x filters
+    rows = np.arange(len(x))[:, None]
+    raw = responses[rows, where, np.arange(n_filters)] + model.bias
+    hidden = np.maximum(raw, 0)
+    error = softmax(hidden @ model.dense + model.offset)
+    error[np.arange(len(x)), target] -= 1
+    error /= len(x)
+    back = (error @ model.dense.T) * (raw > 0)
+    chosen = patches[rows, where]  # windows x filters x patch
+    into = (back[:, :, None] * model.filters.T[None]).reshape(len(x), n_filters, wide, DIMS)
+    byte_at = x[rows[:, :, None], where[:, :, None] + np.arange(wide)]
+    to_bytes = np.zeros_like(model.embedding)
+    np.add.at(to_bytes, byte_at.ravel(), into.reshape(-1, DIMS))
+    return {
+        "embedding": to_bytes,
+        "filters": np.einsum("bf,bfp->pf", back, chosen) * filter_mask(),
+        "bias": back.sum(0),
+        "dense": hidden.T @ error,
+        "offset": error.sum(0),
+    }
+
+
 def train(codes: np.ndarray, target: np.ndarray, languages: list[str], epochs: int = 8) -> ByteCnn:
     """Fit the network to windows of bytes by Adam steps on the cross-entropy."""
     rng = np.random.default_rng(7)
@@ -97,37 +126,12 @@ def train(codes: np.ndarray, target: np.ndarray, languages: list[str], epochs: i
     names = ("embedding", "filters", "bias", "dense", "offset")
     first = {k: np.zeros_like(getattr(model, k)) for k in names}
     second = {k: np.zeros_like(getattr(model, k)) for k in names}
-    step, size, wide = 0, 64, max(WIDTHS)
+    step, size = 0, 64
     for _ in range(epochs):
         order = rng.permutation(len(codes))
         for lot in (order[i : i + size] for i in range(0, len(order), size)):
-            x = codes[lot]
-            patches = model.patches(x)
-            responses = (patches.reshape(-1, patches.shape[2]) @ model.filters).reshape(
-                len(x), patches.shape[1], -1
-            )
-            where = responses.argmax(1)  # windows x filters
-            rows = np.arange(len(x))[:, None]
-            raw = responses[rows, where, np.arange(n_filters)] + model.bias
-            hidden = np.maximum(raw, 0)
-            error = softmax(hidden @ model.dense + model.offset)
-            error[np.arange(len(x)), target[lot]] -= 1
-            error /= len(x)
-            back = (error @ model.dense.T) * (raw > 0)
-            chosen = patches[rows, where]  # windows x filters x patch
-            into = (back[:, :, None] * model.filters.T[None]).reshape(len(x), n_filters, wide, DIMS)
-            byte_at = x[rows[:, :, None], where[:, :, None] + np.arange(wide)]
-            to_bytes = np.zeros_like(model.embedding)
-            np.add.at(to_bytes, byte_at.ravel(), into.reshape(-1, DIMS))
-            slopes = {
-                "embedding": to_bytes,
-                "filters": np.einsum("bf,bfp->pf", back, chosen) * mask,
-                "bias": back.sum(0),
-                "dense": hidden.T @ error,
-                "offset": error.sum(0),
-            }
             step += 1
-            for k, g in slopes.items():
+            for k, g in slopes(model, codes[lot], target[lot]).items():
                 first[k] += 0.1 * (g - first[k])
                 second[k] += 0.001 * (g * g - second[k])
                 scaled = first[k] / (1 - 0.9**step) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
@@ -205,10 +209,11 @@ def predict_languages(
     )
     kind = dict(rows.dtypes)["key"]
     modest_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain arrays and lists, which executors without this package can read.
+    shared = docs.sparkSession.sparkContext.broadcast(None if model is None else vars(model))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = shared.value
+        net = None if shared.value is None else ByteCnn(**shared.value)
         for batch in batches:
             data, starts, ends = text_bytes(batch.column("body"))
             letters = np.asarray(batch.column("has_letter"), dtype=bool)

@@ -2,12 +2,13 @@
 
 A document is the set of its distinct shingles of five words. All documents with the same set are
 one node. Nodes are split again and again: in each step every node draws two of its shingles by
-seeded minimum hashes, and nodes of a bucket that drew the same shingle stay together. A bucket of
-at most ``BRUTE_FORCE`` nodes is not split further; its nodes are compared by sketches of their
-sets. The whole is repeated in independent runs. Two sets of similarity s stay together in one
-draw with probability s; with two draws per step and at most three steps a pair at the threshold
-of 0.8 is missed by one run with probability 0.056 at most, and ``runs_for`` gives the number of
-runs for a target recall.
+minimum hashes that are seeded by the path to its bucket, and nodes of a bucket that drew the same
+shingle stay together. A bucket of at most ``BRUTE_FORCE`` nodes is not split further; its nodes are
+compared by sketches of their sets. The whole is repeated in independent runs. Two sets of
+similarity s stay together in one draw with probability s, and the branches of a path are independent
+of each other; with two draws per step and at most three steps a pair at the threshold of 0.8 is
+missed by one run with probability 0.06 at most, and ``runs_for`` gives the number of runs for a target
+recall.
 
 Pairs that pass the sketches connect nodes into candidate groups, and within each group all pairs
 are compared exactly, in blocks of bounded size; no pair is ever written out. The result is the
@@ -94,7 +95,10 @@ def sketch(codes: np.ndarray) -> np.ndarray:
 
 
 def described(docs: DataFrame, key: str, text: str, seeds: int) -> DataFrame:
-    """Node, set size, drawn shingles and sketch of every document; the node of no words is null."""
+    """Node, set size, shingles drawn in the first step and sketch of every document.
+
+    The node of no words is null.
+    """
     rows = docs.select(
         F.col(key).alias("key"), F.xxhash64(text).alias("content"), F.coalesce(F.col(text), F.lit("")).alias("body")
     )
@@ -138,21 +142,40 @@ def blocks(rows: DataFrame, sizes: DataFrame, group: str, pieces: Column) -> Dat
     )
 
 
-def buckets(nodes: DataFrame, runs: int, brute_force: int) -> DataFrame:
+def redrawn(docs: DataFrame, over: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFrame:
+    """(``node``, ``bucket``) after one more step of nodes in crowded buckets: each draws anew per bucket.
+
+    The shingles of such a node are taken from its text again; it is in a few buckets per run.
+    """
+    paths = over.groupBy("node").agg(F.collect_list("bucket").alias("paths")).join(nodes.select("node", "first_key"), "node")
+    paths = small(written(paths.withColumnRenamed("first_key", "key"), "paths"), MAX_BROADCAST_ROWS)
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("body"))
+    texts = rows.join(paths, rows["key"].eqNullSafe(paths["key"])).select("node", "paths", "body")
+
+    def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[list] = [[], []]
+            lists = zip(batch.column("node").to_pylist(), batch.column("paths").to_pylist())
+            for codes, (node, paths_) in zip(shingle_sets(*text_bytes(batch.column("body"))), lists):
+                # Other documents may share the id; only the text that the node stands for counts.
+                if not len(codes) or set_node(codes) != node:
+                    continue
+                for path in np.array(paths_, np.int64).view(np.uint64):
+                    for nth in range(DRAWS):
+                        least = mixed((codes ^ path) * SEEDS[nth]).min()
+                        found[0].append(node)
+                        found[1].append(int(mixed(np.array([least ^ path * SEEDS[DRAWS + nth]])).view(np.int64)[0]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["node", "bucket"])
+
+    return texts.mapInArrow(drawn, "node long, bucket long").distinct()
+
+
+def buckets(docs: DataFrame, nodes: DataFrame, runs: int, brute_force: int, key: str, text: str) -> DataFrame:
     """(``bucket``, ``node``) of all buckets at which splitting ends and that have two nodes or more."""
-    per_run = DRAWS * STEPS
-    level = nodes.select(
-        "node", "drawn", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run")
-    ).withColumn("bucket", F.xxhash64("run"))
+    first = F.posexplode("drawn").alias("nth", "shingle")
+    split = nodes.select("node", first).select("node", F.xxhash64("nth", "shingle").alias("bucket"))
     leaves = None
     for step in range(STEPS):
-        at = F.col("run") * per_run + step * DRAWS
-        drawn = F.posexplode(F.slice("drawn", at + 1, F.lit(DRAWS)))
-        split = (
-            level.select("node", "run", "bucket", "drawn", drawn.alias("nth", "shingle"))
-            .withColumn("bucket", F.xxhash64("bucket", "nth", "shingle"))
-            .select("node", "run", "bucket")
-        )
         split = written(split, "split")
         sizes = split.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
         shared = written(split.join(sizes, "bucket"), "buckets")
@@ -163,7 +186,7 @@ def buckets(nodes: DataFrame, runs: int, brute_force: int) -> DataFrame:
         over = shared.where(F.col("members") > brute_force)
         if last or over.isEmpty():
             return leaves
-        level = over.select("node", "run", "bucket").join(nodes.select("node", "drawn"), "node")
+        split = redrawn(docs, over, nodes, key, text)
     return leaves
 
 
@@ -330,7 +353,7 @@ def similarity_classes(
 ) -> DataFrame:
     """``key``, ``content`` (hash of the text), ``class_id`` and ``n_links`` of every document."""
     runs = runs_for(threshold, recall)
-    texts = written(described(docs, key, text, runs * DRAWS * STEPS), "sets")
+    texts = written(described(docs, key, text, runs * DRAWS), "sets")
     nodes = written(
         texts.where("node is not null")
         .groupBy("node")
@@ -343,7 +366,7 @@ def similarity_classes(
         ),
         "nodes",
     )
-    leaves = buckets(nodes, runs, brute_force)
+    leaves = buckets(docs, nodes, runs, brute_force, key, text)
     members = components(candidate_links(leaves, nodes, threshold, brute_force))
     links = written(exact_links(docs, members, nodes, key, text, threshold), "links")
     linked = links.groupBy("node").agg(F.sum("linked").alias("linked"))

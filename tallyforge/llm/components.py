@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallyforge.llm.tables import discard, written
+from tallyforge.llm import tables
+from tallyforge.llm.tables import discard, join_weighted, written
+
+
+def looked_up(rows: DataFrame, table: DataFrame, key: str, edges: int) -> DataFrame:
+    """``rows`` with the column ``m`` of ``table``; heavy keys apart if there are enough edges for any."""
+    if edges < tables.HEAVY_ROWS:
+        return rows.join(table.drop("n"), key)
+    return join_weighted(rows, written(table, "degrees"), key)
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -12,7 +20,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Roots are listed as well; nodes without an edge are not. Every round replaces neighbours by the
     least node in reach, first from each node to its larger neighbours, then to its smaller ones;
-    both steps are aggregations and joins by node, so no neighbourhood is gathered.
+    both steps are aggregations and joins by node, so no neighbourhood is gathered. A node with very
+    many neighbours is looked up by broadcast, and its edges stay where they are.
     """
     edges = written(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
@@ -25,14 +34,13 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             break
         seen = mark
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n"))
         # To larger neighbours; the table holds each edge once, from its larger end.
-        large = edges.select(F.col("b").alias("u"), F.col("a").alias("v")).join(
-            least.withColumnRenamed("a", "u"), "u"
-        )
+        ends = edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
+        large = looked_up(ends, least.withColumnRenamed("a", "u"), "u", mark[0])
         large = written(large.select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct(), "large")
-        parent = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(parent, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        parent = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        small = looked_up(large, parent, "a", mark[0]).select(F.col("b").alias("a"), F.col("m").alias("b"))
         following = small.where("a <> b").unionByName(parent.select("a", F.col("m").alias("b"))).distinct()
         following = written(following, "edges")
         discard(edges)

@@ -24,6 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tallyforge.llm.license_texts import LICENSE_TEXTS
 from tallyforge.llm.tables import let, small, written
 
 SHINGLE = 3
@@ -35,7 +36,7 @@ MAX_TEMPLATE_SHINGLES = 50_000
 MAX_BROADCAST_ROWS = 20_000
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-# Licence notices as their texts ask for them, and opening sentences of licences.
+# Licence notices as their texts ask for them, opening sentences of licences, and whole licences.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     (
@@ -69,6 +70,7 @@ TEMPLATES = (
         "MPL-2.0",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     ),
+    *LICENSE_TEXTS,
 )
 
 
@@ -149,7 +151,7 @@ def scan(
     )
     codes = F.array_distinct(F.transform("hits", lambda s: s["code"]))
     template_sets = F.create_map(
-        *[x for n, c in sets.items() for x in (F.lit(n), F.array(*map(F.lit, c)))]
+        *[x for n, c in sets.items() for x in (F.lit(n), F.lit(c).cast("array<long>"))]
     )
 
     def verified(name: Column) -> Column:

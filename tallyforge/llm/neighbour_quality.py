@@ -4,11 +4,13 @@ Texts are counted as hashed byte trigrams, weighted by term and document frequen
 term for words that repeat the word before them, and projected to a few latent dimensions found by a
 truncated singular value decomposition of labelled texts. The
 labelled vectors, a bounded set, are broadcast; every document is compared with all of them by
-blocked matrix products, and its nearest ones vote with their similarity.
+blocked matrix products, and its nearest ones vote with their similarity. Similarities are rounded to
+five digits, and of equally near texts those with the smaller id vote.
 
 Defined results: a null text counts as empty; a text without a trigram gets the mean label of the
 labelled texts that have none either, or 0 if there are none; without labelled texts every score is
-0. Labels other than 0 and 1 are ignored. Repeated rows each get their own result.
+0. Labels other than 0 and 1 are ignored. Repeated rows each get their own result. Texts of any length are
+counted whole; an empty table gives an empty result. Ids may have any type that can be ordered.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ TERMS = TRIGRAMS + 1
 ECHO_WEIGHT = 3.0
 DIMS = 48
 NEIGHBOURS = 15
+#: Similarities are told apart in so many steps.
+STEPS = 100_000
 #: Similarity is raised to this power, so that close neighbours count for much more.
 SHARPNESS = 8
 #: Labelled texts that vote, at most about.
@@ -126,10 +130,13 @@ class Voters:
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
         vectors = self.place(counts)
-        near = vectors @ self.vectors.T
-        k = min(NEIGHBOURS, near.shape[1])
-        top = np.argpartition(-near, k - 1, axis=1)[:, :k]
-        votes = np.maximum(np.take_along_axis(near, top, 1), 0).astype(np.float64) ** SHARPNESS
+        near = np.rint((vectors @ self.vectors.T) * STEPS).astype(np.int64)
+        many = near.shape[1]
+        k = min(NEIGHBOURS, many)
+        # Voters are in the order of their ids; the smaller one counts as nearer.
+        place = near * many + np.arange(many)[::-1]
+        top = np.sort(np.argpartition(-place, k - 1, axis=1)[:, :k], axis=1)
+        votes = (np.maximum(np.take_along_axis(near, top, 1), 0) / STEPS) ** SHARPNESS
         total = votes.sum(1)
         score = (votes * self.labels[top]).sum(1) / np.where(total > 0, total, 1)
         # Rounded, since sums in another order differ in the last digits.
@@ -186,12 +193,13 @@ def labelled_counts(labels: DataFrame, docs: DataFrame, label: str, voters: int)
                 names=["doc_id", "label", "terms", "counts"],
             )
 
+    kind = dict(docs.dtypes)["doc_id"]
     rows = (
         docs.select("doc_id", F.coalesce("text", F.lit("")).alias("body"))
         .join(F.broadcast(drawn), "doc_id")  # at most 2 * voters rows
         .select("doc_id", "label", "body")
         .limit(4 * voters)
-        .mapInArrow(sparse, "doc_id long, label int, terms array<int>, counts array<float>")
+        .mapInArrow(sparse, f"doc_id {kind}, label int, terms array<int>, counts array<float>")
         .toArrow()
         .sort_by([("doc_id", "ascending"), ("label", "ascending")])
     )
@@ -218,14 +226,15 @@ def fit_voters(labels: DataFrame, docs: DataFrame, label: str = "quality", voter
 def vote(docs: DataFrame, voters: Voters | None, text: str = "text") -> DataFrame:
     """``docs`` with the column ``quality_score``, between 0 and 1."""
     modest_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(voters)
+    # Plain arrays, which executors without this package can read.
+    shared = docs.sparkSession.sparkContext.broadcast(None if voters is None else vars(voters))
     kept = docs.drop("quality_score")
     to_score = unused("text_to_score", kept)
     plain = kept.withColumn(to_score, F.coalesce(F.col(text), F.lit("")))
     schema = ", ".join(f"`{n}` {t}" for n, t in kept.dtypes)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        panel = shared.value
+        panel = None if shared.value is None else Voters(**shared.value)
         for batch in batches:
             at = batch.schema.get_field_index(to_score)
             scores = np.zeros(batch.num_rows)

@@ -61,7 +61,8 @@ def op3_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-TEMPLATE_VALUES = ", ".join(f"('{n}', '{t}')" for n, t in TEMPLATES)
+_quoted = lambda text: "'" + text.replace("'", "''") + "'"
+TEMPLATE_VALUES = ", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, t in TEMPLATES)
 OP9_SQL = rf"""
 with templates(name, body) as (values {TEMPLATE_VALUES}),
 tw as (

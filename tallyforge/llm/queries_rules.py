@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyforge.llm.host_rules import judge
 from tallyforge.llm.registry import query
@@ -44,7 +44,7 @@ rates as (
       / (host_docs + greatest(m * (1 - m) / v - 1, 0)) else m end as rate
   from hosts, prior)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  not base_failed and not coalesce(rate > 0.5, false) as kept, host_docs, host_failed
+  not base_failed and not coalesce(rate > 0.5, false) as kept, host_docs, host_failed, round(rate, 6) as host_rate
 from base left join rates using (source)
 """
 
@@ -52,4 +52,5 @@ from base left join rates using (source)
 @query(OP6_SQL)
 def op6_host_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Base counts and verdicts of all documents, and the verdict after looking at their hosts."""
-    return judge(table(spark, folder, "documents")).drop("host_rate")
+    judged = judge(table(spark, folder, "documents"))
+    return judged.withColumn("host_rate", F.round("host_rate", 6))

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyforge.llm.arrow_text import by_size, text_bytes
 from tallyforge.llm.groups import group_chunks
-from tallyforge.llm.tables import discard, release, small, written
+from tallyforge.llm.tables import discard, join_weighted, release, small, written
 from tallyforge.llm.word_hashes import mixed
 
 MIN_BYTES = 50
@@ -122,9 +122,12 @@ def copies_of_texts(rows: DataFrame) -> DataFrame:
         rows.where(F.octet_length("body") >= MIN_BYTES).select("document", "content", F.md5("body").alias("digest")),
         "texts",
     )
-    firsts = texts.groupBy("digest").agg(F.min("document").alias("first"), F.max("document").alias("last"))
-    again = firsts.where("last > first").select("digest", "first")
-    later = texts.join(again, "digest").where(F.col("document") > F.col("first"))
+    firsts = texts.groupBy("digest").agg(
+        F.min("document").alias("first"), F.max("document").alias("last"), F.count("*").alias("n")
+    )
+    again = written(firsts.where("last > first").select("digest", "first", "n"), "repeated-texts")
+    # A text that very many documents share is looked up by broadcast.
+    later = join_weighted(texts, again, "digest").where(F.col("document") > F.col("first"))
     return written(later.select("document", "content").distinct(), "copies")
 
 

@@ -75,5 +75,11 @@ class Encoder:
 
 
 def added_tokens(tokenizer_path: str) -> list[str]:
+    """The tokenizer's added tokens; a tokenizer that splits words by other rules than these is refused."""
     with open(tokenizer_path, encoding="utf-8") as file:
-        return [t["content"] for t in json.load(file)["added_tokens"]]
+        settings = json.load(file)
+    split = settings.get("pre_tokenizer") or {}
+    same = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space", True)
+    if not same or settings.get("normalizer") or settings["model"].get("type") != "BPE":
+        raise ValueError(f"{tokenizer_path} is not a byte-level BPE tokenizer with the usual split into words")
+    return [t["content"] for t in settings["added_tokens"]]

@@ -15,9 +15,6 @@ ALNUM[48:58] = ALNUM[65:91] = ALNUM[97:123] = True
 ALNUM[128:] = True
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
-#: Bytes of words between blanks.
-SOLID = np.ones(256, bool)
-SOLID[[9, 10, 11, 12, 13, 32]] = False
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -260,7 +260,43 @@ def test_runs_reach_the_target_recall():
     for _ in range(chosen_path.STEPS):
         together = 1 - (1 - 0.8 * together) ** chosen_path.DRAWS
     assert (1 - together) ** runs <= 1e-5 < (1 - together) ** (runs - 1)
-    assert runs * chosen_path.DRAWS * chosen_path.STEPS + 2 <= len(chosen_path.SEEDS)
+    assert runs * chosen_path.DRAWS + 2 <= len(chosen_path.SEEDS)
+
+
+def near_pairs(n, size=200, common=178):
+    """Pairs of texts that share ``common`` of ``size`` shingles: a similarity of 0.80."""
+    rows = []
+    for i in range(n):
+        a = [f"p{i}w{j}" for j in range(size + 4)]
+        b = a[: common + 4] + [f"q{i}w{j}" for j in range(size - common)]
+        rows += [(2 * i, " ".join(a), "s"), (2 * i + 1, " ".join(b), "s")]
+    return rows
+
+
+def test_recall_of_planted_pairs_at_the_threshold(spark):
+    """All pairs by the runs for the target; by a single run, always of three steps, the share promised."""
+    rows = near_pairs(400)
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(200)} for _, t, _ in rows[:2]]
+    assert 0.8 <= len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.81
+    docs = frame(spark, *rows)
+    found = {r["doc_id"]: r["n_links"] for r in chosen_path.similarity_classes(docs, brute_force=1).collect()}
+    assert set(found.values()) == {1}
+    assert chosen_path.runs_for(0.8, 0.9) == 1
+    once = chosen_path.similarity_classes(docs, recall=0.9, brute_force=1).collect()
+    share = sum(r["n_links"] for r in once) / len(rows)
+    together = 1.0
+    for _ in range(chosen_path.STEPS):
+        together = 1 - (1 - 0.8 * together) ** chosen_path.DRAWS
+    deviation = (together * (1 - together) / 400) ** 0.5
+    assert share > together - 3 * deviation and share > 0.9
+
+
+def test_a_star_of_many_nodes_settles(spark):
+    """One node with 10^5 neighbours, of a size at which heavy nodes are looked up apart."""
+    edges = spark.range(1, 100_001).selectExpr("id as a", "cast(0 as long) as b")
+    chain = spark.range(200_000, 200_100).selectExpr("id as a", "id + 1 as b")
+    roots = components(edges.unionByName(chain)).groupBy("root").count().collect()
+    assert {r["root"]: r["count"] for r in roots} == {0: 100_001, 200_000: 101}
 
 
 def test_components_against_union_find(spark):
@@ -284,6 +320,36 @@ def test_components_against_union_find(spark):
     assert got == want
 
 
+def test_whole_licences_and_their_relatives(spark):
+    texts = dict(license_scan.TEMPLATES)
+    gpl = (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {} "
+        "Public License as published by the Free Software Foundation; either version {} of the License, or (at your "
+        "option) any later version."
+    )
+    wrapped = texts["MIT-text"].upper().replace(" ", "\n * ")
+    cut = " ".join(texts["ISC-text"].split()[:60])
+    docs = frame(
+        spark,
+        (1, f"{PROSE}\n{wrapped}\n{OTHER}", "a"),
+        (2, f"{texts['BSD-2-Clause-text']} {PROSE}", "a"),
+        (3, f"{texts['BSD-2-Clause-text']} {texts['BSD-3-Clause-endorsement']}", "a"),
+        (4, f"{PROSE} {gpl.format('General', 2)}", "a"),
+        (5, f"{gpl.format('Lesser General', 3)} {PROSE}", "a"),
+        (6, gpl.format("Affero General", 3), "a"),
+        (7, texts["Zlib-text"] + texts["Unlicense-text"] + texts["BSL-1.0-text"], "a"),
+        (8, cut, "a"),
+    )
+    got = {r["doc_id"]: set(r["licenses"]) for r in license_scan.scan(docs).collect()}
+    assert got[1] == {"MIT-permission", "MIT-text"}
+    assert got[2] == {"BSD-conditions", "BSD-2-Clause-text"}
+    assert got[3] == {"BSD-conditions", "BSD-2-Clause-text", "BSD-3-Clause-endorsement"}
+    assert {"GNU-version-2-or-later", "GPL-terms"} <= got[4] and not {"GNU-version-3-or-later", "LGPL-terms"} & got[4]
+    assert {"GNU-version-3-or-later", "LGPL-terms"} <= got[5] and "GPL-terms" not in got[5]
+    assert {"GNU-version-3-or-later", "AGPL-3.0-terms"} <= got[6] and not {"GPL-terms", "LGPL-terms"} & got[6]
+    assert got[7] == {"Zlib-text", "Unlicense-text", "BSL-1.0-text"} and got[8] == set()
+
+
 LINES = [f"line number {i} with enough letters to be kept apart" for i in range(6)]
 
 

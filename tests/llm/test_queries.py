@@ -186,3 +186,20 @@ def test_cached_words_give_the_tokenizer_s_ids():
     for text in ("a<|endoftext|>b", "x" * 20_000, "", "it's we'll  I'M"):
         want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(encoder.ids(text), "<u4").tolist() == want
+
+
+@pytest.mark.parametrize(
+    "change", [{"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"pre_tokenizer": None}]
+)
+def test_tokenizers_that_split_otherwise_are_refused(tmp_path, change):
+    import json
+
+    with open(TOKENIZER, encoding="utf-8") as file:
+        settings = json.load(file)
+    settings["model"]["vocab"], settings["model"]["merges"] = {}, []
+    other = tmp_path / "tokenizer.json"
+    other.write_text(json.dumps(settings))
+    assert added_tokens(str(other)) == added_tokens(TOKENIZER)
+    other.write_text(json.dumps(settings | change))
+    with pytest.raises(ValueError, match="byte-level"):
+        added_tokens(str(other))
