@@ -1,7 +1,8 @@
 """From raw documents to packed training sequences.
 
 Each stage works on all that the stage before it kept. ``run`` writes every stage's result to the
-shared folder and reads it again, so a lost executor never costs more than one stage.
+shared folder and reads it again, so a lost executor never costs more than one stage. An empty table
+stays empty in every stage.
 
 Quality votes and packing cannot be stated in SQL, so there is no ``ORACLE_SQL``; the tests compare
 the whole run with plain Python.
@@ -21,7 +22,10 @@ from tallyforge.llm.winnowing import clean_documents
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the nearest labelled texts accept; all if there is no labelled text."""
+    """Documents that the nearest labelled texts accept; all if there is no labelled text.
+
+    A null text is judged as an empty one, a row without an id like any other, and repeated rows alike.
+    """
     labels = table(spark, sf_dir, "labels")
     voters = fit_voters(labels.where(~held_out()), docs)
     if voters is None:
@@ -31,7 +35,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later copies of repeated lines; those left without a word go."""
+    """Documents without later copies of repeated lines; those left without a word go.
+
+    Null texts stay. A row without an id comes before all others; repeated rows are cut alike.
+    """
     cut = drop_repeated_lines(docs)
     changed = F.col("n_removed") > 0
     kept = cut.where(~changed | F.col("text").rlike(NOT_BLANK))
@@ -41,17 +48,27 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies: the one with the least id.
+
+    Null texts and texts without a word have no copies, unless rows are repeated: of rows with the same
+    id and text one stays. A row without an id stays if no row of its group has one.
+    """
     return one_per_class(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not made of benchmark text."""
+    """Documents of which less than a twentieth is benchmark text.
+
+    Null texts stay; a row without an id is judged like any other, and repeated rows alike.
+    """
     return clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of all documents in sequences of at most 1024."""
+    """Token ids of all documents in sequences of at most 1024.
+
+    A null text is packed as an empty one; rows without an id and repeated rows are packed each for itself.
+    """
     return pack(docs, TOKENIZER, RANKS)
 
 
