@@ -29,11 +29,12 @@ from tallyforge.operators.features import (
     fit_label_reindex,
     fit_scaler,
     fit_vector_index,
+    vector_size,
 )
 from tallyforge.operators.saved import WholeModel, load_whole, save_whole
 from tallyforge.operators.split import fold_number, in_training, training_flag, with_row_key
 from tallyforge.spec import ATTACK, NORMAL, connection_spec
-from tallyforge.staging import settle, staged
+from tallyforge.staging import settle, side_by_side, staged
 
 
 @dataclass
@@ -130,6 +131,8 @@ def tree_study(
 ) -> Study:
     """Normal against attack with a decision tree tuned by cross-validation.
 
+    Up to ``parallelism`` fits run side by side where one alone leaves cores idle; each keeps its rows.
+
     ``tree`` holds further settings of the tree. Dictionaries beyond ``dictionary_size`` values, all
     columns together, are held as tables; so they are in the other studies.
 
@@ -147,18 +150,21 @@ def tree_study(
         known = data.filter(in_training(key))
         features = fit_features(known, spec, "onehot", handle_invalid="keep", max_size=dictionary_size)
     encoded = _encode(data, features, key, toss_seed, fold_number(key, folds).alias("fold"))
-    search = classify.cross_validator(
-        classify.decision_tree(**(tree or {})),
-        bins=bins,
-        depths=depths,
-        folds=folds,
-        fold_column="fold",
-        parallelism=parallelism,
-    )
-    with staged(encoded, "features") as rows:
+    with staged(encoded, "features", vector_size(encoded)) as rows:
+        search = classify.cross_validator(
+            classify.decision_tree(**(tree or {})),
+            bins=bins,
+            depths=depths,
+            folds=folds,
+            fold_column="fold",
+            parallelism=side_by_side(rows, parallelism),
+        )
         learn_from = rows if fit_on == "all" else rows.filter("train")
-        stages = [fit_label_reindex(learn_from), fit_vector_index(learn_from), search]
-        model = Pipeline(stages=stages).fit(rows.filter("train"))
+        stages = [fit_label_reindex(learn_from), fit_vector_index(learn_from)]
+        # The search caches every column it is given, fold by fold.
+        indexed = PipelineModel(stages).transform(rows.filter("train"))
+        found = search.fit(indexed.select("indexedFeatures", "indexedLabel", "label", "fold"))
+        model = PipelineModel([*stages, found])
         # A tree has few leaves, so grouping by score gives a small table that serves both the
         # curve and the confusion cells: the test rows are scored exactly once.
         leaves = settle(
@@ -210,7 +216,7 @@ def perceptron_study(
     data = data.withColumn("class", class_binarize("class"))
     features = fit_features(data, connection_spec(key=[key]), "ordinal", max_size=dictionary_size)
     encoded = _encode(data, features, key, toss_seed)
-    with staged(encoded, "features") as rows:
+    with staged(encoded, "features", vector_size(encoded)) as rows:
         model = _fit_net(rows.filter("train"), features.classes, scale, seed)
         counts = settle(relational.contingency(classify.predict(model, _test_part(rows))))
         measures = _measures(
@@ -243,7 +249,7 @@ def cluster_study(
     spec = connection_spec(key=[key], host_login=True)
     features = fit_features(df, spec, "onehot", drop_constant=drop_constant, max_size=dictionary_size)
     encoded = features.transform(df).select(key, "features", "label")
-    with staged(encoded, "features") as rows:
+    with staged(encoded, "features", vector_size(encoded)) as rows:
         model = cluster.kmeans_parallel(features.classes, iterations=iterations).fit(rows)
         assigned = classify.predict(model, rows)
         # As many rows as classes times clusters, and there is one cluster per class.
@@ -275,7 +281,7 @@ def formula_forest_study(
     if seed is not None:
         forest.setSeed(seed)
 
-    with staged(encoded, "features") as rows:
+    with staged(encoded, "features", vector_size(encoded)) as rows:
         model = forest.fit(rows.filter("train"))
         counts = _decoded_counts(classify.predict(model, _test_part(rows)), features)
         measures = _measures(
@@ -300,7 +306,7 @@ def formula_cluster_study(
     data = df.drop("is_host_login").withColumn("class", class_binarize("class"))
     features = fit_features(data, connection_spec(key=[key]), "formula", max_size=dictionary_size)
     encoded = _encode(data, features, key, toss_seed, "class")
-    with staged(encoded, "features") as rows:
+    with staged(encoded, "features", vector_size(encoded)) as rows:
         model = cluster.kmeans_random(features.classes, seed=seed).fit(rows.filter("train"))
         counts = settle(
             relational.contingency(classify.predict(model, _test_part(rows)), truth="class")
@@ -327,7 +333,7 @@ def formula_perceptron_study(
     features = fit_features(data, connection_spec(key=[key]), "formula", max_size=dictionary_size)
     encoded = _encode(data, features, key, toss_seed, "class")
 
-    with staged(encoded, "features") as rows:
+    with staged(encoded, "features", vector_size(encoded)) as rows:
         model = _fit_net(rows.filter("train"), features.classes, scale, seed)
         counts = _decoded_counts(classify.predict(model, _test_part(rows)), features, "double")
         measures = _measures(
