@@ -189,3 +189,10 @@ def test_measures_that_depend_on_the_start_are_returned(spark, data):
         found = dict(tuples(queries[name](spark, data)))
         assert names | {"correct", "incorrect", "ratio_correct"} <= set(found)
         assert found["correct"] + found["incorrect"] == found["total"] > 0
+
+
+def test_clustering_study_compares_its_centres_with_the_column_means(spark, data):
+    name = "centres weighted by size against column means"
+    found = {r["metric"]: r["value"] for r in catalogue.QUERIES["kmeans_study"](spark, data).collect()}
+    assert found[name] == 0.0
+    assert name in catalogue.ORACLES["kmeans_study"]
