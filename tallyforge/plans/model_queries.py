@@ -10,7 +10,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyforge.operators import classify, cluster, metrics, relational
-from tallyforge.operators.features import fit_features
+from tallyforge.operators.features import fit_features, vector_size
 from tallyforge.operators.split import in_training
 from tallyforge.plans import studies
 from tallyforge.plans.registry import query
@@ -25,7 +25,7 @@ def _fit_on_training_rows(
 ) -> tuple[Model, DataFrame]:
     """A fitted model and the encoded test rows it has not seen."""
     _, rows = encoded_flows(spark, folder)
-    with staged(rows.filter("train").select("features", "label"), "features") as train:
+    with staged(rows.filter("train").select("features", "label"), "features", vector_size(rows)) as train:
         model = estimator.fit(train)
     return model, rows.filter(~F.col("train"))
 
@@ -52,7 +52,7 @@ def random_forest_rule(spark: SparkSession, folder: str) -> DataFrame:
 def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Features and tree saved as one model, read back, and applied to raw records."""
     features, rows = encoded_flows(spark, folder)
-    with staged(rows.filter("train").select("features", "label"), "features") as train:
+    with staged(rows.filter("train").select("features", "label"), "features", vector_size(rows)) as train:
         tree = _tree().fit(train)
     # All stages are fitted already, so putting them together reads no rows.
     whole = Pipeline(stages=[*features.stages(with_label=False), tree]).fit(rows)
@@ -242,7 +242,7 @@ def _clumps(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _clump_summary(fit: cluster.KMeans, points: DataFrame) -> DataFrame:
-    with staged(points, "clumps") as rows:
+    with staged(points, "clumps", vector_size(points)) as rows:
         model = fit.fit(rows)
         return settle(_clump_table(model, classify.predict(model, rows)))
 
@@ -287,7 +287,8 @@ def _converged_fit(spark: SparkSession, folder: str, start: Callable[..., cluste
     """k-means on the encoded features of all records, one cluster per class, once it has converged."""
     records = flows(spark, folder, spread=True)
     features = fit_features(records, connection_spec(key=[FLOW_KEY], host_login=True), "onehot", drop_constant=True)
-    with staged(features.transform(records).select("features"), "features") as rows:
+    encoded = features.transform(records).select("features")
+    with staged(encoded, "features", vector_size(encoded)) as rows:
         model = start(len(features.labels), seed=3, iterations=200).setTol(0.0).fit(rows)
         scored = classify.predict(model, rows)
         centers = cluster.model_centers(model)

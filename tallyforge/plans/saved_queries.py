@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyforge.operators import classify, cluster, saved
 from tallyforge.operators.dictionaries import fit_dictionaries
-from tallyforge.operators.features import decode_labels, fit_features, index_name, string_index
+from tallyforge.operators.features import decode_labels, fit_features, index_name, string_index, vector_size
 from tallyforge.operators.split import in_training
 from tallyforge.plans import studies
 from tallyforge.plans.registry import query
@@ -25,7 +25,7 @@ def model_roundtrip_large(spark: SparkSession, folder: str) -> DataFrame:
     data = binary_flows(spark, folder)
     features = fit_features(data, SPEC, max_size=FEW)
     rows = features.transform(data).where(in_training(FLOW_KEY)).select("features", "label")
-    with staged(rows, "features") as train:
+    with staged(rows, "features", vector_size(rows)) as train:
         tree = classify.decision_tree("features", "label", maxBins=65, maxDepth=6).fit(train)
     whole = saved.roundtrip_whole(saved.WholeModel(features, tree), spark)
     test = flows(spark, folder).where(~in_training(FLOW_KEY)).drop("class")
@@ -70,7 +70,8 @@ def kmeans_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
         (F.lit(float(GAP)) * F.col("land") + F.col("duration")).alias("far"),
     )
     features = fit_features(records, CLUMP_SPEC, index_label=False, max_size=FEW)
-    with staged(features.transform(records, with_label=False).select("features"), "features") as rows:
+    encoded = features.transform(records, with_label=False).select("features")
+    with staged(encoded, "features", vector_size(encoded)) as rows:
         model = cluster.kmeans_parallel(2).fit(rows)
     again = saved.roundtrip_whole(saved.WholeModel(features, model), spark)
     centers = cluster.model_centers(again.model)
