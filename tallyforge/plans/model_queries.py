@@ -487,7 +487,7 @@ union all select 'auc', 1.0 union all select 'ratio_correct', 1.0"""
 def csv_study_without_key(spark: SparkSession, folder: str) -> DataFrame:
     """From delimited text without a row key to the measures of a tree study."""
     path = new_shared_path(spark, "records-csv")
-    records = flows(spark, folder).drop(FLOW_KEY)
+    records = flows(spark, folder, spread=True).drop(FLOW_KEY)
     write_csv(records, path)
     read = scan_csv(spark, path, schema=records.schema, fail_fast=True)
     study = studies.tree_study(read, None, bins=(65,), depths=(4, 6))

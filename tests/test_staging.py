@@ -1,10 +1,12 @@
+import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tallyforge import staging
 from tallyforge.operators import cluster
 from tallyforge.operators.features import vector_size
-from tallyforge.plans import model_queries
+from tallyforge.plans import catalogue, model_queries, studies
+from tallyforge.sources.tables import FLOW_KEY, flows
 
 
 def _bounded(monkeypatch, entries):
@@ -53,3 +55,46 @@ def test_fits_run_side_by_side_only_where_one_leaves_cores_idle(spark):
     assert staging.side_by_side(vectors.repartition(cores), 4) == 4
     assert staging.side_by_side(vectors.repartition(2 * cores), 4) == 2
     assert staging.side_by_side(vectors.repartition(40 * cores), 4) == 1
+
+
+class Seen(Exception):
+    pass
+
+
+def test_search_is_given_only_what_it_uses_and_runs_alone_on_many_tasks(spark, shared, monkeypatch, data):
+    """The search caches every column, and each fit that runs beside another keeps all rows once more."""
+    given = {}
+
+    class Search:
+        def fit(self, rows):
+            given["columns"] = set(rows.columns)
+            raise Seen
+
+    def search(tree, **settings):
+        given.update(settings)
+        return Search()
+
+    monkeypatch.setattr(studies.classify, "cross_validator", search)
+    monkeypatch.setattr(staging, "FIT_BYTES", 1)  # the fewest rows a task may have
+    records = flows(spark, data).union(flows(spark, data)).union(flows(spark, data)).union(flows(spark, data))
+    records = records.union(records)  # 48,000 rows, so 48 tasks or more
+    with pytest.raises(Seen):
+        studies.tree_study(records, FLOW_KEY)
+    assert given["columns"] == {"indexedFeatures", "indexedLabel", "label", "fold"}
+    assert given["parallelism"] == max(1, 4 * spark.sparkContext.defaultParallelism // 48)
+
+
+@pytest.mark.parametrize("name", ["csv_study_without_key", "cv_noisy_tree"])
+def test_tree_queries_use_all_cores_on_a_table_of_few_splits(spark, monkeypatch, data, name):
+    tasks = []
+
+    def study(records, key, **settings):
+        tasks.append(records.rdd.getNumPartitions())
+        raise Seen
+
+    monkeypatch.setattr(studies, "tree_study", study)
+    if name == "csv_study_without_key":
+        monkeypatch.setattr(model_queries, "write_csv", lambda df, path: study(df, None))
+    with pytest.raises(Seen):
+        catalogue.QUERIES[name](spark, data)
+    assert tasks[0] >= spark.sparkContext.defaultParallelism
