@@ -456,7 +456,7 @@ union all select 'leaves', 3.0"""
 def cv_noisy_tree(spark: SparkSession, folder: str) -> DataFrame:
     """The tree study where labels are noisy and grid points differ: every fold's score is checked."""
     noisy = F.expr(f"({CELLS_RULE}) <> ({FLIP_SPARK})")
-    records = flows(spark, folder).withColumn("class", F.when(noisy, "normal").otherwise("smurf"))
+    records = flows(spark, folder, spread=True).withColumn("class", F.when(noisy, "normal").otherwise("smurf"))
     study = studies.tree_study(
         records, FLOW_KEY, bins=(65,), depths=(1, 2, 5), tree={"minInfoGain": 0.02}
     )
