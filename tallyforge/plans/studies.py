@@ -150,14 +150,14 @@ def tree_study(
         known = data.filter(in_training(key))
         features = fit_features(known, spec, "onehot", handle_invalid="keep", max_size=dictionary_size)
     encoded = _encode(data, features, key, toss_seed, fold_number(key, folds).alias("fold"))
-    with staged(encoded, "features", vector_size(encoded)) as rows:
+    with staged(encoded.drop(key), "features", vector_size(encoded), ["train", "fold"]) as rows:
         search = classify.cross_validator(
             classify.decision_tree(**(tree or {})),
             bins=bins,
             depths=depths,
             folds=folds,
             fold_column="fold",
-            parallelism=side_by_side(rows, parallelism),
+            parallelism=side_by_side(rows.filter("train"), parallelism),
         )
         learn_from = rows if fit_on == "all" else rows.filter("train")
         stages = [fit_label_reindex(learn_from), fit_vector_index(learn_from)]
@@ -216,7 +216,7 @@ def perceptron_study(
     data = data.withColumn("class", class_binarize("class"))
     features = fit_features(data, connection_spec(key=[key]), "ordinal", max_size=dictionary_size)
     encoded = _encode(data, features, key, toss_seed)
-    with staged(encoded, "features", vector_size(encoded)) as rows:
+    with staged(encoded.drop(key), "features", vector_size(encoded), ["train"]) as rows:
         model = _fit_net(rows.filter("train"), features.classes, scale, seed)
         counts = settle(relational.contingency(classify.predict(model, _test_part(rows))))
         measures = _measures(
@@ -281,7 +281,7 @@ def formula_forest_study(
     if seed is not None:
         forest.setSeed(seed)
 
-    with staged(encoded, "features", vector_size(encoded)) as rows:
+    with staged(encoded.drop(key), "features", vector_size(encoded), ["train"]) as rows:
         model = forest.fit(rows.filter("train"))
         counts = _decoded_counts(classify.predict(model, _test_part(rows)), features)
         measures = _measures(
@@ -333,7 +333,7 @@ def formula_perceptron_study(
     features = fit_features(data, connection_spec(key=[key]), "formula", max_size=dictionary_size)
     encoded = _encode(data, features, key, toss_seed, "class")
 
-    with staged(encoded, "features", vector_size(encoded)) as rows:
+    with staged(encoded.drop(key), "features", vector_size(encoded), ["train"]) as rows:
         model = _fit_net(rows.filter("train"), features.classes, scale, seed)
         counts = _decoded_counts(classify.predict(model, _test_part(rows)), features, "double")
         measures = _measures(

@@ -57,6 +57,25 @@ def test_fits_run_side_by_side_only_where_one_leaves_cores_idle(spark):
     assert staging.side_by_side(vectors.repartition(40 * cores), 4) == 1
 
 
+def test_parts_of_a_staged_table_are_read_apart(spark, shared):
+    before = spark.conf.get(staging.WRITERS)
+    table = spark.range(4000, numPartitions=2).select(
+        (F.col("id") % 3 > 0).alias("train"), (F.col("id") % 4).cast("int").alias("fold"), "id"
+    )
+    with staging.staged(table, "fit", 3, ["train", "fold"]) as rows:
+        assert rows.dtypes == table.dtypes
+        assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, table.collect()))
+        tasks = [r.rdd.getNumPartitions() for r in (rows, rows.filter("train"), rows.filter("train and fold <> 1"))]
+        assert tasks == [16, 8, 6]
+    assert spark.conf.get(staging.WRITERS) == before
+
+
+def test_parts_of_an_empty_table(spark, shared):
+    table = spark.range(0).select((F.col("id") > 3).alias("train"), "id")
+    with staging.staged(table, "fit", 3, ["train"]) as rows:
+        assert rows.dtypes == table.dtypes and rows.count() == 0
+
+
 class Seen(Exception):
     pass
 
@@ -98,3 +117,21 @@ def test_tree_queries_use_all_cores_on_a_table_of_few_splits(spark, monkeypatch,
     with pytest.raises(Seen):
         catalogue.QUERIES[name](spark, data)
     assert tasks[0] >= spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize(
+    "fit", [studies.tree_study, studies.perceptron_study, studies.formula_forest_study, studies.formula_perceptron_study]
+)
+def test_fits_stage_training_rows_apart_and_without_their_keys(spark, monkeypatch, data, fit):
+    """A pass over the training rows need not read the test rows, and no pass reads a key."""
+    given = []
+
+    def keep(df, name, entries, parts=()):
+        given.append((set(df.columns), list(parts)))
+        raise Seen
+
+    monkeypatch.setattr(studies, "staged", keep)
+    with pytest.raises(Seen):
+        fit(flows(spark, data), FLOW_KEY)
+    columns, parts = given[0]
+    assert FLOW_KEY not in columns and parts[0] == "train"
