@@ -16,6 +16,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyforge.operators.features import slot_names, vector_size
+from tallyforge.operators.tree_search import SharedTreeSearch
 from tallyforge.staging import delete_path, new_shared_path, settle
 
 # The studies' model settings.
@@ -90,11 +91,11 @@ def cross_validator(
 ) -> CrossValidator:
     """Search a bins × depth grid for the largest area under ROC.
 
-    With a ``fold_column`` the folds follow the row keys and are the same on every run; otherwise
-    rows are assigned at random.
+    With a ``fold_column`` the folds follow the row keys and are the same on every run, and all fits of the
+    search pass over the rows together; otherwise rows are assigned at random and fitted one by one.
     """
     grid = ParamGridBuilder().addGrid(tree.maxBins, list(bins)).addGrid(tree.maxDepth, list(depths))
-    search = CrossValidator(
+    search = SharedTreeSearch(
         estimator=tree,
         estimatorParamMaps=grid.build(),
         evaluator=BinaryClassificationEvaluator(

@@ -131,7 +131,8 @@ def tree_study(
 ) -> Study:
     """Normal against attack with a decision tree tuned by cross-validation.
 
-    Up to ``parallelism`` fits run side by side where one alone leaves cores idle; each keeps its rows.
+    All fits of the search grow from the same passes. Where that is not possible, up to ``parallelism`` fits
+    run side by side where one alone leaves cores idle; each keeps its rows.
 
     ``tree`` holds further settings of the tree. Dictionaries beyond ``dictionary_size`` values, all
     columns together, are held as tables; so they are in the other studies.
