@@ -1,4 +1,4 @@
-"""k-means on MLlib, from random or given centres, and what is measured of a clustering."""
+"""k-means from random or given centres, and what is measured of a clustering."""
 
 from __future__ import annotations
 
@@ -12,6 +12,8 @@ from pyspark.mllib.clustering import KMeans as StartedKMeans, KMeansModel as Sta
 from pyspark.mllib.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tallyforge.operators.settling import SettlingKMeans
+
 # The clustering studies' settings.
 KMEANS_ITERATIONS = 10
 KMEANS_SEED = 1
@@ -27,7 +29,7 @@ def kmeans_parallel(
     k: int, features: str = "features", seed: int = KMEANS_SEED, iterations: int = KMEANS_ITERATIONS
 ) -> KMeans:
     """k-means with the scalable k-means|| start."""
-    return KMeans(k=k, featuresCol=features, seed=seed, maxIter=iterations)
+    return SettlingKMeans(k=k, featuresCol=features, seed=seed, maxIter=iterations)
 
 
 def kmeans_random(
@@ -37,7 +39,7 @@ def kmeans_random(
     iterations: int = KMEANS_ITERATIONS,
 ) -> KMeans:
     """k-means started from randomly drawn rows."""
-    fit = KMeans(k=k, featuresCol=features, maxIter=iterations, initMode="random")
+    fit = SettlingKMeans(k=k, featuresCol=features, maxIter=iterations, initMode="random")
     return fit if seed is None else fit.setSeed(seed)
 
 
