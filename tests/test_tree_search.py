@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyforge.operators import blocks, classify, tree_search
 from tallyforge.operators.blocks import freeze, join_blocks, pack, thaw
 from tallyforge.operators.features import fit_label_reindex, fit_vector_index
-from tallyforge.plans import studies
+from tallyforge.plans import catalogue, studies
 from tallyforge.sources.tables import FLOW_KEY, flows
 
 
@@ -83,6 +83,13 @@ def test_search_passes_over_the_rows_together(spark, data, monkeypatch):
     assert fits == []
 
 
+def test_whole_tree_study_makes_no_fit_of_its_own(spark, data, monkeypatch):
+    """Before, this query made 37 fits, one after the other."""
+    monkeypatch.setattr(DecisionTreeClassifier, "_fit", lambda *_: pytest.fail("a fit of its own"))
+    found = {r["metric"]: r["value"] for r in catalogue.QUERIES["cv_decision_tree"](spark, data).collect()}
+    assert len(found) == 23 and all(found[f"auc bins={b} depth={d}"] == 1.0 for b in (65, 68, 71) for d in (4, 6, 8))
+
+
 def test_nodes_beyond_the_room_of_a_pass_are_counted_in_further_passes(spark, monkeypatch):
     rows = odd_rows(spark, n=800)
     search = classify.cross_validator(classify.decision_tree(), bins=(8, 20), depths=(4,), folds=3, fold_column="fold")
