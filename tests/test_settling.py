@@ -95,7 +95,7 @@ def test_vectors_without_values_are_refused(spark):
             cluster.kmeans_parallel(2).fit(df)
 
 
-@pytest.mark.parametrize("name", ["kmeans_parallel_features"])
+@pytest.mark.parametrize("name", ["kmeans_parallel_features", "kmeans_random_features"])
 def test_feature_queries_settle_rows(spark, data, monkeypatch, name):
     """The queries' fits leave settled rows out; before, all of up to 200 rounds read every row."""
     read, sums = [], settling._sums
