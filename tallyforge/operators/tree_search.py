@@ -118,8 +118,8 @@ def best_split(
         of = counts[:, layout.begin[j] : layout.begin[j + 1]]
         order = np.arange(of.shape[1])
         if cuts is None:
-            n = of.sum(axis=0)
-            order = np.argsort(np.where(n > 0, of[1] / np.maximum(n, 1), np.inf), kind="stable")
+            # Like MLlib's, by rows of class 1, values without rows last.
+            order = np.argsort(np.where(of.sum(axis=0) > 0, of[1], np.inf), kind="stable")
         ends = order[:-1] if cuts is None else allowed[j]
         if not len(ends):
             continue
